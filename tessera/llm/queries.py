@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from tessera.llm.linededup import OP5_SQL, op5_line_dedup
 from tessera.llm.ogg import op7_ogg_media
+from tessera.llm.packing import op2_best_fit_packing
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op7_ogg_media": op7_ogg_media,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL}
