@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from tessera.llm.decontam import OP6_SQL, op6_benchmark_decontamination
 from tessera.llm.linededup import OP5_SQL, op5_line_dedup
 from tessera.llm.ogg import op7_ogg_media
 from tessera.llm.packing import op2_best_fit_packing
+from tessera.llm.simhash import op8_simhash_near_dedup
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_ogg_media": op7_ogg_media,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL}
