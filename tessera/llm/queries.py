@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from tessera.llm.decontam import OP6_SQL, op6_benchmark_decontamination
 from tessera.llm.html import op9_html_extraction
+from tessera.llm.langid import op4_language_id
 from tessera.llm.linededup import OP5_SQL, op5_line_dedup
 from tessera.llm.ogg import op7_ogg_media
 from tessera.llm.packing import op2_best_fit_packing
+from tessera.llm.quality import op3_quality_classifier
 from tessera.llm.simhash import op8_simhash_near_dedup
 from tessera.llm.warc import OP1_SQL, op1_warc_index_merge
 
 QUERIES = {
     "op1_warc_index_merge": op1_warc_index_merge,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_ogg_media": op7_ogg_media,
