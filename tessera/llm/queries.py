@@ -10,6 +10,7 @@ from tessera.llm.ogg import op7_ogg_media
 from tessera.llm.packing import op2_best_fit_packing
 from tessera.llm.quality import op3_quality_classifier
 from tessera.llm.simhash import op8_simhash_near_dedup
+from tessera.llm.suffixes import op10_suffix_dedup
 from tessera.llm.warc import OP1_SQL, op1_warc_index_merge
 
 QUERIES = {
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_ogg_media": op7_ogg_media,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL}
