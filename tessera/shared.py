@@ -18,9 +18,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_made: dict[str, list[str]] = {}  # tables of each application
+
+
 def new_table(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that operators of this application have written so far; to be called when their results are stored."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
