@@ -1,41 +1,16 @@
-"""What the training-data operators share: shared-folder tables, Arrow limits and row keys."""
+"""What the training-data operators share: tables in the shared folder, Arrow limits and whole texts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_ROWS = 1024
-BATCH_BYTES = 8 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+from tessera.shared import new_table, written
 
+__all__ = ["bounded_batches", "documents", "new_table", "partitions_for", "text_of", "written"]
 
-def new_table(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
-
-    It cuts lineage in a way that outlives executors, and lets several readers
-    use one computation. The schema is passed on so that no file is opened to infer it.
-    """
-    path = new_table(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+BATCH_ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

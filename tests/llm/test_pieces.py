@@ -11,7 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import components, decontam, linededup, ogg, packing, simhash, suffixes
+from tessera.llm import decontam, linededup, ogg, packing, simhash, suffixes
+from tessera.operators import components
 from tests.llm.cases import both, documents, rows
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
