@@ -30,44 +30,68 @@ GROUPS = 24
 LARGE_PARTS = 4  # lengths over capacity / LARGE_PARTS are large: fewer than LARGE_PARTS fit a sequence
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"  # id 0 after each document
-CACHE_CHUNKS, CACHE_CHARS = 600_000, 48
+CACHE_CHUNKS, CACHE_CHARS = 500_000, 48
 # Unicode white space as the tokenizer's normaliser has it; str.split() would also cut at the separators 1C to 1F.
 SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
+# Chunks of ASCII and Latin-1 letters need no normaliser but lower-casing, and this is the tokenizer's own split of them.
+PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+# The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_others = iter(range(256, 512))
+BYTES = {k: chr(k if k in PRINTABLE else next(_others)) for k in range(256)}
+
 _worker: dict = {}  # a Python worker's tokenizer and caches, by path
 
 
-def _tokenizer(path: str):
-    if path not in _worker:
+class Chunks:
+    """Little-endian 32-bit ids of chunks between white space, kept for as many as fit a bound."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _worker[path] = (made, {})
-    return _worker[path]
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.model = self.whole.model
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        if word not in self.words:
+            mapped = word if word.isascii() else "".join(BYTES[b] for b in word.encode())
+            self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return self.words[word]
+
+    def encode(self, chunk: str) -> bytes:
+        if len(chunk) <= CACHE_CHARS and PLAIN.fullmatch(chunk):
+            return b"".join(map(self.word, PLAIN_WORDS.findall(chunk.lower())))
+        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def text(self, text: str) -> bytes:
+        split = SPACES.split(text) if ODD_SPACE.search(text) else text.split()
+        cache, long = self.chunks, {}
+        for c in {c for c in split if c not in cache}:
+            (cache if len(c) <= CACHE_CHARS else long)[c] = self.encode(c)
+        out = b"".join([long[c] if c in long else cache[c] for c in split]) if long else b"".join(map(cache.__getitem__, split))
+        if len(cache) > CACHE_CHUNKS:
+            cache.clear()
+        if len(self.words) > CACHE_CHUNKS:
+            self.words.clear()
+        return out
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text.
 
     The tokenizer's words never span white space and its normaliser works within it, so
-    equal chunks between white space have equal ids: each chunk is encoded once and kept
-    in a bounded cache.
+    equal chunks between white space have equal ids, and each is encoded once.
     """
-    model, cache = _tokenizer(path)
-    split = [SPACES.split(x) if ODD_SPACE.search(x) else x.split() for x in texts]
-    new = list({c for chunks in split for c in chunks if c not in cache})
-    if len(cache) + len(new) > CACHE_CHUNKS:
-        cache.clear()
-        new = list({c for chunks in split for c in chunks})
-    own = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(new, add_special_tokens=False)), strict=True)) if new else {}
-    cache.update((c, b) for c, b in own.items() if len(c) <= CACHE_CHARS)
-    if any(len(c) > CACHE_CHARS for c in own):
-        return [b"".join([own[c] if c in own else cache[c] for c in chunks]) for chunks in split]
-    get = cache.__getitem__
-    return [b"".join(map(get, chunks)) for chunks in split]
+    if path not in _worker:
+        _worker[path] = Chunks(path)
+    return list(map(_worker[path].text, texts))
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
