@@ -34,7 +34,9 @@ from tessera.llm.common import bounded_batches, documents, partitions_for, text_
 LENGTH, LEAD = 100, 24
 REACH = LENGTH - LEAD  # how far beyond its lead, on either side, a string that picked a suffix can go
 BLOCK = 1 << 17
-RUN_ROWS = 20_000
+RUN_ROWS = 100_000  # of about 200 bytes, which a task holds at once
+BROADCAST_STRINGS = 300_000  # of 40 bytes
+HASHED_ROWS = 2048
 PAIRED = 32  # runs up to this long are compared pair by pair
 ROWS_A_BATCH = 1 << 16
 NO_ID = (1 << 63) - 1
@@ -258,33 +260,55 @@ def compared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for s, size in zip(starts[sizes > PAIRED], sizes[sizes > PAIRED], strict=True):
         own = slice(s, s + size)
         hashes, valid = window_hashes(before[own], after[own])
+        again = np.zeros(valid.shape, bool)
         for d in range(hashes.shape[1]):
             at = np.flatnonzero(valid[:, d])
             values, first = np.unique(hashes[at, d], return_index=True)
-            lead_row = at[first[np.searchsorted(values, hashes[at, d])]] + s
-            at = at + s
-            good = at[(doc[at] != doc[lead_row]) | (pos[at] != pos[lead_row])]
-            rows.append(good)
-            begin.append(pos[good] - REACH + d)
-            end.append(pos[good] - REACH + d + LENGTH)
+            lead_row = at[first[np.searchsorted(values, hashes[at, d])]]
+            again[at, d] = (doc[s + at] != doc[s + lead_row]) | (pos[s + at] != pos[s + lead_row])
+        row, low, high = stretches_of(again)
+        rows.append(s + row)
+        begin.append(pos[s + row] - REACH + low)
+        end.append(pos[s + row] - REACH + high + LENGTH)
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return order[np.concatenate(rows)], np.concatenate(begin), np.concatenate(end)
 
 
+def stretches_of(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, first and last columns of the runs of true values."""
+    edges = np.diff(np.pad(marks.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, low = np.nonzero(edges == 1)
+    return row, low, np.nonzero(edges == -1)[1] - 1
+
+
 def window_hashes(before: np.ndarray, after: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the strings that begin REACH to 0 bytes before each lead, and whether they lie within the text."""
+    """Hashes of the strings that begin REACH to 0 bytes before each lead, and whether they lie within the text and picked this lead."""
+    parts = [_window_hashes(before[k : k + HASHED_ROWS], after[k : k + HASHED_ROWS], salt) for k in range(0, len(before), HASHED_ROWS)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _window_hashes(before: np.ndarray, after: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
     codes = np.concatenate([before[:, ::-1], after], 1)
-    h = CODES[codes] ^ np.uint64(salt)
-    parts = {1: h}
-    for size in (1, 2, 4, 8, 16, 32):
-        h = doubled(h, size)
-        parts[2 * size] = h
     count = REACH + 1
-    whole = joined(joined(parts[64][:, :count], parts[32][:, 64 : 64 + count], 32), parts[4][:, 96 : 96 + count], 4)
-    inside = np.cumsum(codes == PAD, 1)
-    inside = np.concatenate([np.zeros((len(codes), 1), inside.dtype), inside], 1)
-    return stirred(whole), inside[:, LENGTH : LENGTH + count] == inside[:, :count]
+
+    def levels(h: np.ndarray, last: int) -> dict[int, np.ndarray]:
+        found, size = {1: h}, 1
+        while size < last:
+            h = doubled(h, size)
+            size *= 2
+            found[size] = h
+        return found
+
+    h = levels(CODES[codes] ^ np.uint64(salt), 64)
+    whole = joined(joined(h[64][:, :count], h[32][:, 64 : 64 + count], 32), h[4][:, 96 : 96 + count], 4)
+    plain = levels(CODES[codes], 16) if salt else h
+    lead = stirred(joined(plain[16][:, : 2 * REACH + 1], plain[8][:, 16 : 16 + 2 * REACH + 1], 8))
+    own = lead[:, REACH : REACH + 1]
+    least = (np.minimum.accumulate(lead[:, REACH::-1], 1)[:, ::-1] >= own) & (np.minimum.accumulate(lead[:, REACH:], 1) >= own)
+    outside = np.cumsum(codes == PAD, 1)
+    outside = np.concatenate([np.zeros((len(codes), 1), outside.dtype), outside], 1)
+    return stirred(whole), least & (outside[:, LENGTH : LENGTH + count] == outside[:, :count])
 
 
 def compare_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,23 +324,36 @@ def compare_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[own], version[own], start[own].astype(np.int32), stop[own].astype(np.int32))], names=["doc", "version", "start", "stop"])
 
 
-def compare_across(rows: DataFrame) -> DataFrame:
-    """The same for leads with too many suffixes for a task: the first place of each string is found by a map-side minimum."""
+def compare_across(rows: DataFrame, broadcast_strings: int = BROADCAST_STRINGS) -> DataFrame:
+    """The same for leads with too many suffixes for a task: the first place of each repeated string is found by a
+    map-side minimum, and only that table meets the rows again, broadcast if its row count allows."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                own = batch.slice(k, 2000)
+            for k in range(0, batch.num_rows, HASHED_ROWS):
+                own = batch.slice(k, HASHED_ROWS)
                 before, after = matrix(own.column("before"), REACH, right=True), matrix(own.column("after"), LENGTH)
                 (hi, valid), (lo, _) = window_hashes(before, after), window_hashes(before, after, 0x9E3779B97F4A7C15)
                 row, d = np.nonzero(valid)
                 doc, version, pos = (own.column(c).to_numpy(zero_copy_only=False)[row] for c in ("doc", "version", "pos"))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (hi[row, d].view(np.int64), lo[row, d].view(np.int64), doc, version, (pos - REACH + d).astype(np.int32))], names=["hi", "lo", "doc", "version", "start"])
 
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                doc, version, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] != start[:-1] + 1)
+                last = np.concatenate([new[1:], [True]])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[new], version[new], start[new], start[last] + np.int32(LENGTH))], names=["doc", "version", "start", "stop"])
+
     places = rows.mapInArrow(strings, "hi long, lo long, doc long, version int, start int")
-    firsts = places.groupBy("hi", "lo").agg(F.min(F.struct("doc", "start")).alias("first"))
-    later = places.join(firsts, ["hi", "lo"]).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
-    return later.select("doc", "version", "start", (F.col("start") + LENGTH).alias("stop"))
+    seen = places.groupBy("hi", "lo").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n"))
+    firsts = written(seen.where("n > 1").select("hi", "lo", F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start")), "repeated-strings")
+    if firsts.count() <= broadcast_strings:
+        firsts = F.broadcast(firsts)
+    later = places.join(firsts, ["hi", "lo"]).where("doc <> first_doc or start <> first_start")
+    return later.select("doc", "version", "start").mapInArrow(merged, "doc long, version int, start int, stop int")
 
 
 def repeated_stretches(keyed: DataFrame, texts: DataFrame, run_rows: int = RUN_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -330,10 +367,11 @@ def repeated_stretches(keyed: DataFrame, texts: DataFrame, run_rows: int = RUN_R
     near = written(surroundings(texts, found.where(F.col("kind") == FIRST)), "surroundings")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     hot = near.groupBy("lead").count().where(F.col("count") > run_rows).select("lead")
-    flagged = near.join(hot.withColumn("hot", F.lit(True)), "lead", "left")
     if hot.isEmpty():
         stretches = near.repartitionByRange(partitions_for(spark), "lead").mapInArrow(compare_bucket, "doc long, version int, start int, stop int")
     else:
+        hot = written(hot, "hot-leads")
+        flagged = near.join(hot.withColumn("hot", F.lit(True)), "lead", "left")
         own = flagged.where(F.col("hot").isNull()).drop("hot").repartitionByRange(partitions_for(spark), "lead")
         stretches = own.mapInArrow(compare_bucket, "doc long, version int, start int, stop int").unionByName(compare_across(flagged.where("hot").drop("hot")))
     return found.where(F.col("kind") == COVERED).select("doc", "version", "pos"), written(stretches, "stretches")
