@@ -41,6 +41,11 @@ def bm25(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col:
     sizes = blocks.select(F.size(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("([a-z0-9]+)"), 1)).alias("size"))
     totals = sizes.agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
     wanted = tf.join(asked.select("term").distinct(), "term", "left_semi")
+    return scored(wanted, totals, asked, k, id_col, query_col)
+
+
+def scored(wanted: DataFrame, totals: DataFrame, asked: DataFrame, k: int, id_col: str, query_col: str) -> DataFrame:
+    """BM25 of the asked terms over their postings; totals is one row."""
     df = wanted.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.when(idf > 0, idf).otherwise(F.lit(1e-6))
@@ -172,3 +177,18 @@ def gate(hits: DataFrame, query_col: str, least: int = 2) -> DataFrame:
     per = hits.groupBy(query_col).agg(F.count("*").alias("n"), F.count_if(F.col("paper") != F.col("expected_paper")).alias("foreign"), (F.count("*") - F.countDistinct("digest")).alias("repeated"))
     reasons = F.array_compact(F.array(F.when(F.col("n") < least, F.lit("too_few_hits")), F.when(F.col("foreign") > 0, F.lit("foreign_paper")), F.when(F.col("repeated") > 0, F.lit("repeated_block"))))
     return per.select(query_col, F.array_join(reasons, ",").alias("reasons"), (F.size(reasons) == 0).alias("usable"))
+
+
+def write_index(blocks: DataFrame, path: str, id_col: str, text_col: str = "text") -> None:
+    """The tables that BM25 needs: postings sorted by term, so that a query reads few row groups, and totals."""
+    tf = terms(blocks, id_col, text_col)
+    tf.repartitionByRange("term").sortWithinPartitions("term", id_col).write.mode("errorifexists").parquet(f"{path}/postings")
+    sizes = blocks.select(F.size(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("([a-z0-9]+)"), 1)).alias("size"))
+    sizes.agg(F.count("*").alias("n"), F.avg("size").alias("mean")).write.mode("errorifexists").parquet(f"{path}/totals")
+
+
+def indexed_bm25(spark, path: str, queries: DataFrame, k: int, id_col: str, query_col: str, query_text: str = "text") -> DataFrame:
+    """As ``bm25``, from a written index."""
+    asked = query_terms(queries, query_col, query_text)
+    wanted = spark.read.parquet(f"{path}/postings").join(asked.select("term").distinct(), "term", "left_semi")
+    return scored(wanted, spark.read.parquet(f"{path}/totals"), asked, k, id_col, query_col)

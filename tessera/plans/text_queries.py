@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numbers as N
 from tessera.functions import text as X
+from tessera.operators import claims as C
 from tessera.operators import retrieval as R
 from tessera.plans.registry import Tables, query
+from tessera.sources import json_facts as J
 from tessera.sources import markup as M
 
 # SQL pieces that several oracles share.
@@ -361,3 +363,15 @@ SELECT sha256(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS identity,
 def set07(t):
     own = t.documents.select("doc_id", "source", F.sha2(F.lower(X.collapsed(F.col("text"))), 256).alias("identity"))
     return own.groupBy("identity").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n"), (F.count("*") - 1).alias("removed"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+
+
+@query("str12_str18_jon22_claims")
+def str18(t):
+    """Claims of all sentences by the commonest verbs of the documents' languages."""
+    return C.claims(sentences(t), ["doc_id", "place"], "sentence", {"be": r"\b(?:is|are|was|were|be)\b", "sein": r"\bist\b", "etre": r"\best\b"})
+
+
+@query("jsn01_jsn05_json_facts", """
+SELECT event_id, 0::INTEGER AS place, '$.k' AS json_path, '' AS record_key, 'k' AS field, json_extract_string(props, '$.k') AS value FROM events""")
+def json_facts(t):
+    return J.facts(t.events, "event_id", "props")
