@@ -15,7 +15,9 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ GROUPS = 24
 LARGE_PARTS = 4  # lengths over capacity / LARGE_PARTS are large: fewer than LARGE_PARTS fit a sequence
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"  # id 0 after each document
-CACHE_CHUNKS, CACHE_CHARS = 500_000, 48
+CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 500_000, 700_000, 48
 # Unicode white space as the tokenizer's normaliser has it; str.split() would also cut at the separators 1C to 1F.
 SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -46,6 +48,13 @@ BYTES = {k: chr(k if k in PRINTABLE else next(_others)) for k in range(256)}
 _worker: dict = {}  # a Python worker's tokenizer and caches, by path
 
 
+def little_endian(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
 class Chunks:
     """Little-endian 32-bit ids of chunks between white space, kept for as many as fit a bound."""
 
@@ -60,25 +69,31 @@ class Chunks:
         self.words: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        if word not in self.words:
-            mapped = word if word.isascii() else "".join(BYTES[b] for b in word.encode())
-            self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        return self.words[word]
+        if word in self.words:
+            return self.words[word]
+        mapped = word if word.isascii() else "".join([BYTES[b] for b in word.encode()])
+        found = self.words[word] = little_endian([t.id for t in self.model.tokenize(mapped)])
+        return found
 
     def encode(self, chunk: str) -> bytes:
-        if len(chunk) <= CACHE_CHARS and PLAIN.fullmatch(chunk):
-            return b"".join(map(self.word, PLAIN_WORDS.findall(chunk.lower())))
-        return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(chunk) > CACHE_CHARS or not (chunk.isascii() and chunk.isprintable() or PLAIN.fullmatch(chunk)):
+            return little_endian(self.whole.encode(chunk, add_special_tokens=False).ids)
+        lower = chunk.lower()
+        if lower.isalpha():
+            return self.word(lower)
+        if lower[:-1].isalpha() and not lower[-1].isalnum():  # a word and one mark
+            return self.word(lower[:-1]) + self.word(lower[-1])
+        return b"".join(map(self.word, PLAIN_WORDS.findall(lower)))
 
     def text(self, text: str) -> bytes:
         split = SPACES.split(text) if ODD_SPACE.search(text) else text.split()
         cache, long = self.chunks, {}
-        for c in {c for c in split if c not in cache}:
+        for c in set(split).difference(cache):
             (cache if len(c) <= CACHE_CHARS else long)[c] = self.encode(c)
         out = b"".join([long[c] if c in long else cache[c] for c in split]) if long else b"".join(map(cache.__getitem__, split))
         if len(cache) > CACHE_CHUNKS:
             cache.clear()
-        if len(self.words) > CACHE_CHUNKS:
+        if len(self.words) > CACHE_WORDS:
             self.words.clear()
         return out
 
