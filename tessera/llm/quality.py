@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import operator
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from tessera.llm.common import bounded_batches, documents, text_of
 
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 8, 8, 0.5
 GRAMS = (3, 4)
-TRAIN_DOCS, TRAIN_CHARS = 3000, 100_000
+TRAIN_DOCS, TRAIN_CHARS = 2000, 50_000
 FOLDS, HELD_OUT = 3, 1
 CACHE_WORDS, CACHE_CHARS = 400_000, 48
 REPEAT = "\0="  # stands for a word that follows itself
@@ -58,13 +59,16 @@ class Model:
         examples = []
         for text, label in zip(texts, labels, strict=True):
             words = text.split()
-            ids = [cache[w] if w in cache else cache.setdefault(w, features(w, buckets)) for w in words]
-            flat = np.fromiter((x for own in ids for x in own), np.int64)
+            flat = array("i")
+            for w in words:
+                flat.extend(cache[w] if w in cache else cache.setdefault(w, array("i", features(w, buckets))))
+            flat = np.frombuffer(flat, np.int32) if words else np.zeros(0, np.int32)
             repeats = sum(map(operator.eq, words[1:], words))
-            flat = np.concatenate([flat, np.full(repeats, features(REPEAT, buckets)[0])])
+            flat = np.concatenate([flat, np.full(repeats, features(REPEAT, buckets)[0], np.int32)])
             if len(flat):
                 own, counts = np.unique(flat, return_counts=True)
-                examples.append((own, counts / len(flat), label))
+                examples.append((own, (counts / len(flat)).astype(np.float32), label))
+        del cache
         if not examples:
             return self
         share = np.bincount([y for _, _, y in examples], minlength=2) / len(examples)
@@ -104,7 +108,7 @@ def scores(texts: list[str], weights: np.ndarray, bias: float, key: int) -> list
     for text in texts:
         words = text.split()
         long: dict[str, complex] = {}
-        for w in {w for w in words if w not in cache}:
+        for w in set(words).difference(cache):
             ids = features(w, buckets)
             (cache if len(w) <= CACHE_CHARS else long)[w] = complex(sum(map(table.__getitem__, ids)), len(ids))
         total = sum(map(cache.__getitem__, words), 0j) if not long else sum((long[w] if w in long else cache[w] for w in words), 0j)
