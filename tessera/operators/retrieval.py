@@ -17,10 +17,13 @@ LEAST_TERM = 3
 QUERY_BLOCK, VECTOR_BLOCK = 512, 4096
 
 
-def terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf, size): term counts, and how many terms the row has."""
+def terms(df: DataFrame, id_col: str, text_col: str, only: DataFrame | None = None) -> DataFrame:
+    """(id, term, tf, size): term counts, of the terms in ``only`` if given, and how many terms the row has in all."""
     words = df.select(F.col(id_col), F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("([a-z0-9]+)"), 1).alias("w"))
-    return words.select(id_col, F.size("w").alias("size"), F.explode("w").alias("term")).groupBy(id_col, "size", "term").agg(F.count("*").alias("tf"))
+    each = words.select(id_col, F.size("w").alias("size"), F.explode("w").alias("term"))
+    if only is not None:
+        each = each.join(only, "term", "left_semi")
+    return each.groupBy(id_col, "size", "term").agg(F.count("*").alias("tf"))
 
 
 def query_terms(queries: DataFrame, query_col: str, text_col: str) -> DataFrame:
@@ -35,12 +38,14 @@ def ranked(scores: DataFrame, query_col: str, id_col: str, k: int) -> DataFrame:
 
 
 def bm25(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text") -> DataFrame:
-    """(query, id, score, rank). Statistics are those of all blocks; only terms that some query has are joined."""
-    asked = query_terms(queries, query_col, query_text)
-    tf = terms(blocks, id_col, text_col)
+    """(query, id, score, rank). Statistics are those of all blocks; terms that no query has go before anything is shuffled.
+
+    The queries' terms are written first, so that Spark knows their size and broadcasts them only if it allows.
+    """
+    asked = written(query_terms(queries, query_col, query_text), "query-terms")
+    wanted = terms(blocks, id_col, text_col, asked.select("term").distinct())
     sizes = blocks.select(F.size(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("([a-z0-9]+)"), 1)).alias("size"))
     totals = sizes.agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
-    wanted = tf.join(asked.select("term").distinct(), "term", "left_semi")
     return scored(wanted, totals, asked, k, id_col, query_col)
 
 
