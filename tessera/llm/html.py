@@ -49,6 +49,7 @@ UNWANTED = re.compile(
     r"search|share|sharing|sidebar|sidenav|signup|skip-link|social|sponsor\w*|subscribe|tags|toolbar|widget)(?:$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+LAYOUT = re.compile(r"\b(?:has|is|no|with|without)[-_][\w-]+", re.IGNORECASE)  # such names describe the page around, not the element
 MARKED = re.compile(r"""(?:\bclass|\bid|\brole)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 RAW = "script|style|title|textarea|noscript|template|iframe|svg|object|canvas|xmp"
@@ -62,7 +63,7 @@ TAG = re.compile(
 def unwanted(rest: str) -> bool:
     if "=" not in rest and "hidden" not in rest:
         return False
-    return any(UNWANTED.search(a or b or c) for a, b, c in MARKED.findall(rest)) or bool(HIDDEN.search(rest))
+    return any(UNWANTED.search(LAYOUT.sub(" ", a or b or c)) for a, b, c in MARKED.findall(rest)) or bool(HIDDEN.search(rest))
 
 
 class Block:
@@ -123,7 +124,7 @@ def blocks(html: str) -> list[Block]:
         if name in BLOCK and stack and stack[-1][0] == "p" or name in SAME_CLOSES and stack and stack[-1][0] == name:
             stack.pop()
         _, skipped, article = stack[-1] if stack else ("", False, False)
-        own = unwanted(rest)
+        own = name not in ("html", "body") and unwanted(rest)
         skips = skipped or own or name in SKIPPED and not (name == "header" and article)
         if skips != skipped and name not in BLOCK:
             close()

@@ -146,6 +146,7 @@ ARTICLE = "It was the best of the times and it was in the age of what we had and
         (f"<main><p>{ARTICLE}</p><aside>{ARTICLE}</aside><script>var a='</p>';</script><form><p>{ARTICLE}</p></form></main><div class=\"cookie-notice\">{ARTICLE}</div>", ARTICLE),
         ("<article><p>Only short.</p></article>", "Only short."),
         (f"<article><p>{ARTICLE} <b>bold</b>word<br>next</p><div class=ad>{ARTICLE}</div><!-- {ARTICLE} --></article>", f"{ARTICLE} boldword next"),
+        (f"<body class='home sidebar'><div class='content with-sidebar'><p>{ARTICLE} {ARTICLE}</p></div><div id=\"sidebar\">{ARTICLE} {ARTICLE}</div></body>", f"{ARTICLE} {ARTICLE}"),
         ("<ul>" + "<li><a href=/x>a link to a page of the site and more</a></li>" * 9 + "</ul>", ""),
     ],
 )
