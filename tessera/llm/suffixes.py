@@ -110,6 +110,12 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def picked_suffixes(keyed: DataFrame) -> DataFrame:
+    """(lead, around, doc, version, pos, sure) of every picked suffix.
+
+    ``sure`` ones have surroundings that occur earlier in the same batch: they are decided
+    before the shuffle, so that text that repeats itself brings one suffix a batch to its lead.
+    """
+
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [picked(x.as_buffer().to_pybytes()) for x in batch.column("raw")]
@@ -117,10 +123,16 @@ def picked_suffixes(keyed: DataFrame) -> DataFrame:
                 continue
             pos, lead, around = (np.concatenate(x) for x in zip(*own, strict=True))
             of = np.repeat(np.arange(len(own)), [len(x[0]) for x in own])
-            ids = [batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("doc", "version")]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lead.view(np.int64), around.view(np.int64), *ids, pos.astype(np.int32))], names=["lead", "around", "doc", "version", "pos"])
+            doc, version = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("doc", "version"))
+            order = np.lexsort((pos, doc, around, lead))
+            lead, around, doc, version, pos = (x[order] for x in (lead, around, doc, version, pos))
+            new = np.ones(len(lead), bool)
+            new[1:] = (lead[1:] != lead[:-1]) | (around[1:] != around[:-1])
+            first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
+            sure = (doc != doc[first]) | (pos != pos[first])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lead.view(np.int64), around.view(np.int64), doc, version, pos.astype(np.int32), sure)], names=["lead", "around", "doc", "version", "pos", "sure"])
 
-    return keyed.mapInArrow(suffixes, "lead long, around long, doc long, version int, pos int")
+    return keyed.mapInArrow(suffixes, "lead long, around long, doc long, version int, pos int, sure boolean")
 
 
 COVERED, FIRST = 0, 1
@@ -134,8 +146,13 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        lead, around, doc, version, pos = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+        lead, around, doc, version, pos, sure = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+        known = (np.full(int(sure.sum()), COVERED, np.int32), doc[sure], version[sure], pos[sure])
+        lead, around, doc, version, pos = (x[~sure] for x in (lead, around, doc, version, pos))
         n = len(lead)
+        if not n:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in known], names=names)
+            continue
         new_lead, new_class = np.ones(n, bool), np.ones(n, bool)
         new_lead[1:] = lead[1:] != lead[:-1]
         new_class[1:] = new_lead[1:] | (around[1:] != around[:-1])
@@ -152,7 +169,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = ~opens
         several[:-1] |= opens[:-1] & ~opens[1:]
         firsts = starts[several]
-        rows = [(np.full(len(x), kind, np.int32), doc[x], version[x], pos[x]) for kind, x in ((COVERED, covered), (FIRST, firsts))]
+        rows = [(np.full(len(x), kind, np.int32), doc[x], version[x], pos[x]) for kind, x in ((COVERED, covered), (FIRST, firsts))] + [known]
         if waiting is not None and len(starts) and not opens[0]:
             rows.append(tuple(np.array([v], d) for v, d in zip((FIRST, *waiting), (np.int32, np.int64, np.int32, np.int32), strict=True)))
         if len(starts):
@@ -359,7 +376,8 @@ def compare_across(rows: DataFrame, broadcast_strings: int = BROADCAST_STRINGS)
 def repeated_stretches(keyed: DataFrame, texts: DataFrame, run_rows: int = RUN_ROWS) -> tuple[DataFrame, DataFrame]:
     """Wholly covered suffixes (doc, version, pos) and stretches (doc, version, start, stop)."""
     spark = keyed.sparkSession
-    sorted_hashes = picked_suffixes(keyed).repartition(partitions_for(spark), "lead").sortWithinPartitions("lead", "around", "doc", "pos")
+    dealt_by = F.when(F.col("sure"), F.xxhash64("doc", "pos")).otherwise(F.col("lead"))
+    sorted_hashes = picked_suffixes(keyed).repartition(partitions_for(spark), dealt_by).sortWithinPartitions("lead", "around", "doc", "pos")
     bounded_batches(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     found = written(sorted_hashes.mapInArrow(_decide, "kind int, doc long, version int, pos int"), "suffixes")
