@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, documents, text_of
@@ -22,6 +22,7 @@ from tessera.llm.quality import fold
 
 HIDDEN, WINDOW, TRAIN_WINDOW = 8, 128, 64
 LANG_DOCS, LANGS, DOC_WINDOWS = 400, 200, 3
+SPARE = 4
 STEPS, BATCH, RATE = 260, 160, 0.02
 FOLDS, HELD_OUT = 4, 2
 SIDE_BY_SIDE = 4096
@@ -154,14 +155,18 @@ def training_windows(df: DataFrame, docs: int = LANG_DOCS, langs: int = LANGS, i
     """Languages, byte windows and language numbers, from documents outside the held-out fold, chosen by hash."""
     known = df.where(F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT) & F.col(text_col).rlike(r"\p{L}"))
     slim = known.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.length(text_col).alias("__n"))
-    names = [r["__lang"] for r in slim.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(langs).collect()]
-    order = F.xxhash64("__id", F.lit(11))
-    chosen = None
-    for name in names:  # a top-k by hash for each language: no language's rows meet in one task
-        own = slim.where(F.col("__lang") == name).orderBy(order, "__id").limit(docs).select("__id")
-        chosen = own if chosen is None else chosen.unionByName(own)
-    if chosen is None:
+    counts = slim.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(langs).collect()
+    names = [r["__lang"] for r in counts]
+    if not names:
         return [], np.zeros((0, TRAIN_WINDOW), np.uint8), np.zeros(0, np.int64)
+    # A share of each language by hash, of four times the documents needed, then the first of them: one scan for all
+    # languages, and no language's rows meet in one task.
+    spark = df.sparkSession
+    shares = spark.createDataFrame([(r["__lang"], min(1.0, SPARE * docs / r["count"])) for r in counts], "__lang string, __share double")
+    order = F.xxhash64("__id", F.lit(11))
+    pool = slim.join(F.broadcast(shares), "__lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("__share") * (1 << 30))  # ``langs`` rows
+    first = F.row_number().over(Window.partitionBy("__lang").orderBy(order, "__id"))
+    chosen = pool.select("__id", first.alias("__k")).where(F.col("__k") <= docs).select("__id")
     raw = F.col(text_col).cast("string").cast("binary")
     start = F.pmod(F.xxhash64(id_col, "__k"), F.greatest(F.octet_length(raw) - TRAIN_WINDOW, F.lit(0)) + 1).cast("int") + 1
     # At most docs * langs ids: a bounded broadcast.
