@@ -29,20 +29,25 @@ BUCKET_ROWS = 20_000
 SMALL_BUCKET = 48
 
 
-def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
-    """The fingerprint of a text's UTF-8 bytes, as a signed 64-bit number."""
+def shingle_hashes(raw: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hash of each shingle of a text's UTF-8 bytes, in order; none of a text without words."""
     words = raw.lower().split()  # of bytes: ASCII letters and ASCII white space only
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = sizes.cumsum()
     starts = (ends - sizes).tolist()
     ends = (ends - 1).tolist()[min(shingle, len(words)) - 1 :]
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=False)])
-    n = len(hashes) // 8
-    octets = np.frombuffer(hashes, np.uint8).reshape(n, 8)
+    return np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=False)]), np.uint64)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    n = len(hashes)
+    if not n:
+        return 0
+    octets = hashes.view(np.uint8).reshape(n, 8)
     if n < 128:
         ones = np.unpackbits(octets, axis=1).sum(0, dtype=np.int64)
     else:
@@ -50,6 +55,11 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
+def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
+    """The fingerprint of a text's UTF-8 bytes, as a signed 64-bit number."""
+    return fingerprint_of(shingle_hashes(raw, shingle))
+
+
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
