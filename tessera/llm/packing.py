@@ -63,7 +63,8 @@ class Chunks:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = {t.content: little_endian([k]) for k, t in self.whole.get_added_tokens_decoder().items()}  # matched as they stand, before the normaliser
+        self.literal = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.model = self.whole.model
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -86,6 +87,12 @@ class Chunks:
         return b"".join(map(self.word, PLAIN_WORDS.findall(lower)))
 
     def text(self, text: str) -> bytes:
+        if any(map(text.__contains__, self.added)):
+            return b"".join([self.added[part] if part in self.added else self.between(part) for part in self.literal.split(text)])
+        return self.between(text)
+
+    def between(self, text: str) -> bytes:
+        """The ids of a text without the literal of an added token."""
         split = SPACES.split(text) if ODD_SPACE.search(text) else text.split()
         cache, long = self.chunks, {}
         for c in set(split).difference(cache):
@@ -102,7 +109,8 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text.
 
     The tokenizer's words never span white space and its normaliser works within it, so
-    equal chunks between white space have equal ids, and each is encoded once.
+    equal chunks between white space have equal ids, and each is encoded once. The literal of
+    an added token is cut out first, wherever it stands, as the tokenizer does.
     """
     if path not in _worker:
         _worker[path] = Chunks(path)
