@@ -105,11 +105,20 @@ least_ AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a),
 rooted AS (SELECT DISTINCT root FROM least_ JOIN orders ON node = o_orderkey WHERE o_orderstatus = 'F')
 SELECT node, root FROM least_ WHERE root IN (SELECT root FROM rooted)""")
 def set10(t):
-    edges = t.lineitem.where("l_quantity >= 50").select(F.col("l_orderkey").alias("a"), (-F.col("l_partkey")).alias("b")).distinct()
+    return rooted_components(t.lineitem.where("l_quantity >= 50"), t.orders)
+
+
+@query("set10_rooted_components_all")
+def set10_all(t):
+    return rooted_components(t.lineitem, t.orders)
+
+
+def rooted_components(lineitem, orders):
+    edges = lineitem.select(F.col("l_orderkey").alias("a"), (-F.col("l_partkey")).alias("b")).distinct()
     star = components(edges)
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     labelled = nodes.join(star.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    anchors = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("node"))
+    anchors = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("node"))
     return labelled.join(labelled.join(anchors, "node").select("root").distinct(), "root", "left_semi").select("node", "root")
 
 
@@ -236,7 +245,17 @@ def pip35(t):
 @query("pip39_agg22_promotion_gates", """
 SELECT l_suppkey, count(*) >= 3 AND bool_and(l_discount < 0.095) AS promoted, bool_and(l_returnflag <> 'R') AS complete FROM lineitem WHERE l_quantity > 47 GROUP BY 1""")
 def pip39(t):
-    return t.lineitem.where("l_quantity > 47").groupBy("l_suppkey").agg(((F.count("*") >= 3) & F.bool_and(F.col("l_discount") < 0.095)).alias("promoted"), F.bool_and(F.col("l_returnflag") != "R").alias("complete"))
+    return promotion_gates(t.lineitem.where("l_quantity > 47"))
+
+
+@query("pip39_agg22_promotion_gates_all", """
+SELECT l_suppkey, count(*) >= 3 AND bool_and(l_discount < 0.095) AS promoted, bool_and(l_returnflag <> 'R') AS complete FROM lineitem GROUP BY 1""")
+def pip39_all(t):
+    return promotion_gates(t.lineitem)
+
+
+def promotion_gates(lineitem):
+    return lineitem.groupBy("l_suppkey").agg(((F.count("*") >= 3) & F.bool_and(F.col("l_discount") < 0.095)).alias("promoted"), F.bool_and(F.col("l_returnflag") != "R").alias("complete"))
 
 
 @query("src06_pip33_metadata_upsert", """

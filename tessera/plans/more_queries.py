@@ -43,7 +43,17 @@ def str20(t):
 @query("agg15_family_groups", """
 SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey % 10 AS source, count(*) AS n, string_agg(DISTINCT l_partkey::VARCHAR, ',' ORDER BY l_partkey::VARCHAR) AS parts, count(DISTINCT l_orderkey) >= 2 AS confident FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2, 3, 4""")
 def agg15(t):
-    own = t.lineitem.where("l_quantity > 45").groupBy("l_returnflag", "l_linestatus", "l_linenumber", (F.col("l_suppkey") % 10).alias("source"))
+    return family_groups(t.lineitem.where("l_quantity > 45"))
+
+
+@query("agg15_family_groups_all", """
+SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey % 10 AS source, count(*) AS n, string_agg(DISTINCT l_partkey::VARCHAR, ',' ORDER BY l_partkey::VARCHAR) AS parts, count(DISTINCT l_orderkey) >= 2 AS confident FROM lineitem GROUP BY 1, 2, 3, 4""")
+def agg15_all(t):
+    return family_groups(t.lineitem)
+
+
+def family_groups(lineitem):
+    own = lineitem.groupBy("l_returnflag", "l_linestatus", "l_linenumber", (F.col("l_suppkey") % 10).alias("source"))
     return own.agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("l_partkey").cast("string"))), ",").alias("parts"), (F.countDistinct("l_orderkey") >= 2).alias("confident"))
 
 
@@ -116,9 +126,21 @@ def snk03(t):
 WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS f, l_returnflag AS v FROM lineitem WHERE l_suppkey % 3 = 0), i AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS f, l_returnflag AS v FROM lineitem WHERE l_suppkey % 3 = 1)
 SELECT i.k, i.f, i.v, CASE WHEN NOT EXISTS (SELECT 1 FROM l WHERE l.k = i.k AND l.f = i.f) THEN 'insert' WHEN EXISTS (SELECT 1 FROM l WHERE l.k = i.k AND l.f = i.f AND l.v = i.v) THEN 'unchanged' ELSE 'error_on_change' END AS action FROM i""")
 def snk04(t):
+    return ledger_changes(t, "l_suppkey % 3 = 0", "l_suppkey % 3 = 1")
+
+
+@query("snk04_ledger_changes_all", """
+WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS f, l_returnflag AS v FROM lineitem WHERE l_suppkey % 2 = 0), i AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS f, l_returnflag AS v FROM lineitem WHERE l_suppkey % 2 = 1)
+SELECT i.k, i.f, i.v, CASE WHEN NOT EXISTS (SELECT 1 FROM l WHERE l.k = i.k AND l.f = i.f) THEN 'insert' WHEN EXISTS (SELECT 1 FROM l WHERE l.k = i.k AND l.f = i.f AND l.v = i.v) THEN 'unchanged' ELSE 'error_on_change' END AS action FROM i""")
+def snk04_all(t):
+    """Even suppliers are the ledger, odd ones come in, so every row has a role."""
+    return ledger_changes(t, "l_suppkey % 2 = 0", "l_suppkey % 2 = 1")
+
+
+def ledger_changes(t, held, comes):
     rows = t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("f"), F.col("l_returnflag").alias("v"), F.struct("l_orderkey", "l_linenumber").alias("key"), "l_suppkey")
-    incoming = rows.where("l_suppkey % 3 = 1").drop("l_suppkey").distinct()
-    found = R.import_decisions(rows.where("l_suppkey % 3 = 0"), incoming, "key", "v")
+    incoming = rows.where(comes).drop("l_suppkey").distinct()
+    found = R.import_decisions(rows.where(held), incoming, "key", "v")
     action = F.when(F.col("decision") == "new", "insert").when(F.col("decision") == "unchanged", "unchanged").otherwise("error_on_change")
     return found.select("k", "f", "v", action.alias("action"))
 

@@ -79,11 +79,33 @@ def jon11(t):
     return R.known_as(keys.where("doc_id % 3 = 1"), known, "doc_id", "owner_id").withColumn("duplicate_of", F.array_join(F.array_sort(F.split("duplicate_of", ",")), ","))
 
 
+@query("jon11_known_candidates_all", """
+WITH k AS (SELECT doc_id, 'text:' || sha256(text) AS key FROM documents UNION SELECT doc_id, 'line:' || sha256(string_split(text, chr(10))[1]) FROM documents),
+owner AS (SELECT key, min(doc_id) AS owner FROM k WHERE doc_id % 2 = 0 GROUP BY key)
+SELECT doc_id, string_agg(DISTINCT owner::VARCHAR, ',' ORDER BY owner::VARCHAR) AS duplicate_of, string_agg(DISTINCT key, ',' ORDER BY key) AS matching_keys FROM k JOIN owner USING (key) WHERE doc_id % 2 = 1 GROUP BY doc_id""")
+def jon11_all(t):
+    """Even ids are known, odd ids are candidates, so every document has a role."""
+    keys = R.keyed(t.documents, "doc_id", {"text": F.sha2("text", 256), "line": F.sha2(F.split("text", "\n")[0], 256)})
+    known = keys.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "owner_id")
+    return R.known_as(keys.where("doc_id % 2 = 1"), known, "doc_id", "owner_id").withColumn("duplicate_of", F.array_join(F.array_sort(F.split("duplicate_of", ",")), ","))
+
+
 @query("jon12_jsn09_set_overlap", """
 WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_quantity > 45)
 SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(*) AS shared FROM p a JOIN p b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2 HAVING count(*) >= 2""")
 def jon12(t):
-    p = t.lineitem.where("l_quantity > 45").select("l_suppkey", "l_partkey").distinct()
+    return set_overlap(t.lineitem.where("l_quantity > 45"))
+
+
+@query("jon12_jsn09_set_overlap_all", """
+WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)
+SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(*) AS shared FROM p a JOIN p b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2 HAVING count(*) >= 2""")
+def jon12_all(t):
+    return set_overlap(t.lineitem)
+
+
+def set_overlap(lineitem):
+    p = lineitem.select("l_suppkey", "l_partkey").distinct()
     a, b = p.select(F.col("l_suppkey").alias("a"), "l_partkey"), p.select(F.col("l_suppkey").alias("b"), "l_partkey")
     return a.join(b, "l_partkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).where("shared >= 2")
 
@@ -108,6 +130,15 @@ def jon14(t):
     return R.unique_partner(t.lineitem.where("l_quantity > 40").select("l_orderkey", "l_suppkey"), "l_orderkey", "l_suppkey")
 
 
+@query("jon14_mat06_unique_partner_all", """
+WITH p AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem),
+n AS (SELECT l_orderkey, count(*) AS n, min(l_suppkey) AS partner FROM p GROUP BY 1),
+c AS (SELECT partner, count(*) AS claims FROM n WHERE n = 1 GROUP BY 1)
+SELECT l_orderkey, CASE WHEN n = 1 AND claims = 1 THEN partner END AS l_suppkey, CASE WHEN n > 1 THEN 'ambiguous' WHEN claims > 1 THEN 'revoked' ELSE 'confirmed' END AS status FROM n LEFT JOIN c USING (partner)""")
+def jon14_all(t):
+    return R.unique_partner(t.lineitem.select("l_orderkey", "l_suppkey"), "l_orderkey", "l_suppkey")
+
+
 @query("jon16_conservative_score", """
 SELECT l_orderkey, l_linenumber, l_partkey, (CASE WHEN p_size > 48 THEN -1 ELSE CASE WHEN l_quantity > 25 THEN 4 ELSE 0 END + CASE WHEN p_size > 25 THEN 3 ELSE 0 END END)::INTEGER AS score FROM lineitem JOIN part ON p_partkey = l_partkey""")
 def jon16(t):
@@ -302,7 +333,17 @@ def agg21(t):
 @query("agg25_coverage", """
 SELECT l_suppkey, count(DISTINCT l_returnflag) = 3 AS covered, concat_ws(',', CASE WHEN NOT bool_or(l_returnflag = 'A') THEN 'A' END, CASE WHEN NOT bool_or(l_returnflag = 'N') THEN 'N' END, CASE WHEN NOT bool_or(l_returnflag = 'R') THEN 'R' END) AS missing FROM lineitem WHERE l_quantity > 48 GROUP BY l_suppkey""")
 def agg25(t):
-    per = t.lineitem.where("l_quantity > 48").groupBy("l_suppkey").agg(F.array_except(F.array(*map(F.lit, "ANR")), F.collect_set("l_returnflag")).alias("left"))
+    return flag_coverage(t.lineitem.where("l_quantity > 48"))
+
+
+@query("agg25_coverage_all", """
+SELECT l_suppkey, count(DISTINCT l_returnflag) = 3 AS covered, concat_ws(',', CASE WHEN NOT bool_or(l_returnflag = 'A') THEN 'A' END, CASE WHEN NOT bool_or(l_returnflag = 'N') THEN 'N' END, CASE WHEN NOT bool_or(l_returnflag = 'R') THEN 'R' END) AS missing FROM lineitem GROUP BY l_suppkey""")
+def agg25_all(t):
+    return flag_coverage(t.lineitem)
+
+
+def flag_coverage(lineitem):
+    per = lineitem.groupBy("l_suppkey").agg(F.array_except(F.array(*map(F.lit, "ANR")), F.collect_set("l_returnflag")).alias("left"))
     return per.select("l_suppkey", (F.size("left") == 0).alias("covered"), F.array_join("left", ",").alias("missing"))
 
 
