@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, documents, partitions_for, text_of, written
@@ -63,16 +63,23 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp), a row per input row; null texts are empty, whose fingerprint is zero."""
+def version_of(text_col: str) -> Column:
+    """What tells the texts of a reused id apart."""
+    return F.xxhash64(text_of(text_col))
+
+
+def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", versions: bool = False) -> DataFrame:
+    """(doc_id, fp), a row per input row; null texts are empty, whose fingerprint is zero. ``versions`` adds a hash of the text."""
     bounded_batches(df.sparkSession)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = [fingerprint(x.as_buffer().to_pybytes(), shingle) for x in batch.column("raw")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(fp, pa.int64())], names=[*carried, "fp"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("raw")).mapInArrow(made, "doc_id long, fp long")
+    carried = ["doc_id", *["version"] * versions]
+    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), version_of(text_col).alias("version"), text_of(text_col).cast("binary").alias("raw"))
+    return slim.select(*carried, "raw").mapInArrow(made, ", ".join(f"{c} long" for c in [*carried, "fp"]))
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -168,25 +175,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_R
     return found.where("not large").select("a", "b").unionByName(met)
 
 
-def simhash_components(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_components(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text", versions: bool = False) -> DataFrame:
     """``doc_id, fingerprint, component_id``, a row per input row.
 
     ``component_id`` is the smallest id in the component, nulls left aside (null if it has
     none else). Repeated rows are the same document. Empty tables give empty results.
+    ``versions`` adds the texts' hashes as ``version``.
     """
-    docs = written(fingerprints(df, shingle, id_col, text_col), "fingerprints")
+    docs = written(fingerprints(df, shingle, id_col, text_col, versions), "fingerprints")
     distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
     star = components(links(distinct.select("fp"), radius, bucket_rows))
     rooted = distinct.join(star.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labelled = written(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return docs.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return docs.join(labelled, "fp").select("doc_id", *["version"] * versions, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``df`` with the document of the smallest id of each component; rows without an id stay."""
-    others = simhash_components(df, id_col=id_col, text_col=text_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("__other")).distinct()
-    return df.join(others, F.col(id_col).cast("long") == F.col("__other"), "left_anti")
+    """``df`` with the document of the smallest id of each component; rows without an id stay.
+
+    An id with several texts loses only those whose component has a smaller id.
+    """
+    found = simhash_components(df, id_col=id_col, text_col=text_col, versions=True, **options).where("doc_id <> component_id")
+    others = found.select(F.col("doc_id").alias("__other"), F.col("version").alias("__version")).distinct()
+    return df.join(others, (F.col(id_col).cast("long") == F.col("__other")) & (version_of(text_col) == F.col("__version")), "left_anti")
 
 
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

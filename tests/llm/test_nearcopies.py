@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tessera.llm import nearcopies
+from tessera.llm import nearcopies, simhash
 from tests.llm.cases import documents
 
 
@@ -74,3 +74,9 @@ def test_reused_ids_and_no_rows(spark):
     kept = nearcopies.one_of_each_near(documents(spark, data)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "a b c d e f"), (1, "a b c d e f"), (2, "own words of the second row")]
     assert nearcopies.one_of_each_near(documents(spark, [])).count() == 0
+
+
+def test_operator_keeps_other_texts_of_a_reused_id(spark):
+    data = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "own words of the second row"), (2, None), (3, ""), (None, "a b c d e f")]
+    kept = simhash.one_of_each(documents(spark, data)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "a b c d e f"), (1, "a b c d e f"), (2, ""), (2, "own words of the second row")]
