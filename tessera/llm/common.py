@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.shared import new_table, written
 
-__all__ = ["bounded_batches", "documents", "new_table", "partitions_for", "text_of", "written"]
+__all__ = ["bounded_batches", "documents", "new_table", "partitions_for", "sliced", "text_of", "written"]
 
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and about ``size`` bytes (one row at least), without copying."""
+    for batch in batches:
+        step = max(1, min(rows, int(batch.num_rows * size / max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Limit Arrow batches by rows and bytes, so that long texts don't add up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

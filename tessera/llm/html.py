@@ -1,9 +1,15 @@
 """Main-text extraction from HTML by block rules in two passes.
 
 First pass, each block by itself: what lies in menus, forms, adverts and the like, or is
-mostly links, is bad; long blocks with many stop words are good; the rest is undecided.
-Second pass: an undecided block takes the label of the nearest decided block, before or
-after it. Pages are read row by row inside Arrow batches; nothing is shuffled.
+mostly links, is bad; long blocks with many stop words are good; the rest is undecided. Where
+a page's prose has next to none of the known stop words, its language is taken as unknown, and
+length and link density decide alone. Second pass: an undecided block takes the label of the
+nearest decided block, before or after it; headings go with what follows.
+
+Class, id and role names mark an element only by a whole token, or by a compound all of whose
+parts are known. A compound, or a form, that holds most of the page's prose marks nothing,
+and neither does a whole token where such an element also holds the title or the article.
+Pages are read row by row inside Arrow batches; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -16,11 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, text_of
+from tessera.llm.common import sliced, text_of
 
-SHORT, LONG = 70, 200  # characters
-LINK_DENSITY = 0.3
+SHORT, LONG = 70, 200  # characters; one of a script without spaces or with syllable blocks counts three times
+LINK_DENSITY, LINKED_WHOLLY = 0.3, 0.8
 STOP_LOW, STOP_HIGH = 0.15, 0.28  # share of words
+STOP_KNOWN = 0.08  # below it, the page's language is not among those of the stop words
+MOST = 0.5  # of the page's prose
+ARTICLE_SHARE = 0.1  # an article with less of it does not stand for the page
 GOOD, BAD, OPEN = 1, 0, -1
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -39,60 +48,95 @@ BLOCK = frozenset(
     tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("nav footer aside form header menu dialog button select label fieldset figcaption head".split())
+SKIPPED = frozenset("nav footer aside header menu dialog button select label fieldset head form".split())
 SAME_CLOSES = frozenset("li dd dt tr td th option p".split())
 HEADING = re.compile(r"h[1-6]")
-# Words in class, id or role that mark what is not the article.
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline-ads|captcha|comments?|comment-?list|consent|cookies?|copyright|disqus|footer|form|gdpr|header|"
-    r"login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|alert|pager|pagination|popup|promo|promoted|recommend\w*|related|replies|respond|"
-    r"search|share|sharing|sidebar|sidenav|signup|skip-link|social|sponsor\w*|subscribe|tags|toolbar|widget)(?:$|[\s_-]|\d)",
-    re.IGNORECASE,
+TEXTUAL = frozenset("p pre blockquote figcaption caption dd dt td th h1 h2 h3 h4 h5 h6".split())  # never bad for lack of stop words
+# Names of classes, ids and roles that mark what is not the article, and words that may stand beside them in a compound.
+UNWANTED = frozenset(
+    """ad ads adsense advert adverts advertisement advertising alert banner breadcrumb breadcrumbs captcha comment comments
+    complementary consent contentinfo cookie cookies copyright dialog disqus footer form gdpr header login masthead menu menubar
+    modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommendations
+    recommended related replies respond search share sharing sidebar sidenav signup skip social sponsor sponsored sponsors
+    subscribe subscription tags toolbar widget widgets""".split()
 )
-LAYOUT = re.compile(r"\b(?:has|is|no|with|without)[-_][\w-]+", re.IGNORECASE)  # such names describe the page around, not the element
+BESIDE = frozenset(
+    """area bar block body bottom box button buttons center col column container content global group inner item items left link
+    links list main message middle outer page panel primary right secondary section site slot text thread title top wrap wrapper""".split()
+)
+ABOUT = frozenset("article entry main post story".split())  # an article's own header is part of it; its footer, comments and the like are not
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 MARKED = re.compile(r"""(?:\bclass|\bid|\brole)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
+LINK = re.compile(r"\bhref\s*=", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+SENTENCE_END = re.compile("[.!?\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4\u1362\u104b:;][\"'\u2019\u201d\u00bb)\\]\u300d]*$")
+OWNER = re.compile(r"(?:©|\(c\)|copyright\b)", re.IGNORECASE)
 RAW = "script|style|title|textarea|noscript|template|iframe|svg|object|canvas|xmp"
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\b[^>]*>|\Z)|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|"
     r"<(?P<end2>/?)(?P<name2>[a-z][^\s/>]*)(?P<rest2>[^>]*)>|<[!?][^>]*>|<[/a-z!?][^>]*\Z",
     re.IGNORECASE | re.DOTALL,
 )
+FIRM, TOKEN, COMPOUND = 3, 2, 1  # how surely an element is not the article
 
 
-def unwanted(rest: str) -> bool:
+def marked_by(rest: str, in_article: bool) -> int:
+    """How surely a tag's names say that its element is not the article; 0 if they don't."""
     if "=" not in rest and "hidden" not in rest:
-        return False
-    return any(UNWANTED.search(LAYOUT.sub(" ", a or b or c)) for a, b, c in MARKED.findall(rest)) or bool(HIDDEN.search(rest))
+        return 0
+    if HIDDEN.search(rest):
+        return FIRM
+    found = 0
+    for a, b, c in MARKED.findall(rest):
+        for token in (a or b or c).split():
+            parts = [x.lower() for x in NAME_PARTS.findall(token)]
+            bad = [x for x in parts if x in UNWANTED and not (in_article and x == "header")]
+            if not bad:
+                continue
+            if len(parts) == 1:
+                found = max(found, TOKEN)
+            elif all(x in UNWANTED or x in BESIDE or x in ABOUT for x in parts) and not (bad == ["header"] and ABOUT.intersection(parts)):
+                found = max(found, COMPOUND)
+    return found
+
+
+class Mark:
+    """An element that may not be the article: how surely, how much prose it holds and whether the title or an article is in it."""
+
+    def __init__(self, sure: int):
+        self.sure, self.prose, self.titled = sure, 0, False
 
 
 class Block:
-    """A stretch of text between block tags: text, characters within links, whether its container is unwanted, the article it is in."""
+    """A stretch of text between block tags: characters within links, its tag, what encloses it, whether it is in an article."""
 
-    def __init__(self, text: str, linked: int, skipped: bool, article: bool, heading: bool):
-        self.text, self.linked, self.skipped, self.article, self.heading = text, linked, skipped, article, heading
-        self.label = OPEN
+    def __init__(self, text: str, linked: int, tag: str, marks: tuple[Mark, ...], article: bool, heading: bool):
+        self.text, self.linked, self.tag, self.marks, self.article, self.heading = text, linked, tag, marks, article, heading
+        self.size = len(text) + 2 * len(WIDE.findall(text))
+        self.skipped, self.label = False, OPEN
 
 
 def blocks(html: str) -> list[Block]:
     """The non-empty blocks of a page, in order, with character references decoded and white space collapsed."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, unwanted, article: both hold for what is inside
+    stack: list[tuple[str, tuple[Mark, ...], bool, bool]] = []  # tag; what encloses the inside, whether it is in an article, whether it is muted
     parts: list[str] = []
     linked: list[str] = []
-    links = 0
+    links = 0  # one more than the depth of the open link
 
     def close() -> None:
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            _, skipped, article = stack[-1] if stack else ("", False, False)
+            _, marks, article, _ = stack[-1] if stack else ("", (), False, False)
+            tag = next((x[0] for x in reversed(stack) if x[0] in BLOCK), "")
             heading = any(HEADING.fullmatch(x[0]) for x in stack[-3:])
-            found.append(Block(text, len(" ".join(unescape(" ".join(linked)).split())), skipped, article, heading))
+            found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), tag, marks, article, heading))
         parts.clear()
         linked.clear()
 
     def add(piece: str) -> None:
-        if piece:
+        if piece and not (stack and stack[-1][3]):
             parts.append(piece)
             if links:
                 linked.append(piece)
@@ -109,68 +153,112 @@ def blocks(html: str) -> list[Block]:
             add(" ")
             continue
         if name == "a":
-            links = 0 if ends else 1
+            links = 0 if ends or not LINK.search(rest) else len(stack) + 1
         if name in BLOCK:
             close()
         if ends:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if depth is not None:
-                if any(x[1] for x in stack[depth:]) and name not in BLOCK:
-                    close()
                 del stack[depth:]
+                if depth < links - 1:  # a link that was never closed ends with what it was opened in
+                    links = 0
             continue
         if name in VOID or rest.endswith("/"):
             continue
         if name in BLOCK and stack and stack[-1][0] == "p" or name in SAME_CLOSES and stack and stack[-1][0] == name:
             stack.pop()
-        _, skipped, article = stack[-1] if stack else ("", False, False)
-        own = name not in ("html", "body") and unwanted(rest)
-        skips = skipped or own or name in SKIPPED and not (name == "header" and article)
-        if skips != skipped and name not in BLOCK:
-            close()
-        if name != "a" or skips != skipped:
-            stack.append((name, skips, (article or name in ("article", "main")) and not skips))
+        _, marks, article, muted = stack[-1] if stack else ("", (), False, False)
+        sure = 0 if name in ("html", "body") else marked_by(rest, article)
+        if name in SKIPPED and not (name == "header" and article):
+            sure = max(sure, COMPOUND if name == "form" else FIRM)
+        if name in ("h1", "article", "main"):
+            for x in marks:
+                x.titled = True
+        if sure and name not in BLOCK:
+            muted = muted or sure > COMPOUND  # part of a line: its text goes, the line stays one block
+        elif sure:
+            marks = (*marks, Mark(sure))
+        if name != "a" or muted:
+            stack.append((name, marks, article or name in ("article", "main"), muted))
     add(html[at:])
     close()
     return found
 
 
-def first_pass(block: Block) -> int:
-    size = len(block.text)
-    if block.skipped or block.linked > LINK_DENSITY * size:
+def unlinked(found: list[Block]) -> int:
+    return sum(b.size for b in found if b.size > 2 * b.linked)
+
+
+def settle_marks(found: list[Block]) -> None:
+    """Which blocks are in elements that are not the article, once it is known how much of the page's prose these hold."""
+    prose = [b for b in found if not any(x.sure == FIRM for x in b.marks)]
+    for b in prose:
+        for x in b.marks:
+            x.prose += b.size if b.size > 2 * b.linked else 0
+    most = MOST * max(1, unlinked(prose))
+    for b in found:
+        b.skipped = any(x.sure == FIRM or x.prose < most or x.sure == TOKEN and not x.titled for x in b.marks)
+
+
+def stop_share(text: str) -> tuple[int, int]:
+    """Stop words and words."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), len(words)
+
+
+def first_pass(block: Block, known: bool) -> int:
+    """``known``: the page's language has stop words here."""
+    size = block.size
+    if block.skipped or OWNER.match(block.text):
+        return BAD
+    share = block.linked / len(block.text)
+    if share > (LINKED_WHOLLY if block.article or len(block.text) - block.linked >= SHORT else LINK_DENSITY) and not (block.heading or block.article and block.tag in TEXTUAL and size >= SHORT):
         return BAD
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
     if size < SHORT:
-        return BAD if block.linked else OPEN
-    if stops >= STOP_HIGH and size > LONG or block.article and stops >= STOP_LOW:
+        return OPEN
+    ended = bool(SENTENCE_END.search(block.text))
+    if not known:
+        return GOOD if size > LONG or ended else OPEN
+    stops, words = stop_share(block.text)
+    if stops >= STOP_HIGH * words and size > LONG or block.article and stops >= STOP_LOW * words:
         return GOOD
-    return OPEN if stops >= STOP_LOW or block.article else BAD
+    return OPEN if stops >= STOP_LOW * words or block.article or ended or block.tag in TEXTUAL else BAD
 
 
 def classified(found: list[Block]) -> list[Block]:
-    """Both passes. Where the page marks an article, only its blocks can be good, and neighbours are looked for within it."""
-    inside = [b for b in found if b.article]
-    pool = inside or found
-    for b in found:
-        b.label = first_pass(b) if b.article or not inside else BAD
-    n, decided = len(pool), [b.label for b in pool]
-    if inside and GOOD not in decided:  # an article of short blocks only
-        decided = [GOOD if x == OPEN else x for x in decided]
+    """Both passes. Where the page marks an article, only its blocks can be good, and neighbours are looked for within it.
+
+    Where no block is good, undecided ones with whole sentences or some length are, or else all undecided ones.
+    """
+    settle_marks(found)
+    free = [b for b in found if not b.skipped]
+    inside = [b for b in free if b.article]
+    if unlinked(inside) < ARTICLE_SHARE * unlinked(free):
+        inside = []
+    pool = [b for b in found if b.article] if inside else found
+    counts = [stop_share(b.text) for b in (inside or free) if b.size > 2 * b.linked]
+    known = sum(x for x, _ in counts) >= STOP_KNOWN * sum(x for _, x in counts)
+    decided = [first_pass(b, known) for b in pool]
+    if GOOD not in decided:
+        sure = [GOOD if x == OPEN and (b.size >= SHORT or SENTENCE_END.search(b.text)) else x for x, b in zip(decided, pool, strict=True)]
+        decided = sure if GOOD in sure else [GOOD if x == OPEN else x for x in decided]
+    n = len(pool)
     before, after = [None] * n, [None] * n  # the nearest decided block on either side
     for k in range(n):
         before[k] = k if decided[k] != OPEN else before[k - 1] if k else None
     for k in range(n - 1, -1, -1):
         after[k] = k if decided[k] != OPEN else after[k + 1] if k < n - 1 else None
+    for b in found:
+        b.label = BAD
     for k, b in enumerate(pool):
         near = [j for j in (after[k], before[k]) if j is not None]
-        if decided[k] == OPEN:
-            # The nearer one decides; at equal distance a heading goes with what follows, other blocks with the good one.
-            least = min((abs(j - k) for j in near), default=0)
-            tied = [decided[j] for j in near if abs(j - k) == least]
-            b.label = (tied[0] if b.heading else max(tied)) if tied else BAD
-        else:
+        if decided[k] != OPEN:
             b.label = decided[k]
+        elif b.heading and near:
+            b.label = decided[near[0]]
+        else:  # the nearer one decides, at equal distance the good one
+            least = min((abs(j - k) for j in near), default=0)
+            b.label = max((decided[j] for j in near if abs(j - k) == least), default=BAD)
     return found
 
 
@@ -179,11 +267,15 @@ def main_text(html: str) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, text``, a row per input row; null or empty html gives an empty text. Other columns are left out."""
-    bounded_batches(pages.sparkSession)
+    """``page_id, url, text``, a row per input row; null or empty html gives an empty text.
+
+    Repeated rows give a row each, an empty table gives none, null ids and URLs stay null, and
+    other columns are left out. Pages are read whole, however long; of blocks at equal distance
+    from a good and a bad one, the good one decides.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = pa.array([main_text(x) for x in batch.column("html").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts], names=["page_id", "url", "text"])
 
@@ -193,11 +285,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 def labelled_blocks(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """A row per block: ``page_id, block, text, link_density, good``."""
-    bounded_batches(pages.sparkSession)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("block", pa.int32()), ("text", pa.string()), ("link_density", pa.float64()), ("good", pa.bool_())])
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [
                 {"page_id": page, "block": k, "text": b.text, "link_density": b.linked / len(b.text), "good": b.label == GOOD}
                 for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True)

@@ -156,9 +156,64 @@ def test_main_text(page, text):
 
 def test_extraction_keeps_every_row(spark):
     pages = spark.createDataFrame([(1, "u", f"<article><p>{ARTICLE}</p></article>", "x"), (None, None, None, "y"), (1, "u", "<p>a", "z")], "page_id long, url string, html string, text string")
-    assert both(html.extract(pages), "page_id", "url", "text") == sorted([(1, "u", ARTICLE), (None, None, ""), (1, "u", "")], key=repr)
-    assert html.labelled_blocks(pages).where("good").count() == 1
+    assert both(html.extract(pages), "page_id", "url", "text") == sorted([(1, "u", ARTICLE), (None, None, ""), (1, "u", "a")], key=repr)
+    assert html.labelled_blocks(pages).where("good").count() == 2
     assert html.extract(pages.limit(0)).count() == 0
+    long = spark.createDataFrame([(7, "u", f"<article>{f'<p>{ARTICLE}</p>' * 20_000}</article>")] * 2, "page_id long, url string, html string")
+    assert [len(r.text) for r in html.extract(long).collect()] == [20_000 * (len(ARTICLE) + 1) - 1] * 2
+
+
+PROSE = {  # plain sentences written for this test
+    "en": ["The river rose after the long rain and the village had to wait for the boats.", "Nobody in the house knew why the lamp was still burning.", "She counted the apples twice, and then she gave them all away."],
+    "de": ["Der Fluss stieg nach dem langen Regen, und das Dorf wartete auf die Boote.", "Niemand im Haus wusste, warum die Lampe noch brannte.", "Sie zählte die Äpfel zweimal und verschenkte sie dann alle."],
+    "it": ["Il fiume crebbe dopo la lunga pioggia e il paese dovette aspettare le barche.", "Nessuno nella casa sapeva perché la lampada fosse ancora accesa.", "Contò le mele due volte e poi le regalò tutte quante ai vicini."],
+    "pl": ["Rzeka wezbrała po długim deszczu i wioska musiała czekać na łodzie.", "Nikt w domu nie wiedział, dlaczego lampa wciąż się paliła.", "Policzyła jabłka dwa razy, a potem wszystkie rozdała sąsiadom."],
+    "ru": ["Река поднялась после долгого дождя, и деревня ждала лодок.", "Никто в доме не знал, почему лампа всё ещё горела.", "Она дважды пересчитала яблоки, а потом раздала их все."],
+    "el": ["Το ποτάμι φούσκωσε μετά τη μεγάλη βροχή και το χωριό περίμενε τις βάρκες.", "Κανείς στο σπίτι δεν ήξερε γιατί η λάμπα έκαιγε ακόμη.", "Μέτρησε τα μήλα δύο φορές και μετά τα χάρισε όλα."],
+    "ja": ["長い雨のあとで川の水が増えて、村の人々は船を待たなければならなかった。", "なぜまだ明かりがついているのか、家の誰も知らなかった。", "彼女はりんごを二度数えて、それから全部人にあげてしまった。"],
+    "zh": ["长时间的雨后河水上涨，村里的人只好等待船只到来。", "屋里没有人知道为什么那盏灯还亮着。", "她把苹果数了两遍，然后全都送给了邻居。"],
+    "ar": ["ارتفع النهر بعد المطر الطويل واضطرت القرية إلى انتظار القوارب.", "لم يعرف أحد في البيت لماذا كان المصباح لا يزال مضاء.", "عدت التفاح مرتين ثم أعطته كله للجيران."],
+    "hi": ["लंबी बारिश के बाद नदी चढ़ गई और गाँव को नावों का इंतज़ार करना पड़ा।", "घर में कोई नहीं जानता था कि दीपक अब तक क्यों जल रहा था।", "उसने सेब दो बार गिने और फिर सब बाँट दिए।"],
+}
+MENU = "<ul>" + "".join(f"<li><a href=/{k}>section number {k}</a></li>" for k in range(8)) + "</ul>"
+LAYOUTS = [
+    "<nav>{menu}</nav><article>{body}</article><footer>© 2024 site</footer>",
+    "<div class='site-header'>{menu}</div><div class='layout sidebar-right'><div class=content>{body}</div><div class=sidebar>{menu}<p>{other}</p></div></div>",
+    "<div id=top>{menu}</div><div class='post hentry comments-open'>{body}</div><div id=comments><p>{other}</p></div><div>© 2024 site</div>",
+    "<header>{menu}</header><main id='related-work'>{body}</main><div class='cookie-notice'><p>{other}</p></div>",
+    "<form id=aspnetForm><div class=navbar>{menu}</div><div>{body}</div><div class=footer>{other}</div></form>",
+    "<table><tr><td>{menu}</td><td>{body}</td></tr></table><div class='newsletter signup'>{other}</div>",
+]
+
+
+def test_main_text_in_many_scripts_and_layouts():
+    wanted = right = given = 0
+    for lang, sentences in PROSE.items():
+        for k, layout in enumerate(LAYOUTS):
+            own = [sentences[0], " ".join(sentences), sentences[1], " ".join(sentences[::-1]), sentences[2]]
+            body = f"<h1>{sentences[1]}</h1>" + "".join(f"<p>{x}</p>" for x in own)
+            got = html.main_text(f"<html lang={lang}><body>{layout.format(menu=MENU, body=body, other=sentences[k % 3] + ' !')}</body></html>").split("\n")
+            expected = [sentences[1], *own]
+            wanted, given = wanted + sum(map(len, expected)), given + sum(map(len, got))
+            right += sum(len(x) for x in got if x in expected)
+    assert right / wanted >= 0.95 and right / given >= 0.95, (right / wanted, right / given)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>Ships sail.</p><p>Storms hit.</p>", "Ships sail.\nStorms hit."),
+        (f"<div class='article-header'><h1>Title</h1></div><div><p>{ARTICLE} {ARTICLE}</p></div>", f"Title\n{ARTICLE} {ARTICLE}"),
+        (f"<figure><img><figcaption>A boat</figcaption></figure><p>{ARTICLE} {ARTICLE}</p>", f"A boat\n{ARTICLE} {ARTICLE}"),
+        (f"<article><p>{ARTICLE}</p><p>See <a href=/x>{ARTICLE[:60]}</a> for it.</p></article>", f"{ARTICLE}\nSee {ARTICLE[:60]} for it."),
+        (f"<p>{ARTICLE} {ARTICLE}</p><pre>{'x = y + z; ' * 30}</pre><p>{ARTICLE} {ARTICLE}</p>", f"{ARTICLE} {ARTICLE}\n{('x = y + z; ' * 30).strip()}\n{ARTICLE} {ARTICLE}"),
+        (f"<article><h1><a href=/self>The title</a></h1><p><a name=here>{ARTICLE} <span class=ad>buy</span>end</p></article>", f"The title\n{ARTICLE} end"),
+        (f"<p>{ARTICLE} {ARTICLE}</p><div class=comments><h3>Comments</h3>{f'<p>{ARTICLE} {ARTICLE}</p>' * 9}</div>", f"{ARTICLE} {ARTICLE}"),
+        (f"<div>{MENU}</div><div class=x><h2>Head</h2><img><p>{ARTICLE} {ARTICLE}</p></div><p>© me</p>", f"Head\n{ARTICLE} {ARTICLE}"),
+    ],
+)
+def test_main_text_keeps_the_article(page, text):
+    assert html.main_text(page) == text
 
 
 def test_pipeline_runs_stage_by_stage(spark):
