@@ -1,16 +1,16 @@
 """Quality classifier on subword vectors, trained by numpy stochastic gradient descent.
 
-A document is the average of the vectors of its hashed words, their character n-grams and
-its immediate word repeats; a softmax layer turns that into a probability. Training sees a
-bounded sample of labelled documents (``TRAIN_DOCS`` whole texts of at most
+A document is the average of the vectors of its hashed words, their character n-grams and its
+hashed pairs of neighbouring words; a softmax layer turns that into a probability. A pair's
+hash is the difference of its words' hashes, so pairs of one word with itself share a vector.
+Training sees a bounded sample of labelled documents (``TRAIN_DOCS`` whole texts of at most
 ``TRAIN_CHARS`` characters); every document is scored whole. Average and output layer are
 linear, so scoring needs one number a bucket instead of a vector, and one complex number
-(sum, count) a cached word.
+(sum, count) and a hash for each cached word.
 """
 
 from __future__ import annotations
 
-import operator
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -20,14 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, documents, text_of
+from tessera.llm.common import documents, sliced
 
-BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 8, 8, 0.5
+BUCKETS, PAIR_BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 1 << 15, 8, 8, 0.5
 GRAMS = (3, 4)
 TRAIN_DOCS, TRAIN_CHARS = 2000, 50_000
 FOLDS, HELD_OUT = 3, 1
 CACHE_WORDS, CACHE_CHARS = 400_000, 48
-REPEAT = "\0="  # stands for a word that follows itself
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -44,18 +43,27 @@ def features(word: str, buckets: int) -> list[int]:
     return found
 
 
+def word_hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace"))
+
+
+def pair_features(hashes: list[int], buckets: int) -> np.ndarray:
+    """Buckets of neighbouring words, behind those of words and n-grams."""
+    return np.diff(np.array(hashes, np.int64)) % PAIR_BUCKETS + buckets
+
+
 class Model:
-    """Vectors, output layer and bias for two classes."""
+    """Vectors, output layer and bias for two classes. ``buckets`` are those of words and n-grams."""
 
     def __init__(self, buckets: int = BUCKETS, dimensions: int = DIMENSIONS, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.vectors = rng.uniform(-1 / dimensions, 1 / dimensions, (buckets, dimensions))
+        self.vectors = rng.uniform(-1 / dimensions, 1 / dimensions, (buckets + PAIR_BUCKETS, dimensions))
         self.output = np.zeros((dimensions, 2))
         self.bias = np.zeros(2)
 
     def train(self, texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = 2) -> Model:
         """Gradient descent, one document at a time, with a rate that falls to zero."""
-        buckets, cache = len(self.vectors), {}
+        buckets, cache = len(self.vectors) - PAIR_BUCKETS, {}
         examples = []
         for text, label in zip(texts, labels, strict=True):
             words = text.split()
@@ -63,8 +71,7 @@ class Model:
             for w in words:
                 flat.extend(cache[w] if w in cache else cache.setdefault(w, array("i", features(w, buckets))))
             flat = np.frombuffer(flat, np.int32) if words else np.zeros(0, np.int32)
-            repeats = sum(map(operator.eq, words[1:], words))
-            flat = np.concatenate([flat, np.full(repeats, features(REPEAT, buckets)[0], np.int32)])
+            flat = np.concatenate([flat, pair_features([word_hash(w) for w in words], buckets)])
             if len(flat):
                 own, counts = np.unique(flat, return_counts=True)
                 examples.append((own, (counts / len(flat)).astype(np.float32), label))
@@ -101,45 +108,50 @@ _worker: dict = {}  # word sums of this Python worker, by model
 def scores(texts: list[str], weights: np.ndarray, bias: float, key: int) -> list[float]:
     """The probability of label 1 for each whole text."""
     if _worker.get("key") != key:
-        _worker.update(key=key, weights=weights.tolist(), words={})
-    table, cache, buckets = _worker["weights"], _worker["words"], len(weights)
-    repeat = table[features(REPEAT, buckets)[0]]
+        _worker.update(key=key, weights=weights.tolist(), words={}, hashes={})
+    table, cache, hashes, buckets = _worker["weights"], _worker["words"], _worker["hashes"], len(weights) - PAIR_BUCKETS
     out = []
     for text in texts:
         words = text.split()
         long: dict[str, complex] = {}
         for w in set(words).difference(cache):
+            hashes[w] = word_hash(w)
             ids = features(w, buckets)
             (cache if len(w) <= CACHE_CHARS else long)[w] = complex(sum(map(table.__getitem__, ids)), len(ids))
         total = sum(map(cache.__getitem__, words), 0j) if not long else sum((long[w] if w in long else cache[w] for w in words), 0j)
-        repeats = sum(map(operator.eq, words[1:], words))
-        total += complex(repeats * repeat, repeats)
+        pairs = pair_features(list(map(hashes.__getitem__, words)), buckets)
+        total += complex(weights[pairs].sum(dtype=np.float64), len(pairs))
+        for w in long:
+            del hashes[w]
         logit = bias + (total.real / total.imag if total.imag else 0.0)
         out.append(1 / (1 + np.exp(-min(max(logit, -500.0), 500.0))))
         if len(cache) > CACHE_WORDS:
             cache.clear()
+            hashes.clear()
     return out
 
 
 def training_sample(df: DataFrame, labels: DataFrame, size: int = TRAIN_DOCS, chars: int = TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[list[str], list[int]]:
-    """At most ``size`` labelled documents outside the held-out fold, chosen by a hash of their id."""
-    known = labels.where(F.col(label_col).isin(0, 1) & (fold(id_col, FOLDS) != HELD_OUT)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
-    order = F.xxhash64("__id", F.lit(7))
-    chosen = known.orderBy(order, "__id", "__label").limit(size)
-    texts = df.where(F.length(text_col) <= chars).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    # ``size`` rows of two numbers: a bounded broadcast.
-    rows = texts.join(F.broadcast(chosen), "__id").collect()
-    rows = sorted({(r["__id"], r["__label"], r["__text"]) for r in rows})[:size]
-    return [r[2] for r in rows], [r[1] for r in rows]
+    """At most ``size`` labelled documents of at most ``chars`` characters outside the held-out fold, chosen by a hash of id and text.
+
+    Only labels that have such a document count. Repeated rows are one document; an id with
+    both labels is learned with both.
+    """
+    known = labels.where(F.col(label_col).isin(0, 1) & (fold(id_col, FOLDS) != HELD_OUT)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")).distinct()
+    short = df.where(F.length(text_col) <= chars).select(F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__version"), F.col(text_col).cast("string").alias("__text"))
+    order = [F.xxhash64("__id", "__version", F.lit(7)), F.col("__id"), F.col("__version"), F.col("__label")]
+    chosen = short.select("__id", "__version").join(known, "__id").distinct().orderBy(*order).limit(size)
+    # ``size`` rows of three numbers: a bounded broadcast. Its rows fetch their texts, one each.
+    rows = short.join(F.broadcast(chosen), ["__id", "__version"]).distinct().orderBy(*order).limit(size).collect()
+    return [r["__text"] for r in rows], [r["__label"] for r in rows]
 
 
 def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row, or with ``keep`` all columns and ``score``.
 
     Null and empty texts get the bias's probability. A null id is not held out. Repeated
-    rows are scored alike.
+    rows are scored alike, texts are scored whole, however long, and an empty table gives no rows.
     """
-    bounded_batches(df.sparkSession)
     weights, bias = model.collapsed()
     weights = weights.astype(np.float32)
     key = zlib.crc32(weights.tobytes())
@@ -147,7 +159,7 @@ def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     schema = slim.schema if keep else "doc_id long, score double"
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = pa.array(scores([x or "" for x in batch.column(text_col).to_pylist()], weights, bias, key), pa.float64())
             if keep:
                 yield batch.set_column(batch.schema.get_field_index("score"), "score", made)

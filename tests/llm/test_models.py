@@ -46,12 +46,23 @@ def test_quality_score_is_the_models(spark):
     model = quality.Model(buckets=1 << 10).train(["good words here", "BAD!! BAD!!"] * 20, [1, 0] * 20)
     weights, bias = model.collapsed()
     text = "good BAD!! BAD!! words"
-    ids = [x for w in text.split() for x in quality.features(w, 1 << 10)] + quality.features(quality.REPEAT, 1 << 10)[:1]
+    ids = [x for w in text.split() for x in quality.features(w, 1 << 10)] + quality.pair_features([quality.word_hash(w) for w in text.split()], 1 << 10).tolist()
+    assert ids[-2] == 1 << 10
     logits = model.vectors[ids].mean(0) @ model.output + model.bias
     p = np.exp(logits[1]) / np.exp(logits).sum()
     assert abs(quality.scores([text], weights, bias, 1)[0] - p) < 1e-9
 
 
+def test_quality_sample_is_joined_and_bounded(spark):
+    docs = documents(spark, [(k % 7, f"text {k % 20}") for k in range(200)] + [(100, "x" * 500), (None, "no id")])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3000)] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    texts, marks = quality.training_sample(docs, labels, 10, 100)
+    wanted = {(f"text {k % 20}", m) for k in range(200) if quality.zlib.crc32(str(k % 7).encode()) % 3 != 1 for m in ({k % 7 % 2, 0} if k % 7 == 1 else {k % 7 % 2})}
+    assert len(texts) == 10 and set(zip(texts, marks, strict=True)) <= wanted
+    assert (texts, marks) == quality.training_sample(docs.repartition(3), labels.repartition(2), 10, 100)
+    assert len(quality.training_sample(docs, labels, 5000, 100)[0]) > len(wanted) - 1
+
+
 def language_rows():
     rng = random.Random(6)
     kinds = {"xx": "bral noq tivu zzek wopl", "yy": "ése ñar lío camú trü", "zz": "straß über größ schön äpf"}
@@ -67,11 +78,53 @@ def test_language_of_held_out_texts(spark):
     assert odd[500] == odd[501] == odd[502] == ("und", 0.0) and odd[503][0] == odd[None][0] == "xx"
     held = got.where("held_out and doc_id < 500").join(docs, "doc_id")
     assert held.count() > 30 and held.where("lang_pred = lang").count() / held.count() > 0.95
+    marks = documents(spark, [(1, "\u00bd \u00b2 \u2167 \u2460"), (2, "\u00bd a"), (3, "\u02b0"), (4, "_ 9 \u0661")])
+    assert [x for _, x in both(langid.predict(marks, langid.Network(["q"])), "doc_id", "lang_pred")] == ["und", "q", "q", "und"]
     empty = docs.limit(0)
     assert langid.predict(empty, langid.trained(empty)).count() == 0
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned_from_few_rows(spark):
+    data = [(k % 900, f"w{k % 300}" * 5 + "\n" * (k // 900), f"l{k % 300}") for k in range(1800)] + [(5000, "the same row", "l0")] * 500
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    classes, windows, labels = langid.training_windows(docs)
+    assert len(classes) == 300 and set(labels.tolist()) == set(range(300))
+    # repeated rows are one document
+    own = {(i, t, x) for i, t, x in data if langid.has_letter(t) and quality.zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(labels) <= langid.DOC_WINDOWS * len(own) and len(windows) == len(labels)
+    assert langid.per_language(4) == langid.LANG_DOCS and langid.per_language(langid.MOST_LANGS) * langid.MOST_LANGS <= langid.TRAIN_DOCS
+
+
+def naive_probabilities(net, raw):
+    """One whole text, one byte after the other, in both directions."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def run(p, data):
+        h, size, out = np.zeros(p["h"].shape[0]), p["h"].shape[0], []
+        for c in data:
+            x, u = p["x"][c] + p["b"], h @ p["h"]
+            z, r = sigmoid(x[:size] + u[:size]), sigmoid(x[size : 2 * size] + u[size : 2 * size])
+            h = (1 - z) * np.tanh(x[2 * size :] + r * u[2 * size :]) + z * h
+            out.append(h)
+        return np.array(out)
+
+    logits = np.concatenate([run(net.ahead, raw), run(net.back, raw[::-1])[::-1]], 1) @ net.out["w"] + net.out["b"]
+    p = np.exp(logits - logits.max(1, keepdims=True))
+    return (p / p.sum(1, keepdims=True)).mean(0)
+
+
+def test_whole_texts_as_read_byte_by_byte(spark):
+    docs = spark.createDataFrame(language_rows(), "doc_id long, text string, lang string")
+    rng = random.Random(3)
+    raws = [t.encode() for _, t, _ in language_rows()[:9]] + [b"x", "".join(rng.choice(" abglnorqtvzäé") for _ in range(20_000)).encode(), ("bral noq tivu " * 500).encode()]
+    raws += [rng.choice(raws[:9])[:50] + bytes(rng.randrange(32, 127) for _ in range(n)) for n in (4046, 4047, 4500, 4558, 4559, 8200)]
+    for net in (langid.trained(docs), langid.Network(["a", "b", "c"])):
+        got = net.probabilities(raws)
+        for raw, p in zip(raws, got, strict=True):
+            assert np.abs(naive_probabilities(net, raw) - p).max() < 1e-4
+
+
 def test_network_gradients_are_right():
     rng = np.random.default_rng(0)
     net = langid.Network(["a", "b"], hidden=3)
