@@ -1,15 +1,18 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads windows of bytes in both directions, gives every position a probability
-for each language, and a document's are the mean over all its positions. It is trained in
-numpy by backpropagation through time on a bounded sample: ``LANG_DOCS`` documents of each
-of at most ``LANGS`` languages, ``DOC_WINDOWS`` windows each from anywhere in the text.
-Every document is read whole, cut into windows that are run side by side.
+The network reads bytes in both directions, gives every position a probability for each
+language, and a document's are the mean over all its positions. It is trained in numpy by
+backpropagation through time on a bounded sample: at most ``LANG_DOCS`` documents of each
+language, fewer where languages are so many that this makes over ``TRAIN_DOCS`` in all, and
+``DOC_WINDOWS`` windows of each from anywhere in the text. Every language is learned.
+
+Documents are read whole, many side by side. A long one is read in stretches: its forward
+state is carried from one to the next, and the backward pass of a stretch begins ``OVERLAP``
+bytes behind its end, or at the end of the text if that comes first.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,16 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, documents, text_of
+from tessera.llm.common import documents, sliced, text_of
 from tessera.llm.quality import fold
 
-HIDDEN, WINDOW, TRAIN_WINDOW = 8, 128, 64
-LANG_DOCS, LANGS, DOC_WINDOWS = 400, 200, 3
+HIDDEN, TRAIN_WINDOW = 8, 64
+LANG_DOCS, TRAIN_DOCS, DOC_WINDOWS = 400, 80_000, 3
+MOST_LANGS = 20_000
 SPARE = 4
 STEPS, BATCH, RATE = 260, 160, 0.02
 FOLDS, HELD_OUT = 4, 2
-SIDE_BY_SIDE = 4096
-LETTER = re.compile(r"[^\W\d_]")
+STRETCH, OVERLAP = 4096, 512
+POSITIONS, LOGITS = 1 << 20, 1 << 20  # of a stretch of all documents side by side, whose states are held; of probabilities held at once
+ROWS, BYTES = 16_384, 32 << 20  # of documents that are read together
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of a letter category (Lu, Ll, Lt, Lm, Lo), as the sample's ``\\p{L}`` has it."""
+    return any(map(str.isalpha, text))
 
 
 def gates(hidden: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -117,31 +127,79 @@ class Network:
                     part[k] -= (now * mean[k] / (np.sqrt(square[k]) + 1e-8)).astype(np.float32)
         return self
 
-    def window_sums(self, windows: list[bytes]) -> np.ndarray:
-        """Per window, the probabilities of the classes summed over its positions. Windows come longest first."""
-        sizes = np.array([len(x) for x in windows])
-        steps, wide = int(sizes[0]), len(windows)
-        padded = b"".join(x.ljust(steps, b"\0") for x in windows)
-        codes = np.frombuffer(padded, np.uint8).reshape(wide, steps).T
-        active = (sizes[None, :] > np.arange(steps)[:, None]).sum(1)
-        flip = np.maximum(sizes[None, :] - 1 - np.arange(steps)[:, None], 0)
-        columns = np.arange(wide)[None, :]
-        a = run_direction(self.ahead, codes, active)
-        b = run_direction(self.back, codes[flip, columns], active)[flip, columns]
-        size = a.shape[2]
-        p = softmax(a @ self.out["w"][:size] + b @ self.out["w"][size:] + self.out["b"])
-        p *= (sizes[None, :] > np.arange(steps)[:, None])[:, :, None]
-        return p.sum(0)
+    def stretch_sums(self, codes: np.ndarray, active: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+        """Per document, the probabilities summed over the positions of a stretch of it.
+
+        ``codes`` (positions, documents) reach ``OVERLAP`` beyond the stretch; the first ``active[t]`` documents have
+        position t. ``ahead`` is the forward state, which is moved to the stretch's end.
+        """
+        steps, wide = min(STRETCH, len(codes)), codes.shape[1]
+        size = ahead.shape[1]
+        a, b = np.zeros((2, steps, wide, size), np.float32)
+        table, inner = halved(self.ahead)
+        for t in range(steps):
+            n = active[t]
+            ahead[:n] = a[t, :n] = moved(ahead[:n], table[codes[t, :n]], inner)
+        table, inner = halved(self.back)
+        back = np.zeros((wide, size), np.float32)
+        for t in range(len(codes) - 1, -1, -1):
+            n = active[t]
+            back[:n] = moved(back[:n], table[codes[t, :n]], inner)
+            if t < steps:
+                b[t, :n] = back[:n]
+        total = np.zeros((wide, len(self.classes)))
+        together = max(1, LOGITS // (wide * len(self.classes)))
+        for t in range(0, steps, together):
+            own = slice(t, min(steps, t + together))
+            p = softmax(a[own] @ self.out["w"][:size] + b[own] @ self.out["w"][size:] + self.out["b"])
+            p *= (np.arange(wide)[None, :] < active[own, None])[:, :, None]
+            total += p.sum(0)
+        return total
 
     def probabilities(self, raws: list[bytes]) -> np.ndarray:
         """Mean class probabilities of each non-empty byte string."""
-        windows = [(raw[k : k + WINDOW], d) for d, raw in enumerate(raws) for k in range(0, len(raw), WINDOW)]
-        windows.sort(key=lambda x: -len(x[0]))
+        sizes = np.array([len(x) for x in raws], np.int64)
+        order = np.argsort(-sizes, kind="stable")
         total = np.zeros((len(raws), len(self.classes)))
-        for at in range(0, len(windows), SIDE_BY_SIDE):
-            own = windows[at : at + SIDE_BY_SIDE]
-            np.add.at(total, [d for _, d in own], self.window_sums([x for x, _ in own]))
-        return total / np.maximum([len(x) for x in raws], 1)[:, None]
+        at = 0
+        while at < len(order) and sizes[order[at]]:
+            own = order[at : at + max(1, POSITIONS // min(STRETCH, int(sizes[order[at]])))]
+            at += len(own)
+            ahead = np.zeros((len(own), self.ahead["h"].shape[0]), np.float32)
+            for s in range(0, int(sizes[own[0]]), STRETCH):
+                own = own[: int((sizes[own] > s).sum())]
+                ahead = ahead[: len(own)]
+                steps = min(STRETCH + OVERLAP, int(sizes[own[0]]) - s)
+                codes = np.frombuffer(b"".join(raws[d][s : s + steps].ljust(steps, b"\0") for d in own), np.uint8).reshape(len(own), steps).T
+                active = (sizes[own][None, :] > s + np.arange(steps)[:, None]).sum(1)
+                total[own] += self.stretch_sums(np.ascontiguousarray(codes), active, ahead)
+        return total / np.maximum(sizes, 1)[:, None]
+
+
+def halved(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """What each byte adds and the inner weights, with the gates' parts halved: a logistic is half a tanh of the half."""
+    scale = np.ones(p["h"].shape[1], np.float32)
+    scale[: 2 * p["h"].shape[0]] = 0.5
+    return (p["x"] + p["b"]) * scale, p["h"] * scale
+
+
+def moved(h: np.ndarray, x: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """The states after one more byte; ``x`` is overwritten."""
+    size = h.shape[1]
+    u = h @ inner
+    gates = x[:, : 2 * size]
+    gates += u[:, : 2 * size]
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
+    new = u[:, 2 * size :]
+    new *= gates[:, size:]
+    new += x[:, 2 * size :]
+    np.tanh(new, out=new)
+    kept = h - new
+    kept *= gates[:, :size]
+    kept += new
+    return kept
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -151,31 +209,45 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def training_windows(df: DataFrame, docs: int = LANG_DOCS, langs: int = LANGS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, byte windows and language numbers, from documents outside the held-out fold, chosen by hash."""
-    known = df.where(F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT) & F.col(text_col).rlike(r"\p{L}"))
-    slim = known.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang"), F.length(text_col).alias("__n"))
-    counts = slim.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(langs).collect()
-    names = [r["__lang"] for r in counts]
-    if not names:
+def per_language(langs: int) -> int:
+    """Documents to learn from of each language."""
+    return max(1, min(LANG_DOCS, TRAIN_DOCS // max(1, langs)))
+
+
+def training_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, byte windows and language numbers, from documents outside the held-out fold, chosen by a hash of id and text.
+
+    Rows with one id and one text are one document. Null ids and texts without letters are not learned from. More
+    languages than ``MOST_LANGS`` are an error.
+    """
+    spark = df.sparkSession
+    version = F.xxhash64(text_of(text_col))
+    usable = F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT) & F.col(text_col).rlike(r"\p{L}")
+    known = df.where(usable).select(F.col(id_col).cast("string").alias("__id"), version.alias("__version"), F.col(lang_col).cast("string").alias("__lang"), text_of(text_col).cast("binary").alias("__raw"))
+    counts = known.groupBy("__lang").count().limit(MOST_LANGS + 1).collect()
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    classes = sorted(r["__lang"] for r in counts)
+    docs = per_language(len(classes))
+    if not classes:
         return [], np.zeros((0, TRAIN_WINDOW), np.uint8), np.zeros(0, np.int64)
-    # A share of each language by hash, of four times the documents needed, then the first of them: one scan for all
+    # A share of each language by hash, of some times the documents needed, then the first of them: one scan for all
     # languages, and no language's rows meet in one task.
-    spark = df.sparkSession
     shares = spark.createDataFrame([(r["__lang"], min(1.0, SPARE * docs / r["count"])) for r in counts], "__lang string, __share double")
-    order = F.xxhash64("__id", F.lit(11))
-    pool = slim.join(F.broadcast(shares), "__lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("__share") * (1 << 30))  # ``langs`` rows
-    first = F.row_number().over(Window.partitionBy("__lang").orderBy(order, "__id"))
-    chosen = pool.select("__id", first.alias("__k")).where(F.col("__k") <= docs).select("__id")
-    raw = F.col(text_col).cast("string").cast("binary")
-    start = F.pmod(F.xxhash64(id_col, "__k"), F.greatest(F.octet_length(raw) - TRAIN_WINDOW, F.lit(0)) + 1).cast("int") + 1
-    # At most docs * langs ids: a bounded broadcast.
-    picked = known.join(F.broadcast(chosen.distinct()), F.col(id_col) == F.col("__id"), "left_semi").select(id_col, text_col, lang_col, F.explode(F.sequence(F.lit(1), F.lit(DOC_WINDOWS))).alias("__k"))
-    rows = picked.select(F.col(id_col).alias("i"), F.col("__k").alias("k"), F.col(lang_col).cast("string").alias("l"), F.substring(raw, start, F.lit(TRAIN_WINDOW)).alias("w")).limit(docs * len(names) * DOC_WINDOWS * 4).collect()
-    found = sorted({(r["i"], r["k"], r["l"], bytes(r["w"])) for r in rows if r["l"] in names})
-    classes = sorted(names)
+    order = F.xxhash64("__id", "__version", F.lit(11))
+    # ``MOST_LANGS`` rows at most are broadcast.
+    pool = known.join(F.broadcast(shares), "__lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("__share") * (1 << 30))
+    one = pool.select("__lang", "__id", "__version").distinct()
+    first = F.row_number().over(Window.partitionBy("__lang").orderBy(order, "__id", "__version"))
+    chosen = one.withColumn("__k", first).where(F.col("__k") <= docs).drop("__k")
+    start = F.pmod(F.xxhash64("__id", "__k"), F.greatest(F.octet_length("__raw") - TRAIN_WINDOW, F.lit(0)) + 1).cast("int") + 1
+    # At most ``TRAIN_DOCS`` rows, or one a language, are broadcast.
+    picked = known.join(F.broadcast(chosen), ["__lang", "__id", "__version"], "left_semi").select("__lang", "__id", "__raw", F.explode(F.sequence(F.lit(1), F.lit(DOC_WINDOWS))).alias("__k"))
+    rows = picked.select(F.col("__id").alias("i"), F.col("__k").alias("k"), F.col("__lang").alias("l"), F.substring("__raw", start, F.lit(TRAIN_WINDOW)).alias("w")).distinct().collect()
+    found = sorted((r["i"], r["k"], r["l"], bytes(r["w"])) for r in rows)
+    number = {c: k for k, c in enumerate(classes)}
     windows = [(x * (TRAIN_WINDOW // len(x) + 1))[:TRAIN_WINDOW] for *_, x in found]  # a short text is repeated to fill its window
-    return classes, np.frombuffer(b"".join(windows), np.uint8).reshape(-1, TRAIN_WINDOW), np.array([classes.index(x[2]) for x in found], np.int64)
+    return classes, np.frombuffer(b"".join(windows), np.uint8).reshape(-1, TRAIN_WINDOW), np.array([number[x[2]] for x in found], np.int64)
 
 
 def trained(df: DataFrame, **columns) -> Network | None:
@@ -188,14 +260,15 @@ def predict(df: DataFrame, network: Network | None, id_col: str = "doc_id", text
     """``doc_id, held_out, lang_pred, score``, a row per input row.
 
     A text without letters, null and empty ones included, is ``und`` with score 0, and so is
-    every text if there is no network. A null id is not held out.
+    every text if there is no network. A null id is not held out. Texts are read whole, however
+    long; of equal probabilities the first language by name counts. Repeated rows give a row
+    each, an empty table gives none, and other columns are left out.
     """
-    bounded_batches(df.sparkSession)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, ROWS, BYTES):
             texts = batch.column("text").to_pylist()
-            own = [k for k, x in enumerate(texts) if network and LETTER.search(x)]
+            own = [k for k, x in enumerate(texts) if network and has_letter(x)]
             names, score = ["und"] * len(texts), np.zeros(len(texts))
             if own:
                 p = network.probabilities([texts[k].encode("utf-8", "replace") for k in own])
