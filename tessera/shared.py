@@ -37,12 +37,12 @@ def drop_tables(spark: SparkSession) -> int:
     return len(paths)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     It cuts lineage in a way that outlives executors, and lets several readers
     use one computation. The schema is passed on so that no file is opened to infer it.
     """
     path = new_table(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
