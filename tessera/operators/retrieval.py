@@ -1,20 +1,31 @@
-"""Retrieval: BM25, TF-IDF, vectors, rank fusion with neighbours, diversity and evidence gates."""
+"""Retrieval: BM25, TF-IDF, vectors, rank fusion with neighbours, diversity and evidence gates.
+
+The queries are a stated set. As long as their terms are at most ``ASKED_TERMS``, BM25 and TF-IDF
+score beside the scan: each task turns its documents, block by block, into a matrix of the asked
+terms, multiplies it with blocks of queries and keeps the best of each query, so what is shuffled
+grows with queries times tasks. Beyond, terms are joined with their postings.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.shared import written
+from tessera.shared import partitions_for, written
 
 K1, B = 1.2, 0.75
 RANK_OFFSET, NEIGHBOUR_SHARE, SEEDS = 60, 0.18, 4
 LEAST_TERM = 3
 QUERY_BLOCK, VECTOR_BLOCK = 512, 4096
+ASKED_TERMS = 300_000  # and rows of (query, term), held by the driver and each task
+ROW_BLOCK, COLUMN_BLOCK = 256, 64  # documents and queries that meet as matrices
+WORD, LONG_WORD = r"[a-z0-9]+", r"[a-z0-9_]{2,}"
 
 
 def terms(df: DataFrame, id_col: str, text_col: str, only: DataFrame | None = None) -> DataFrame:
@@ -37,8 +48,124 @@ def ranked(scores: DataFrame, query_col: str, id_col: str, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def bm25(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text") -> DataFrame:
-    """(query, id, score, rank). Statistics are those of all blocks; terms that no query has go before anything is shuffled.
+class Asked:
+    """The terms of all queries by number, and each query's terms with a weight."""
+
+    def __init__(self, rows: list, query_col: str):
+        self.terms = {t: k for k, t in enumerate(sorted({r["term"] for r in rows}))}
+        self.queries = sorted({r[query_col] for r in rows})
+        place = {q: k for k, q in enumerate(self.queries)}
+        self.row = np.array([place[r[query_col]] for r in rows], np.int64)
+        self.term = np.array([self.terms[r["term"]] for r in rows], np.int64)
+        self.weight = np.array([float(r["tf"]) for r in rows])
+
+
+def asked_terms(asked: DataFrame, query_col: str, most: int) -> Asked | None:
+    """The queries' terms (query, term, tf), unless they are too many to be held."""
+    rows = asked.limit(most + 1).collect()
+    return Asked(rows, query_col) if len(rows) <= most else None
+
+
+def postings(blocks: DataFrame, asked: Asked, id_col: str, text_col: str, pairs: bool) -> DataFrame:
+    """A row per document: ``id, size, terms, counts`` of the asked terms in it. ``pairs``: words of two letters and more, and pairs of neighbours."""
+    words, number = re.compile(LONG_WORD if pairs else WORD), asked.terms
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, terms, counts = [], [], []
+            for text in batch.column("text").to_pylist():
+                own = words.findall(text)
+                sizes.append(len(own))
+                found = Counter(filter(number.__contains__, own))
+                if pairs:
+                    found.update(filter(number.__contains__, map(" ".join, zip(own, own[1:]))))
+                terms.append([number[x] for x in found])
+                counts.append(list(found.values()))
+            lists = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(terms, lists), pa.array(counts, lists)], names=["id", "size", "terms", "counts"])
+
+    slim = blocks.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    return slim.mapInArrow(count, "id long, size long, terms array<int>, counts array<int>")
+
+
+def document_frequency(found: DataFrame, terms: int) -> np.ndarray:
+    """In how many documents each asked term is: as many numbers as there are asked terms."""
+    out = np.zeros(terms)
+    for r in found.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
+        out[r["t"]] = r["count"]
+    return out
+
+
+def best_rows(found: DataFrame, asked: Asked, weights: np.ndarray, part: Callable, k: int, id_col: str, query_col: str, kind: str, positive: bool) -> DataFrame:
+    """(query, id, score, rank): the k best of each query by the sum over terms of ``weights`` (of query and term) and ``part`` (of a document's terms).
+
+    ``part`` gets numbers of terms, counts and, for each, the row's other columns. ``positive``: scores that round to nothing do not count.
+    """
+    order = np.argsort(asked.row, kind="stable")
+    row, term, weight = asked.row[order], asked.term[order], weights[order]
+    starts = np.searchsorted(row, np.arange(0, len(asked.queries) + COLUMN_BLOCK, COLUMN_BLOCK))
+    numbers, n_terms = len(asked.queries), len(asked.terms)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = []  # of queries: their terms' columns, and the weights
+        for b in range(len(starts) - 1):
+            own = slice(starts[b], starts[b + 1])
+            used, at = np.unique(term[own], return_inverse=True)
+            dense = np.zeros((len(used), min(COLUMN_BLOCK, numbers - b * COLUMN_BLOCK)))
+            dense[at, row[own] - b * COLUMN_BLOCK] = weight[own]
+            column = np.full(n_terms, -1, np.int32)
+            column[used] = np.arange(len(used))
+            blocks.append((column, dense))
+        best_score, best_id = np.full((numbers, k), -np.inf), np.full((numbers, k), np.iinfo(np.int64).max)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROW_BLOCK):
+                batch = whole.slice(at, ROW_BLOCK)
+                terms, counts = batch.column("terms"), batch.column("counts")
+                sizes = terms.value_lengths().to_numpy(zero_copy_only=False)
+                of, own = np.repeat(np.arange(batch.num_rows), sizes), terms.flatten().to_numpy()
+                value = part(own, counts.flatten().to_numpy(), {c: batch.column(c).to_numpy(zero_copy_only=False)[of] for c in batch.schema.names if c not in ("id", "terms", "counts")})
+                ids = batch.column("id").to_numpy(zero_copy_only=False)
+                for b, (column, dense) in enumerate(blocks):
+                    in_block = np.flatnonzero(column[own] >= 0)
+                    left = np.zeros((batch.num_rows, len(dense)))
+                    left[of[in_block], column[own[in_block]]] = value[in_block]
+                    raw = (left @ dense).T
+                    rounded = np.round(raw, 6)
+                    rounded[(rounded if positive else raw) <= 0] = -np.inf
+                    q = slice(b * COLUMN_BLOCK, b * COLUMN_BLOCK + len(raw))
+                    scores = np.concatenate([best_score[q], rounded], 1)
+                    names = np.concatenate([best_id[q], np.broadcast_to(ids, rounded.shape)], 1)
+                    first = np.lexsort((names, -scores), axis=1)[:, :k]
+                    best_score[q], best_id[q] = np.take_along_axis(scores, first, 1), np.take_along_axis(names, first, 1)
+        q, place = np.nonzero(np.isfinite(best_score))
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(best_id[q, place]), pa.array(best_score[q, place])], names=["q", "id", "score"])
+
+    spark = found.sparkSession
+    names = spark.createDataFrame(list(enumerate(asked.queries)), f"q long, `{query_col}` {kind}")
+    top = ranked(found.mapInArrow(score, "q long, id long, score double"), "q", "id", k)
+    return top.join(names, "q").select(query_col, F.col("id").alias(id_col), "score", "rank")
+
+
+def bm25(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text", most: int = ASKED_TERMS) -> DataFrame:
+    """(query, id, score, rank). Statistics are those of all blocks; terms that no query has go beside the scan. Ids are whole numbers."""
+    own = query_terms(queries, query_col, query_text).withColumn("tf", F.lit(1))
+    asked = asked_terms(own, query_col, most)
+    if asked is None:
+        return joined_bm25(blocks, queries, k, id_col, query_col, text_col, query_text)
+    found = written(postings(blocks, asked, id_col, text_col, False), "postings")
+    n, mean = found.agg(F.count("*"), F.avg("size")).first()
+    df = document_frequency(found, len(asked.terms))
+    idf = np.log((n - df + 0.5) / (df + 0.5))
+    idf[idf <= 0] = 1e-6
+
+    def part(terms: np.ndarray, counts: np.ndarray, other: dict) -> np.ndarray:
+        return idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * other["size"] / mean))
+
+    return best_rows(found, asked, np.ones(len(asked.term)), part, k, id_col, query_col, queries.schema[query_col].dataType.simpleString(), False)
+
+
+def joined_bm25(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text") -> DataFrame:
+    """As ``bm25``, for any number of query terms: they are joined with the blocks' terms.
 
     The queries' terms are written first, so that Spark knows their size and broadcasts them only if it allows.
     """
@@ -69,9 +196,63 @@ def grams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return w.select(id_col, F.explode(F.concat("w", pairs)).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
-def tfidf(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text") -> DataFrame:
-    """(query, id, score, rank) by the cosine of sublinear, smoothed TF-IDF vectors; positive scores only."""
-    tf = grams(blocks, id_col, text_col).withColumn("w", 1 + F.log("tf"))
+def all_grams(blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, term, tf) as ``grams``, counted beside the scan."""
+    words = re.compile(LONG_WORD)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROW_BLOCK):
+                batch = whole.slice(at, ROW_BLOCK)
+                of, terms, counts = [], [], []
+                for k, text in enumerate(batch.column("text").to_pylist()):
+                    own = words.findall(text)
+                    found = Counter(own)
+                    found.update(map(" ".join, zip(own, own[1:])))
+                    of += [k] * len(found)
+                    terms += found
+                    counts += found.values()
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of, pa.int32())), pa.array(terms, pa.string()), pa.array(counts, pa.int32())], names=["id", "term", "tf"])
+
+    slim = blocks.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    return slim.mapInArrow(count, "id long, term string, tf int")
+
+
+def tfidf_lengths(blocks: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, length) of the TF-IDF vectors. Most terms are in one document only: their part is known beside the scan, and
+    only terms of several documents are joined with their weight."""
+    each = all_grams(blocks, id_col, text_col)
+    several = each.groupBy("term").agg(F.count("*").alias("df")).where("df > 1")
+    weight = lambda df: F.log((1 + F.lit(n)) / (1 + df)) + 1
+    several = written(several.select("term", weight(F.col("df")).alias("idf")), "common-terms")
+    w = 1 + F.log("tf")
+    idf = F.coalesce("idf", weight(F.lit(1)))
+    return each.join(several, "term", "left").groupBy("id").agg(F.sqrt(F.sum(w * idf * w * idf)).alias("length"))
+
+
+def tfidf(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text", most: int = ASKED_TERMS) -> DataFrame:
+    """(query, id, score, rank) by the cosine of sublinear, smoothed TF-IDF vectors; positive scores only. Ids are whole numbers."""
+    asked = asked_terms(grams(queries, query_col, query_text), query_col, most)
+    if asked is None:
+        return joined_tfidf(blocks, queries, k, id_col, query_col, text_col, query_text)
+    found = written(postings(blocks, asked, id_col, text_col, True), "postings")
+    n = found.count()
+    df = document_frequency(found, len(asked.terms))
+    idf = np.where(df > 0, np.log((1 + n) / (1 + df)) + 1, 0.0)  # terms of no document count for nothing
+    weights = (1 + np.log(asked.weight)) * idf[asked.term]
+    length = np.sqrt(np.bincount(asked.row, weights * weights, len(asked.queries)))
+    weights = weights / np.where(length > 0, length, 1)[asked.row]
+    own = found.drop("size").join(tfidf_lengths(blocks, n, id_col, text_col), "id")
+
+    def part(terms: np.ndarray, counts: np.ndarray, other: dict) -> np.ndarray:
+        return (1 + np.log(counts)) * idf[terms] / other["length"]
+
+    return best_rows(own, asked, weights, part, k, id_col, query_col, queries.schema[query_col].dataType.simpleString(), True)
+
+
+def joined_tfidf(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text") -> DataFrame:
+    """As ``tfidf``, for any number of query terms."""
+    tf = written(all_grams(blocks, id_col, text_col).withColumnRenamed("id", id_col).withColumn("w", 1 + F.log("tf")), "terms")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n = blocks.agg(F.count("*").alias("n"))
     idf = df.crossJoin(F.broadcast(n)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # n: one row
@@ -130,6 +311,47 @@ def fused(lists: list[DataFrame], query_col: str, id_col: str) -> DataFrame:
     return all_ranks.groupBy(query_col, id_col).agg(F.round(F.sum("part"), 8).alias("score"))
 
 
+def next_in_order(df: DataFrame, group_col: str, id_col: str) -> DataFrame:
+    """(group, id, next): each row's next one by id within its group; the last of a group has none.
+
+    Groups may be of any size: rows are range-partitioned by (group, id), and only the first and last row of each
+    partition meet in one task.
+    """
+    spark = df.sparkSession
+    slim = df.select(F.col(group_col).alias("g"), F.col(id_col).alias("i"))
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
+    schema = f"g {kinds['g']}, i {kinds['i']}, g2 {kinds['g']}, i2 {kinds['i']}, part int"
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        head = last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch if last is None else pa.concat_batches([last, batch])
+            head = head or batch.slice(0, 1)
+            last = batch.slice(batch.num_rows - 1)
+            a, b = own.slice(0, own.num_rows - 1), own.slice(1)
+            yield pa.RecordBatch.from_arrays([*a.columns, *b.columns, pa.nulls(a.num_rows, pa.int32())], names=["g", "i", "g2", "i2", "part"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([*head.columns, *last.columns, pa.array([TaskContext.get().partitionId()], pa.int32())], names=["g", "i", "g2", "i2", "part"])
+
+    dealt = slim.repartitionByRange(partitions_for(spark), "g", "i").sortWithinPartitions("g", "i")
+    rows = written(dealt.mapInArrow(follow, schema), "in-order")
+    # One row a partition: the last row of each is followed by the first of the next.
+    w = Window.orderBy("part")
+    edges = rows.where("part is not null").select(F.col("g2").alias("g"), F.col("i2").alias("i"), F.lead("g").over(w).alias("g2"), F.lead("i").over(w).alias("i2"))
+    both = rows.where("part is null").drop("part").unionByName(edges)
+    return both.select(F.col("g").alias(group_col), F.col("i").alias(id_col), F.when(F.col("g").eqNullSafe(F.col("g2")), F.col("i2")).alias("next"))
+
+
+def neighbours(df: DataFrame, group_col: str, id_col: str) -> DataFrame:
+    """(id, neighbour): the rows before and after each within its group."""
+    pairs = next_in_order(df, group_col, id_col).where("next is not null")
+    return pairs.select(id_col, F.col("next").alias("neighbour")).unionByName(pairs.select(F.col("next").alias(id_col), F.col(id_col).alias("neighbour")))
+
+
 def with_neighbours(scores: DataFrame, neighbours: DataFrame, query_col: str, id_col: str) -> DataFrame:
     """Neighbours of the best ``SEEDS`` get a share of the seed's score as it then stands: an earlier seed's share
     counts for a later one. The steps are few and in order, so they are unrolled; each one's scores are written, as

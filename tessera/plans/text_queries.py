@@ -10,6 +10,7 @@ from tessera.functions import text as X
 from tessera.operators import claims as C
 from tessera.operators import retrieval as R
 from tessera.plans.registry import Tables, query
+from tessera.shared import written
 from tessera.sources import json_facts as J
 from tessera.sources import markup as M
 
@@ -248,9 +249,7 @@ def num08(t):
 @query("top05_pip04_hybrid_retrieval")
 def top05(t):
     """Fusion, neighbours of the best (the documents before and after of one source), required language first, six of each query."""
-    w = Window.partitionBy("source").orderBy("doc_id")
-    sides = t.documents.select("doc_id", F.array(F.lag("doc_id").over(w), F.lead("doc_id").over(w)).alias("sides"))
-    near = sides.select("doc_id", F.explode("sides").alias("neighbour")).where("neighbour is not null")
+    near = R.neighbours(t.documents, "source", "doc_id")
     scores = R.with_neighbours(rank_lists(t), near, "item_id", "doc_id")
     typed = scores.join(t.documents.select("doc_id", (F.col("lang") == "en").alias("required")), "doc_id")
     return R.required_first(typed, "item_id", "doc_id", "required", 6).select("item_id", "doc_id", "required", "score", "rank")
@@ -258,7 +257,7 @@ def top05(t):
 
 @query("top06_source_diversity")
 def top06(t):
-    pool = rank_lists(t).join(t.documents.select("doc_id", "lang"), "doc_id").select("item_id", "doc_id", "lang", "score")
+    pool = written(rank_lists(t).join(t.documents.select("doc_id", "lang"), "doc_id").select("item_id", "doc_id", "lang", "score"), "pool")
     hits = R.ranked(pool, "item_id", "doc_id", 6).drop("rank")
     return R.diversified(hits, pool, "item_id", "doc_id", "lang", 6)
 

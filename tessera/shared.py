@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def partitions_for(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a local folder only where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
