@@ -29,8 +29,8 @@ MOST_LANGS = 20_000
 SPARE = 4
 STEPS, BATCH, RATE = 260, 160, 0.02
 FOLDS, HELD_OUT = 4, 2
-STRETCH, OVERLAP = 4096, 512
-POSITIONS, LOGITS = 1 << 20, 1 << 20  # of a stretch of all documents side by side, whose states are held; of probabilities held at once
+STRETCH, OVERLAP = 2048, 256
+POSITIONS, LOGITS = 1 << 19, 1 << 19  # of a stretch of all documents side by side, whose states are held; of probabilities held at once
 ROWS, BYTES = 16_384, 32 << 20  # of documents that are read together
 
 
@@ -136,24 +136,31 @@ class Network:
         steps, wide = min(STRETCH, len(codes)), codes.shape[1]
         size = ahead.shape[1]
         a, b = np.zeros((2, steps, wide, size), np.float32)
-        table, inner = halved(self.ahead)
+        own = Direction(self.ahead)
         for t in range(steps):
             n = active[t]
-            ahead[:n] = a[t, :n] = moved(ahead[:n], table[codes[t, :n]], inner)
-        table, inner = halved(self.back)
+            ahead[:n] = a[t, :n] = own.moved(ahead[:n], codes[t, :n])
+        own = Direction(self.back)
         back = np.zeros((wide, size), np.float32)
         for t in range(len(codes) - 1, -1, -1):
             n = active[t]
-            back[:n] = moved(back[:n], table[codes[t, :n]], inner)
+            back[:n] = own.moved(back[:n], codes[t, :n])
             if t < steps:
                 b[t, :n] = back[:n]
         total = np.zeros((wide, len(self.classes)))
+        most = np.abs(self.out["w"]).sum(0).max() + np.abs(self.out["b"]).max()  # of a logit, as states are within one of zero
+        one = np.ones((len(self.classes), 1), np.float32)
         together = max(1, LOGITS // (wide * len(self.classes)))
         for t in range(0, steps, together):
-            own = slice(t, min(steps, t + together))
-            p = softmax(a[own] @ self.out["w"][:size] + b[own] @ self.out["w"][size:] + self.out["b"])
-            p *= (np.arange(wide)[None, :] < active[own, None])[:, :, None]
-            total += p.sum(0)
+            part = slice(t, min(steps, t + together))
+            p = a[part].reshape(-1, size) @ self.out["w"][:size]
+            p += b[part].reshape(-1, size) @ self.out["w"][size:]
+            p += self.out["b"]
+            if most > 40:
+                p -= p.max(1, keepdims=True)
+            np.exp(p, out=p)
+            p *= (np.arange(wide)[None, :] < active[part, None]).reshape(-1, 1) / (p @ one)
+            total += p.reshape(-1, wide, len(self.classes)).sum(0)
         return total
 
     def probabilities(self, raws: list[bytes]) -> np.ndarray:
@@ -176,30 +183,30 @@ class Network:
         return total / np.maximum(sizes, 1)[:, None]
 
 
-def halved(p: dict) -> tuple[np.ndarray, np.ndarray]:
-    """What each byte adds and the inner weights, with the gates' parts halved: a logistic is half a tanh of the half."""
-    scale = np.ones(p["h"].shape[1], np.float32)
-    scale[: 2 * p["h"].shape[0]] = 0.5
-    return (p["x"] + p["b"]) * scale, p["h"] * scale
-
-
-def moved(h: np.ndarray, x: np.ndarray, inner: np.ndarray) -> np.ndarray:
-    """The states after one more byte; ``x`` is overwritten."""
-    size = h.shape[1]
-    u = h @ inner
-    gates = x[:, : 2 * size]
-    gates += u[:, : 2 * size]
-    np.tanh(gates, out=gates)
-    gates *= 0.5
-    gates += 0.5
-    new = u[:, 2 * size :]
-    new *= gates[:, size:]
-    new += x[:, 2 * size :]
-    np.tanh(new, out=new)
-    kept = h - new
-    kept *= gates[:, :size]
-    kept += new
-    return kept
+class Direction:
+    """One direction's weights for reading: with the gates' parts halved, as a logistic is half of one and a tanh of the half."""
+
+    def __init__(self, p: dict):
+        size = p["h"].shape[0]
+        table = p["x"] + p["b"]
+        self.gates, self.new = np.ascontiguousarray(table[:, : 2 * size] / 2), np.ascontiguousarray(table[:, 2 * size :])
+        self.to_gates, self.to_new = np.ascontiguousarray(p["h"][:, : 2 * size] / 2), np.ascontiguousarray(p["h"][:, 2 * size :] / 2)
+
+    def moved(self, h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The states after one more byte."""
+        gates = self.gates.take(codes, 0)
+        gates += h @ self.to_gates
+        np.tanh(gates, out=gates)
+        gates += 1
+        new = h @ self.to_new
+        new *= gates[:, h.shape[1] :]
+        new += self.new.take(codes, 0)
+        np.tanh(new, out=new)
+        kept = h - new
+        kept *= gates[:, : h.shape[1]]
+        kept *= 0.5
+        kept += new
+        return kept
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
