@@ -114,11 +114,16 @@ def benchmark_items():
     return [(1, cut(20, 2, 30)), (2, cut(21, 0, 13)), (3, cut(22, 0, 4)), (10, cut(20, 5, 25)), (4, None), (5, "?!"), (None, cut(23, 0, 14)), (6, "STRASSE straße é")]
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**9, 3000, 0])
 def test_contamination(spark, limit):
-    items = spark.createDataFrame(benchmark_items(), "item_id long, text string")
-    got = decontam.contamination(documents(spark), items, broadcast_windows=limit)
-    assert both(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == contamination_by_hand(rows(), benchmark_items())
+    shared = benchmark_items()[0][1]  # a window that very many items have
+    asked = benchmark_items() + [(k, shared) for k in range(100, 2100)]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    windows = decontam.benchmark_windows(items)
+    n, words = windows.count(), windows.selectExpr("sum(octet_length(concat_ws(' ', window_words)) + 16 * window_size + 32)").first()[0]
+    assert (32 * n <= limit) == (limit > 0) and (words <= limit) == (limit > 3000)
+    got = decontam.contamination(documents(spark), items, broadcast_bytes=limit)
+    assert both(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == contamination_by_hand(rows(), asked)
 
 
 def test_contamination_without_items_and_without_documents(spark):
