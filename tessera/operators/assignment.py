@@ -219,22 +219,53 @@ def incremental_clusters(records: DataFrame, component: str, order: str, keys_co
     return per_group(records, [component], [order, keys_col], work, f"{_kind(records, order)}, cluster long").drop(component)
 
 
+def consumed(answers: DataFrame, gold: DataFrame, key: str, link: str) -> DataFrame:
+    """(key, result, n). Answers use up gold records with their key and link, each once: what they use is correct, further
+    ones are duplicates, those of a key with gold elsewhere have a wrong link, others are unsupported; unused gold is missed.
+
+    Which of equal answers comes first makes no difference to the counts, so none are put in order.
+    """
+    side = lambda df, name: df.groupBy(key, link).agg(F.count("*").alias(name))
+    both = side(answers, "__a").join(side(gold, "__g"), [key, link], "full").na.fill(0, ["__a", "__g"])
+    known = gold.select(key).distinct().withColumn("__known", F.lit(True))
+    right = F.least("__a", "__g")
+    extra = F.when(F.col("__g") > 0, "duplicate").when(F.col("__known"), "wrong_link").otherwise("unsupported")
+    kinds = F.array(*(F.struct(r.alias("result"), n.alias("n")) for r, n in ((F.lit("correct"), right), (F.lit("missed"), F.col("__g") - right), (extra, F.col("__a") - right))))
+    each = both.join(known, key, "left").select(key, F.inline(kinds)).where("n > 0")
+    return each.groupBy(key, "result").agg(F.sum("n").alias("n"))
+
+
 def absorbed(items: DataFrame, group: Sequence[str], id_col: str, tokens_col: str, source_col: str, same: float = 0.92, same_source: float = 0.72) -> DataFrame:
-    """Items in order of id; one like a kept item (overlap of tokens) is absorbed by the first such."""
+    """Items in order of id; one like a kept item (overlap of tokens) is absorbed by the first such.
+
+    Items with the same tokens and source share their fate, so only the first of them is compared, and only with kept
+    items that share a token with it. What a task holds is a group's different token sets; items without tokens stay.
+    """
+    own = items.select(*group, id_col, F.array_sort(F.array_distinct(tokens_col)).alias("__tokens"), F.col(source_col).alias("__source"))
+    firsts = own.where(F.size("__tokens") > 0).groupBy(*group, "__tokens", "__source").agg(F.min(id_col).alias(id_col))
 
     def work(rows: Rows) -> Rows:
-        kept, out = [], []
-        for i, tokens, source in sorted(rows):
-            own, into = set(tokens), i
-            for other, theirs, s in kept:
-                low = min(len(own), len(theirs))
-                overlap = len(own & theirs) / low if low else 0.0
-                if overlap >= same or s == source and overlap >= same_source:
-                    into = other
-                    break
-            if into == i:
-                kept.append((i, own, source))
-            out.append((i, into))
+        kept: list[tuple] = []
+        having: dict[str, list[int]] = {}
+        out = []
+        for i, tokens, source in sorted(rows, key=lambda x: x[0]):
+            shared: dict[int, int] = {}
+            for x in tokens:
+                for k in having.get(x, ()):
+                    shared[k] = shared.get(k, 0) + 1
+            like = (k for k, n in shared.items() if (part := n / min(len(tokens), kept[k][1])) >= same or kept[k][2] == source and part >= same_source)
+            first = min(like, default=None)
+            if first is None:
+                for x in tokens:
+                    having.setdefault(x, []).append(len(kept))
+                kept.append((i, len(tokens), source))
+            out.append((tokens, source, i if first is None else kept[first][0]))
         return out
 
-    return per_group(items, group, [id_col, tokens_col, source_col], work, f"{_kind(items, id_col)}, kept_as {items.schema[id_col].dataType.simpleString()}")
+    kinds = {f.name: f.dataType.simpleString() for f in own.schema}
+    fate = per_group(firsts, group, [id_col, "__tokens", "__source"], work, f"__tokens {kinds['__tokens']}, __source {kinds['__source']}, kept_as {kinds[id_col]}")
+    match = F.col("o.__tokens") == F.col("f.__tokens")
+    for c in group:
+        match = match & F.col(f"o.{c}").eqNullSafe(F.col(f"f.{c}"))
+    joined = own.alias("o").join(fate.alias("f"), match & F.col("o.__source").eqNullSafe(F.col("f.__source")), "left")
+    return joined.select(*(F.col(f"o.{c}").alias(c) for c in group), F.col(f"o.{id_col}").alias(id_col), F.coalesce("f.kept_as", f"o.{id_col}").alias("kept_as"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import written
+from tessera.shared import drop, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _size(edges)
     while before[0]:
-        edges = written(_small_star(_large_star(edges).distinct()).where("a <> b").distinct(), "edges")
+        last, edges = edges, written(_small_star(_large_star(edges).distinct()).where("a <> b").distinct(), "edges")
+        drop(last)
         now = _size(edges)
         if now == before:
             break

@@ -35,6 +35,15 @@ def known_as(candidates: DataFrame, existing: DataFrame, id_col: str, owner_col:
     return candidates.join(owners, "key").groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("owner")), ",").alias("duplicate_of"), F.array_join(F.array_sort(F.collect_set("key")), ",").alias("matching_keys"))
 
 
+def set_relation(a: DataFrame, b: DataFrame, owner: str, member: str) -> DataFrame:
+    """Per owner: how many members its two sets share and have alone, and whether they are disjoint, one within the other or overlap."""
+    side = lambda df, name, other: df.select(owner, member, F.lit(True).alias(name), F.lit(False).alias(other))
+    each = side(a, "a", "b").unionByName(side(b, "b", "a")).groupBy(owner, member).agg(F.bool_or("a").alias("a"), F.bool_or("b").alias("b"))
+    per = each.groupBy(owner).agg(F.count_if(F.col("a") & F.col("b")).alias("shared"), F.count_if(~F.col("b")).alias("only_a"), F.count_if(~F.col("a")).alias("only_b"))
+    relation = F.when(F.col("shared") == 0, "disjoint").when(F.col("only_a") == 0, "a_in_b").when(F.col("only_b") == 0, "b_in_a").otherwise("overlap")
+    return per.withColumn("relation", relation)
+
+
 def stratified(df: DataFrame, id_col: str, strata: Sequence[tuple[str, Column]], per_stratum: int) -> DataFrame:
     """The first ``per_stratum`` rows by id of each stratum in turn, without those taken by an earlier one."""
     taken = None

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.shared import partitions_for, written
+from tessera.shared import drop, partitions_for, written
 
 K1, B = 1.2, 0.75
 RANK_OFFSET, NEIGHBOUR_SHARE, SEEDS = 60, 0.18, 4
@@ -357,11 +357,12 @@ def with_neighbours(scores: DataFrame, neighbours: DataFrame, query_col: str, id
     counts for a later one. The steps are few and in order, so they are unrolled; each one's scores are written, as
     the next one reads them twice."""
     scores = written(scores, "scores")
-    seeds = ranked(scores, query_col, id_col, SEEDS).select(query_col, F.col(id_col).alias("__seed"), F.col("rank").alias("__step"))
+    seeds = written(ranked(scores, query_col, id_col, SEEDS).select(query_col, F.col(id_col).alias("__seed"), F.col("rank").alias("__step")), "seeds")
     for step in range(1, SEEDS + 1):
         now = seeds.where(F.col("__step") == step).join(scores.withColumnRenamed(id_col, "__seed"), [query_col, "__seed"]).select(query_col, "__seed", F.col("score").alias("__score"))
         bonus = now.join(neighbours.withColumnsRenamed({id_col: "__seed", "neighbour": id_col}), "__seed").select(query_col, id_col, (NEIGHBOUR_SHARE * F.col("__score")).alias("score"))
-        scores = written(scores.unionByName(bonus).groupBy(query_col, id_col).agg(F.sum("score").alias("score")), "scores")
+        last, scores = scores, written(scores.unionByName(bonus).groupBy(query_col, id_col).agg(F.sum("score").alias("score")), "scores")
+        drop(last)
     return scores.withColumn("score", F.round("score", 8))
 
 

@@ -71,19 +71,9 @@ def jon10(t):
 
 @query("jon11_known_candidates", """
 WITH k AS (SELECT doc_id, 'text:' || sha256(text) AS key FROM documents UNION SELECT doc_id, 'line:' || sha256(string_split(text, chr(10))[1]) FROM documents),
-owner AS (SELECT key, min(doc_id) AS owner FROM k WHERE doc_id % 3 = 0 GROUP BY key)
-SELECT doc_id, string_agg(DISTINCT owner::VARCHAR, ',' ORDER BY owner::VARCHAR) AS duplicate_of, string_agg(DISTINCT key, ',' ORDER BY key) AS matching_keys FROM k JOIN owner USING (key) WHERE doc_id % 3 = 1 GROUP BY doc_id""")
-def jon11(t):
-    keys = R.keyed(t.documents, "doc_id", {"text": F.sha2("text", 256), "line": F.sha2(F.split("text", "\n")[0], 256)})
-    known = keys.where("doc_id % 3 = 0").withColumnRenamed("doc_id", "owner_id")
-    return R.known_as(keys.where("doc_id % 3 = 1"), known, "doc_id", "owner_id").withColumn("duplicate_of", F.array_join(F.array_sort(F.split("duplicate_of", ",")), ","))
-
-
-@query("jon11_known_candidates_all", """
-WITH k AS (SELECT doc_id, 'text:' || sha256(text) AS key FROM documents UNION SELECT doc_id, 'line:' || sha256(string_split(text, chr(10))[1]) FROM documents),
 owner AS (SELECT key, min(doc_id) AS owner FROM k WHERE doc_id % 2 = 0 GROUP BY key)
 SELECT doc_id, string_agg(DISTINCT owner::VARCHAR, ',' ORDER BY owner::VARCHAR) AS duplicate_of, string_agg(DISTINCT key, ',' ORDER BY key) AS matching_keys FROM k JOIN owner USING (key) WHERE doc_id % 2 = 1 GROUP BY doc_id""")
-def jon11_all(t):
+def jon11(t):
     """Even ids are known, odd ids are candidates, so every document has a role."""
     keys = R.keyed(t.documents, "doc_id", {"text": F.sha2("text", 256), "line": F.sha2(F.split("text", "\n")[0], 256)})
     known = keys.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "owner_id")
@@ -91,23 +81,13 @@ def jon11_all(t):
 
 
 @query("jon12_jsn09_set_overlap", """
-WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_quantity > 45)
-SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(*) AS shared FROM p a JOIN p b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2 HAVING count(*) >= 2""")
+WITH m AS (SELECT l_suppkey, l_partkey, bool_or(l_returnflag = 'R') AS a, bool_or(l_returnflag <> 'R') AS b FROM lineitem GROUP BY 1, 2)
+SELECT l_suppkey, count(*) FILTER (WHERE a AND b) AS shared, count(*) FILTER (WHERE a AND NOT b) AS only_a, count(*) FILTER (WHERE b AND NOT a) AS only_b,
+  CASE WHEN count(*) FILTER (WHERE a AND b) = 0 THEN 'disjoint' WHEN count(*) FILTER (WHERE a AND NOT b) = 0 THEN 'a_in_b' WHEN count(*) FILTER (WHERE b AND NOT a) = 0 THEN 'b_in_a' ELSE 'overlap' END AS relation FROM m GROUP BY 1""")
 def jon12(t):
-    return set_overlap(t.lineitem.where("l_quantity > 45"))
-
-
-@query("jon12_jsn09_set_overlap_all", """
-WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)
-SELECT a.l_suppkey AS a, b.l_suppkey AS b, count(*) AS shared FROM p a JOIN p b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2 HAVING count(*) >= 2""")
-def jon12_all(t):
-    return set_overlap(t.lineitem)
-
-
-def set_overlap(lineitem):
-    p = lineitem.select("l_suppkey", "l_partkey").distinct()
-    a, b = p.select(F.col("l_suppkey").alias("a"), "l_partkey"), p.select(F.col("l_suppkey").alias("b"), "l_partkey")
-    return a.join(b, "l_partkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).where("shared >= 2")
+    """Parts that a supplier's returned lines and its other lines have in common."""
+    returned = F.col("l_returnflag") == "R"
+    return R.set_relation(t.lineitem.where(returned), t.lineitem.where(~returned), "l_suppkey", "l_partkey")
 
 
 @query("jon13_jon15_win08_best_or_abstain", """
@@ -122,20 +102,11 @@ def jon13(t):
 
 
 @query("jon14_mat06_unique_partner", """
-WITH p AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_quantity > 40),
-n AS (SELECT l_orderkey, count(*) AS n, min(l_suppkey) AS partner FROM p GROUP BY 1),
-c AS (SELECT partner, count(*) AS claims FROM n WHERE n = 1 GROUP BY 1)
-SELECT l_orderkey, CASE WHEN n = 1 AND claims = 1 THEN partner END AS l_suppkey, CASE WHEN n > 1 THEN 'ambiguous' WHEN claims > 1 THEN 'revoked' ELSE 'confirmed' END AS status FROM n LEFT JOIN c USING (partner)""")
-def jon14(t):
-    return R.unique_partner(t.lineitem.where("l_quantity > 40").select("l_orderkey", "l_suppkey"), "l_orderkey", "l_suppkey")
-
-
-@query("jon14_mat06_unique_partner_all", """
 WITH p AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem),
 n AS (SELECT l_orderkey, count(*) AS n, min(l_suppkey) AS partner FROM p GROUP BY 1),
 c AS (SELECT partner, count(*) AS claims FROM n WHERE n = 1 GROUP BY 1)
 SELECT l_orderkey, CASE WHEN n = 1 AND claims = 1 THEN partner END AS l_suppkey, CASE WHEN n > 1 THEN 'ambiguous' WHEN claims > 1 THEN 'revoked' ELSE 'confirmed' END AS status FROM n LEFT JOIN c USING (partner)""")
-def jon14_all(t):
+def jon14(t):
     return R.unique_partner(t.lineitem.select("l_orderkey", "l_suppkey"), "l_orderkey", "l_suppkey")
 
 
@@ -190,11 +161,12 @@ def jon24(t):
 
 
 @query("jon25_alias_match", """
-WITH x AS (SELECT p_partkey, upper(p_name) AS alias FROM part UNION SELECT p_partkey, upper(p_brand || ' ' || p_type) FROM part)
-SELECT a.p_partkey AS gold, b.p_partkey AS found FROM x a JOIN x b ON a.alias = b.alias AND a.p_partkey < b.p_partkey GROUP BY 1, 2""")
+WITH x AS (SELECT p_partkey, upper(p_name) AS alias FROM part UNION SELECT p_partkey, upper(p_brand || ' ' || p_type) FROM part), r AS (SELECT alias, min(p_partkey) AS found FROM x GROUP BY 1)
+SELECT p_partkey AS gold, min(found) AS found, count(*) AS aliases FROM x JOIN r USING (alias) GROUP BY 1""")
 def jon25(t):
-    x = t.part.select("p_partkey", F.explode(F.array(F.upper("p_name"), F.upper(F.concat_ws(" ", "p_brand", "p_type")))).alias("alias")).distinct()
-    return x.withColumnRenamed("p_partkey", "gold").join(x.withColumnRenamed("p_partkey", "found"), "alias").where("gold < found").select("gold", "found").distinct()
+    """Each part with the first that shares an alias (itself, if none does): a row per part, however common an alias is."""
+    x = t.part.select(F.col("p_partkey").alias("gold"), F.explode(F.array_distinct(F.array(F.upper("p_name"), F.upper(F.concat_ws(" ", "p_brand", "p_type"))))).alias("alias"))
+    return x.join(x.groupBy("alias").agg(F.min("gold").alias("found")), "alias").groupBy("gold").agg(F.min("found").alias("found"), F.count("*").alias("aliases"))
 
 
 @query("jon26_as_of", """
@@ -331,14 +303,8 @@ def agg21(t):
 
 
 @query("agg25_coverage", """
-SELECT l_suppkey, count(DISTINCT l_returnflag) = 3 AS covered, concat_ws(',', CASE WHEN NOT bool_or(l_returnflag = 'A') THEN 'A' END, CASE WHEN NOT bool_or(l_returnflag = 'N') THEN 'N' END, CASE WHEN NOT bool_or(l_returnflag = 'R') THEN 'R' END) AS missing FROM lineitem WHERE l_quantity > 48 GROUP BY l_suppkey""")
-def agg25(t):
-    return flag_coverage(t.lineitem.where("l_quantity > 48"))
-
-
-@query("agg25_coverage_all", """
 SELECT l_suppkey, count(DISTINCT l_returnflag) = 3 AS covered, concat_ws(',', CASE WHEN NOT bool_or(l_returnflag = 'A') THEN 'A' END, CASE WHEN NOT bool_or(l_returnflag = 'N') THEN 'N' END, CASE WHEN NOT bool_or(l_returnflag = 'R') THEN 'R' END) AS missing FROM lineitem GROUP BY l_suppkey""")
-def agg25_all(t):
+def agg25(t):
     return flag_coverage(t.lineitem)
 
 
@@ -576,10 +542,11 @@ def snk08(t):
 
 
 @query("snk14_snk15_migration", """
-SELECT c_custkey, c_name, NULL::VARCHAR AS note, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN o IS NULL THEN 'idle' ELSE 'active' END AS state FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON o = c_custkey""")
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 = 0 THEN 'early' END AS note, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN o IS NULL THEN 'idle' ELSE 'active' END AS state FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON o = c_custkey""")
 def snk14(t):
-    new = t.customer.limit(0).select("c_custkey", "c_name", F.lit(None).cast("string").alias("note"))
-    both = t.customer.select("c_custkey", "c_name", "c_acctbal").unionByName(new, allowMissingColumns=True)
+    """Rows of a table of the old form join those of the new one, with the new column empty and the state filled in."""
+    new = t.customer.where("c_custkey % 10 = 0").select("c_custkey", "c_name", "c_acctbal", F.lit("early").alias("note"))
+    both = t.customer.where("c_custkey % 10 <> 0").select("c_custkey", "c_name", "c_acctbal").unionByName(new, allowMissingColumns=True)
     active = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("o", F.lit(1))
     state = F.when(F.col("c_acctbal") < 0, "debt").when(F.col("o").isNull(), "idle").otherwise("active")
     return both.join(active, "c_custkey", "left").select("c_custkey", "c_name", "note", state.alias("state"))

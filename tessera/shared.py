@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,15 +15,18 @@ def partitions_for(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local folder only where that is unset."""
+    """``spark.checkpoint.dir``. Where that is unset, a folder of this machine if all of Spark runs on it, else an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them can read")
         path = tempfile.mkdtemp(prefix="tessera-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _made: dict[str, list[str]] = {}  # tables of each application
 
 
@@ -37,11 +41,23 @@ def drop_tables(spark: SparkSession) -> int:
     """Delete the tables that operators of this application have written so far; to be called when their results are stored."""
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the table of a DataFrame from ``written``, which nothing may read any more."""
+    path = _paths.pop(df, None)
+    if path:
+        _made[df.sparkSession.sparkContext.applicationId].remove(path)
+        _delete(df.sparkSession, path)
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
@@ -50,4 +66,6 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """
     path = new_table(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out

@@ -77,6 +77,19 @@ def test_absorbed_by_the_first_alike(spark):
     assert {(r.i, r.kept_as) for r in A.absorbed(df, ["g"], "i", "t", "s").collect()} == {(1, 1), (2, 1), (3, 3), (4, 4)}
 
 
+def test_absorbed_as_one_by_one(spark):
+    rng = random.Random(5)
+    data = [(rng.choice("gh"), k, rng.sample("abcdefgh", rng.randrange(0, 6)), rng.choice("st")) for k in range(300)]
+    kept, expected = [], set()
+    for g, i, tokens, source in data:
+        own = set(tokens)
+        like = [k for h, k, theirs, s in kept if h == g and own and theirs and ((part := len(own & theirs) / min(len(own), len(theirs))) >= 0.92 or s == source and part >= 0.72)]
+        kept += [] if like else [(g, i, own, source)]
+        expected.add((i, like[0] if like else i))
+    df = spark.createDataFrame(data, "g string, i int, t array<string>, s string")
+    assert {(r.i, r.kept_as) for r in A.absorbed(df, ["g"], "i", "t", "s").collect()} == expected
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     assert {(r.a, r.b) for r in components(edges).collect()} == {(k, 0) for k in range(1, 61)} | {(101, 100)}

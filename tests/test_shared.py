@@ -11,3 +11,11 @@ def test_tables_are_written_and_dropped(spark):
     path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert df.count() == 5 and os.path.isdir(path)
     assert shared.drop_tables(spark) == 1 and not os.path.exists(path)
+
+
+def test_a_superseded_table_goes(spark):
+    one, two = shared.written(spark.range(5), "one"), shared.written(spark.range(6), "two")
+    path = one.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    shared.drop(one)
+    shared.drop(spark.range(3))  # not one of these tables
+    assert not os.path.exists(path) and two.count() == 6
