@@ -121,7 +121,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     sets = windows.select("item_set", "items").dropDuplicates(["item_set"])
     combinations = per.where("__combination is not null").select("__combination", "__sets").dropDuplicates(["__combination"]).select("__combination", F.explode("__sets").alias("item_set"))
     united = combinations.join(sets, "item_set").groupBy("__combination").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    named = united.select("__combination", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
+    # Written, so that Spark knows its size: a row a combination is broadcast only if that allows, and a common one then moves no document.
+    named = written(united.select("__combination", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")), "combinations")
     full = per.join(named, "__combination", "left").withColumns({"n_items": F.coalesce("n_items", F.lit(0).cast("long")), "items_sha256": F.coalesce("items_sha256", F.sha2(F.lit(""), 256))})
     again = full.select("*", F.explode(F.array_repeat(F.lit(0), F.col("__rows").cast("int"))).alias("__row"))
     return again.select("doc_id", "version", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
