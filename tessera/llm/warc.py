@@ -1,19 +1,21 @@
 """WARC archives written and read by Spark, and the external merge of their capture index.
 
 Payload digests are compared through a map-side aggregate, so the rows of a common payload
-never meet; the join that follows is one Spark can split. A record is one text value whose
+never meet; only digests that repeat are joined back, in a join that Spark broadcasts if their
+written size allows and splits otherwise. A record is one text value whose
 line separator is the record's closing blank lines, so Spark's own text writer makes the
-archives in whatever store the shared folder is in. Each archive is sorted by URL key and
-time as it is written: a run. Reading gives index entries; range partitions over the whole
+archives in whatever store the shared folder is in. An archive is one gzip stream (offsets are those of the unpacked
+one), bounded by records and, on average, by bytes, and is unpacked piece by piece. Each is
+sorted by URL key and time as it is written: a run. Reading gives index entries; range partitions over the whole
 sort key (a host with a third of the captures is split by time and id) each merge their
 share of the runs with a loser tree, and the partitions in order are the global history.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import new_table, partitions_for, text_of, written
 
 REVISIT_BYTES = 1000
-RECORDS_A_FILE = 20_000
+RECORDS_A_FILE, BYTES_A_FILE = 20_000, 256 << 20
+PIECE = 1 << 20
 FIRST_CAPTURE = 1_704_067_200  # a page without a capture time is dated by its id, from 2024 on
 # Fixed values of the WARC 1.1 format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -44,7 +47,7 @@ def marked(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
     Of equal payloads of at least ``least_bytes`` the largest id is the response. Rows that
     repeat that id are responses too; a null id never is the largest. Null html is empty, a
-    null URL has the key ``)``.
+    null URL has the key ``)``, payloads are taken whole, however long, and an empty table gives no rows.
     """
     seconds = F.unix_timestamp(time_col) if time_col else F.lit(FIRST_CAPTURE) + F.coalesce(F.col(id_col).cast("long"), F.lit(0))
     own = pages.select(
@@ -53,7 +56,8 @@ def marked(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         text_of(html_col).alias("payload"),
         F.timestamp_seconds(seconds).alias("at"),
     ).withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
-    keepers = own.where(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("keeper"))
+    common = own.where(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1")
+    keepers = written(common.drop("n"), "common-payloads")
     joined = own.join(keepers, ["digest", "size"], "left")
     revisit = F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page_id"))
     return joined.withColumns({"url_key": url_key(F.col("url")), "refers_to": F.when(revisit, F.col("keeper"))}).drop("keeper")
@@ -83,26 +87,53 @@ def record() -> Column:
 
 def write_warc(pages: DataFrame, path: str, **columns) -> None:
     """Write ``pages`` as gzipped archives under ``path``, each sorted by URL key, time and id."""
+    mean = pages.agg(F.avg(F.octet_length(text_of(columns.get("html_col", "html"))))).first()[0] or 0
+    per_file = max(1, min(RECORDS_A_FILE, int(BYTES_A_FILE / (mean + 1))))
     runs = marked(pages, **columns).sortWithinPartitions("url_key", "at", "page_id")
-    runs.select(record().alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    runs.select(record().alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 class WarcError(ValueError):
     """A record that breaks the format or does not match its digest."""
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
-    """Headers, block, offset and bytes of each record of an archive."""
-    at = 0
-    while at < len(data):
-        if data[at : at + 5] != b"WARC/" or (body := data.find(b"\r\n\r\n", at) + 4) < 4:
+def unpacked(data: memoryview) -> Iterator[bytes]:
+    """A gzip file's content in pieces; it may be made of several streams."""
+    stream = zlib.decompressobj(31)
+    for at in range(0, len(data), PIECE // 4):
+        piece = bytes(data[at : at + PIECE // 4])
+        while piece:
+            if stream.eof:
+                stream = zlib.decompressobj(31)
+            yield stream.decompress(piece, PIECE)
+            piece = stream.unconsumed_tail or stream.unused_data
+
+
+def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
+    """Headers, block, offset and bytes of each record of an archive that comes in pieces; one record is held at a time."""
+    pieces, held, at = iter(pieces), bytearray(), 0
+
+    def more(size: int) -> bool:
+        while len(held) < size:
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            held.extend(piece)
+        return True
+
+    while more(1):
+        end = -1
+        while more(5) and held[:5] == b"WARC/" and (end := held.find(b"\r\n\r\n")) < 0 and more(len(held) + 1):
+            pass
+        if end < 0:
             raise WarcError(f"no record at byte {at}")
-        head = dict(x.split(": ", 1) for x in data[at : body - 4].decode().split("\r\n")[1:])
-        end = body + int(head["Content-Length"])
-        if data[end : end + 4] != b"\r\n\r\n":
+        head = dict(x.split(": ", 1) for x in held[:end].decode().split("\r\n")[1:])
+        body, size = end + 4, end + 8 + int(head["Content-Length"])
+        if not more(size) or held[size - 4 : size] != b"\r\n\r\n":
             raise WarcError(f"the record at byte {at} has a wrong length")
-        yield head, data[body:end], at, end + 4 - at
-        at = end + 4
+        yield head, bytes(held[body : size - 4]), at, size
+        del held[:size]
+        at += size
 
 
 def number(name: str | None) -> int | None:
@@ -113,7 +144,6 @@ def number(name: str | None) -> int | None:
 def read_warc(spark, path: str) -> DataFrame:
     """An index entry per record, in the order of its archive; digests are computed from the payloads read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
 
     def entry(head: dict, block: bytes, *where) -> tuple:
         kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -130,7 +160,8 @@ def read_warc(spark, path: str) -> DataFrame:
         names = [x.split()[0] for x in INDEX.split(", ")]
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                rows = [entry(h, b, path.rsplit("/", 1)[-1], k, at, size) for k, (h, b, at, size) in enumerate(records(gzip.decompress(content.as_buffer())))]
+                found = records(unpacked(memoryview(content.as_buffer())))
+                rows = [entry(h, b, path.rsplit("/", 1)[-1], k, at, size) for k, (h, b, at, size) in enumerate(found)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds, strict=True)], names=names)
 
@@ -207,7 +238,6 @@ def archive_and_index(pages: DataFrame, path: str | None = None, **columns) -> D
     path = path or new_table(spark, "warc")
     write_warc(pages, path, **columns)
     index = written(read_warc(spark, path), "index")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return merged(index)
 
 

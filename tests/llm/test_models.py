@@ -184,7 +184,22 @@ def test_loser_tree_merges(k):
 
 def test_archive_with_a_wrong_digest_is_told(spark):
     with pytest.raises(warc.WarcError):
-        list(warc.records(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n"))
+        list(warc.records([b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n"]))
+    for cut in (b"no archive", b"WARC/1.1\r\nContent-Length: 5", b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab"):
+        with pytest.raises(warc.WarcError):
+            list(warc.records([cut]))
+
+
+def test_archives_are_unpacked_in_pieces(spark):
+    import gzip
+
+    parts = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % n + b"x" * n + b"\r\n\r\n" for n in (0, 5, 3 << 20, 7)]
+    data = gzip.compress(b"".join(parts[:2])) + gzip.compress(b"".join(parts[2:]))
+    got = list(warc.records(warc.unpacked(memoryview(data))))
+    assert [len(b) for _, b, _, _ in got] == [0, 5, 3 << 20, 7] and [s for *_, s in got] == list(map(len, parts))
+    assert [a for *_, a, _ in got] == [sum(map(len, parts[:k])) for k in range(4)]
+    pages = spark.createDataFrame([(1, "u", "y" * (20 << 20)), (2, "u", "y" * (20 << 20)), (3, "v", "z")], "page_id long, url string, html string")
+    assert {(r.page_id, r.payload_bytes, r.refers_to) for r in warc.archive_and_index(pages).collect()} == {(1, 20 << 20, 2), (2, 20 << 20, None), (3, 1, None)}
 
 
 ARTICLE = "It was the best of the times and it was in the age of what we had and that is not for the one who will be with them."
