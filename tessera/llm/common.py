@@ -1,4 +1,4 @@
-"""What the training-data operators share: tables in the shared folder, Arrow limits and whole texts."""
+"""What the training-data operators share: tables in the shared folder, batches of bounded size and whole texts."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.shared import new_table, written
+from tessera.shared import new_table, partitions_for, written
 
-__all__ = ["bounded_batches", "documents", "new_table", "partitions_for", "sliced", "text_of", "written"]
+__all__ = ["documents", "new_table", "partitions_for", "sliced", "text_of", "written"]
 
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
@@ -24,20 +24,10 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int
             yield batch.slice(at, step)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by rows and bytes, so that long texts don't add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
 def text_of(column: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def partitions_for(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
