@@ -200,13 +200,6 @@ def pip05(t):
     return A.within_budget(sized, ["doc_id"], "item", "tokens", "priority", 400)
 
 
-@query("pip27_projection_audit", """
-SELECT CASE WHEN l_returnflag = 'A' THEN 'projected' WHEN l_linestatus = 'O' AND l_tax > 0.04 THEN 'review' WHEN l_discount < 0.02 THEN 'screening_only' ELSE 'unexplained' END AS disposition, count(*) AS n, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1""")
-def pip27(t):
-    disposition = F.when(F.col("l_returnflag") == "A", "projected").when((F.col("l_linestatus") == "O") & (F.col("l_tax") > 0.04), "review").when(F.col("l_discount") < 0.02, "screening_only").otherwise("unexplained")
-    return t.lineitem.groupBy(disposition.alias("disposition")).agg(F.count("*").alias("n"), F.countDistinct("l_orderkey").alias("orders"))
-
-
 @query("pip28_pip29_combined_table", """
 SELECT n_name, count(DISTINCT c_custkey) AS customers, count(DISTINCT o_orderkey) AS orders, count(l_orderkey) AS lines FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY n_name""")
 def pip28(t):
