@@ -209,35 +209,7 @@ def pip28(t):
     return t.nation.join(buyers, "n_nationkey", "left").na.fill(0).select("n_name", "customers", "orders", "lines")
 
 
-@query("pip34_decision_rules", """
-WITH s AS (SELECT c_nationkey, count(*) FILTER (WHERE c_acctbal > 5000) AS recovered, count(*) FILTER (WHERE c_acctbal < -500) AS regressions, count(*) AS n FROM customer GROUP BY 1)
-SELECT c_nationkey, CASE WHEN recovered = 0 THEN 'fails' WHEN recovered * 100 >= 45 * n AND regressions = 0 THEN 'works' ELSE 'inconclusive' END AS decision FROM s""")
-def pip34(t):
-    s = t.customer.groupBy("c_nationkey").agg(F.count_if(F.col("c_acctbal") > 5000).alias("recovered"), F.count_if(F.col("c_acctbal") < -500).alias("regressions"), F.count("*").alias("n"))
-    decision = F.when(F.col("recovered") == 0, "fails").when((F.col("recovered") * 100 >= 45 * F.col("n")) & (F.col("regressions") == 0), "works").otherwise("inconclusive")
-    return s.select("c_nationkey", decision.alias("decision"))
-
-
-@query("pip35_proposal_ledger", """
-WITH p AS (SELECT l_orderkey, list_filter([CASE WHEN l_partkey % 11 = 0 THEN 'unknown_evidence' END, CASE WHEN l_suppkey % 7 = 0 THEN 'wrong_link' END, CASE WHEN l_quantity > 48 THEN 'value_not_in_quote' END], lambda x: x IS NOT NULL) AS reasons FROM lineitem)
-SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN len(reasons) = 0 THEN ['accepted'] ELSE reasons END) AS reason FROM p) GROUP BY reason""")
-def pip35(t):
-    why = D.reasons({"unknown_evidence": F.col("l_partkey") % 11 != 0, "wrong_link": F.col("l_suppkey") % 7 != 0, "value_not_in_quote": F.col("l_quantity") <= 48})
-    each = t.lineitem.select(F.explode(F.when(F.size(why) == 0, F.array(F.lit("accepted"))).otherwise(why)).alias("reason"))
-    return each.groupBy("reason").agg(F.count("*").alias("n"))
-
-
-@query("pip39_agg22_promotion_gates", """
-SELECT l_suppkey, count(*) >= 3 AND bool_and(l_discount < 0.095) AS promoted, bool_and(l_returnflag <> 'R') AS complete FROM lineitem GROUP BY 1""")
-def pip39(t):
-    return promotion_gates(t.lineitem)
-
-
-def promotion_gates(lineitem):
-    return lineitem.groupBy("l_suppkey").agg(((F.count("*") >= 3) & F.bool_and(F.col("l_discount") < 0.095)).alias("promoted"), F.bool_and(F.col("l_returnflag") != "R").alias("complete"))
-
-
-@query("src06_pip33_metadata_upsert", """
+@query("src06_metadata_upsert", """
 SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'old' END AS run FROM customer WHERE c_custkey % 6 <> 1""")
 def src06(t):
     """Results replaced by key, and removed for keys that failed."""
@@ -257,24 +229,3 @@ def src10(t):
         own = next_in_order(t.part.select("p_partkey", F.concat_ws("|", *key).alias("key")), "key", "p_partkey").where("next is not null").select("p_partkey", F.col("next").alias("found"))
         out = own if out is None else out.unionByName(own)
     return out.groupBy("p_partkey").agg(F.min("found").alias("found"))
-
-
-@query("src22_num12_boxes", """
-SELECT l_orderkey, min(greatest(l_partkey % 500 - 5, 0)) AS left_, max(least(l_partkey % 500 + 45, 500)) AS right_, min(500 - l_suppkey % 400) AS top_ FROM lineitem WHERE l_partkey % 500 BETWEEN 50 AND 450 GROUP BY 1""")
-def src22(t):
-    """Boxes near a panel united, padded and clamped, with the origin flipped."""
-    x = F.col("l_partkey") % 500
-    return t.lineitem.where(x.between(50, 450)).groupBy("l_orderkey").agg(F.min(F.greatest(x - 5, F.lit(0))).alias("left_"), F.max(F.least(x + 45, F.lit(500))).alias("right_"), F.min(500 - F.col("l_suppkey") % 400).alias("top_"))
-
-
-@query("src23_candidate_pages", r"""
-WITH s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS page, len(string_split(text, chr(10))) AS pages FROM documents),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY len(regexp_extract_all(line, '[aeiou]')) DESC, page DESC) AS k FROM s)
-SELECT DISTINCT doc_id, page + d AS page FROM r, (VALUES (-1), (0), (1)) v(d) WHERE k <= 2 AND page + d BETWEEN 1 AND pages""")
-def src23(t):
-    """Lines as pages: the best two by term count of each document, with their neighbours."""
-    lines = t.documents.select("doc_id", F.split("text", "\n").alias("l")).select("doc_id", F.size("l").alias("pages"), F.posexplode("l").alias("k", "line"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc(F.regexp_count("line", F.lit("[aeiou]"))), F.desc("k"))
-    best = lines.withColumn("rank", F.row_number().over(w)).where("rank <= 2")
-    near = best.select("doc_id", "pages", F.explode(F.array(F.col("k"), F.col("k") + 1, F.col("k") + 2)).alias("page"))
-    return near.where("page between 1 and pages").select("doc_id", F.col("page").cast("long").alias("page")).distinct()

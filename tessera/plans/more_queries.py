@@ -23,23 +23,6 @@ def str05(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", rule.alias("rule"), value.alias("value"))
 
 
-@query("str12_clauses", rf"""
-WITH {SENTENCES}, c AS (SELECT doc_id, place, string_split(regexp_replace(sentence, '(, (but|and|aber|et|y) |; )', chr(1), 'g'), chr(1)) AS c FROM sentences)
-SELECT doc_id, place, len(c)::INTEGER AS clauses, c[1] AS first_clause FROM c""")
-def str12(t):
-    cut = F.split(F.regexp_replace("sentence", "(, (but|and|aber|et|y) |; )", "\u0001"), "\u0001")
-    return sentences(t).select("doc_id", "place", F.size(cut).alias("clauses"), cut[0].alias("first_clause"))
-
-
-@query("str20_str21_str26_signatures", """
-SELECT p_partkey, CASE WHEN contains(p_type, 'STEEL') THEN 'steel' WHEN contains(p_type, 'BRASS') THEN 'brass' WHEN p_size > 25 THEN 'large' ELSE 'unknown' END AS signature,
-  CASE WHEN p_name LIKE '%1' THEN p_name WHEN p_brand LIKE '%3' THEN p_brand ELSE p_type END AS label FROM part""")
-def str20(t):
-    signature = F.when(F.col("p_type").contains("STEEL"), "steel").when(F.col("p_type").contains("BRASS"), "brass").when(F.col("p_size") > 25, "large").otherwise("unknown")
-    label = F.when(F.col("p_name").endswith("1"), F.col("p_name")).when(F.col("p_brand").endswith("3"), F.col("p_brand")).otherwise(F.col("p_type"))
-    return t.part.select("p_partkey", signature.alias("signature"), label.alias("label"))
-
-
 @query("agg15_family_groups", """
 WITH g AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey % 10 AS source, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL),
 c AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey % 10 AS source, count(*) AS n_all, count(DISTINCT l_orderkey) >= 2 AS confident FROM lineitem GROUP BY ALL)
@@ -62,13 +45,6 @@ def agg18(t):
     return g.select("l_orderkey", "name", "slices", F.when(F.col("low") == F.col("high"), F.col("low")).alias("value"), (F.col("low") != F.col("high")).alias("conflict"))
 
 
-@query("jsn10_pip30_field_maps", """
-SELECT c_custkey, 'balance=' || (c_acctbal > 0) || ';segment=' || c_mktsegment AS fields FROM customer""")
-def jsn10(t):
-    fields = F.map_from_arrays(F.array(F.lit("balance"), F.lit("segment")), F.array((F.col("c_acctbal") > 0).cast("string"), F.col("c_mktsegment")))
-    return t.customer.select("c_custkey", F.array_join(F.transform(F.map_entries(fields), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("fields"))
-
-
 @query("pip02_enriched_records", """
 WITH a AS (SELECT l_partkey AS p, max(l_shipdate) AS d FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT l_partkey AS p, max(l_shipdate) AS d FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1)
 SELECT p_partkey, coalesce(a.d, b.d) AS last_date, CASE WHEN a.p IS NOT NULL THEN 'first' WHEN b.p IS NOT NULL THEN 'second' ELSE 'none' END AS origin FROM part LEFT JOIN a ON a.p = p_partkey LEFT JOIN b ON b.p = p_partkey""")
@@ -147,40 +123,8 @@ def pip11(t):
     return ranks.groupBy("k").agg(F.min("r").alias("r")).groupBy(F.col("r.route").alias("route")).agg(F.count("*").alias("n"), F.count("k").alias("records"))
 
 
-@query("src21_asset_inventory", """
-WITH d AS (SELECT l_partkey AS k, l_suppkey AS declared FROM lineitem WHERE l_linenumber = 1), h AS (SELECT p_partkey AS k, p_size AS have FROM part WHERE p_partkey % 5 <> 0)
-SELECT d.k, declared, CASE WHEN h.k IS NULL THEN 'missing' WHEN have % 2 <> declared % 2 THEN 'hash_mismatched' ELSE 'local' END AS state FROM d LEFT JOIN h ON h.k = d.k""")
-def src21(t):
-    declared = t.lineitem.where("l_linenumber = 1").select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("declared"))
-    have = t.part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("have"))
-    state = F.when(F.col("have").isNull(), "missing").when(F.col("have") % 2 != F.col("declared") % 2, "hash_mismatched").otherwise("local")
-    return declared.join(have, "k", "left").select("k", "declared", state.alias("state"))
-
-
-@query("pip08_top15_evidence_roles", """
-SELECT l_orderkey, arg_max(l_partkey, struct_pack(a := CASE WHEN l_returnflag = 'R' THEN 100 ELSE 0 END + l_quantity, b := -l_partkey)) AS formulation, arg_max(l_suppkey, struct_pack(a := l_discount, b := l_tax, c := -l_suppkey)) AS payload FROM lineitem GROUP BY 1""")
-def pip08(t):
-    score = F.when(F.col("l_returnflag") == "R", 100).otherwise(0) + F.col("l_quantity")
-    return t.lineitem.groupBy("l_orderkey").agg(F.max_by("l_partkey", F.struct(score, -F.col("l_partkey"))).alias("formulation"), F.max_by("l_suppkey", F.struct("l_discount", "l_tax", -F.col("l_suppkey"))).alias("payload"))
-
-
-@query("snk06_pip33_fill_forward", """
+@query("snk06_fill_forward", """
 SELECT event_id, last_value(CASE WHEN event_id % 4 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events""")
 def fill(t):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     return t.events.select("event_id", F.last(F.when(F.col("event_id") % 4 == 0, F.col("event_type")), ignorenulls=True).over(w).alias("carried"))
-
-
-@query("prj21_str25_quotes_in_numbers", r"""
-SELECT doc_id, len(regexp_extract_all(text, '[0-9]+'))::INTEGER AS numbers, contains(text, '"') OR contains(text, '''') AS quoted FROM documents WHERE regexp_matches(text, '[0-9]')""")
-def prj21(t):
-    return t.documents.where(F.col("text").rlike("[0-9]")).select("doc_id", F.regexp_count("text", F.lit("[0-9]+")).alias("numbers"), (F.col("text").contains('"') | F.col("text").contains("'")).alias("quoted"))
-
-
-@query("pip07_family_inventory", rf"""
-WITH {SENTENCES}, f AS (SELECT doc_id, CASE WHEN regexp_matches(sentence, '[0-9]') THEN 'numeric' WHEN regexp_matches(sentence, '\?$') THEN 'question' WHEN length(sentence) > 120 THEN 'long' ELSE 'plain' END AS family FROM sentences)
-SELECT doc_id, family, count(*) AS n FROM f GROUP BY 1, 2""")
-def pip07(t):
-    family = X.first_match(F.col("sentence"), {"numeric": "[0-9]", "question": r"\?$"}, "none")
-    own = sentences(t).select("doc_id", F.when(family == "none", F.when(F.length("sentence") > 120, "long").otherwise("plain")).otherwise(family).alias("family"))
-    return own.groupBy("doc_id", "family").agg(F.count("*").alias("n"))

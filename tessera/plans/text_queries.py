@@ -67,15 +67,6 @@ def str11(t):
     return sentences(t)
 
 
-@query("str10_endpoint_tokens", r"""
-WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
-p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM w)
-SELECT doc_id, k AS place, array_to_string(w[k + 1 : k + 7], ' ') AS following FROM p WHERE w[k] IN ('from', 'with', 'von', 'pour', 'para')""")
-def str10(t):
-    words = t.documents.select("doc_id", X.alnum_tokens(F.col("text")).alias("w")).select("doc_id", "w", F.posexplode("w").alias("k", "x"))
-    return words.where(F.col("x").isin("from", "with", "von", "pour", "para")).select("doc_id", (F.col("k") + 1).cast("long").alias("place"), F.array_join(F.slice("w", F.col("k") + 2, F.lit(7)), " ").alias("following"))
-
-
 @query("str13_section_parts", """
 SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'Unknown' ELSE n_name END AS head, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN NULL ELSE c_mktsegment || ' > ' || c_name END AS rest
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
@@ -105,12 +96,6 @@ def str14(t):
 ENTITIES = {"number": r"[0-9]+(?:\.[0-9]+)?", "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "license": r"[Ll]icen[cs]ed?", "capital": r"[A-Z]{3,}", "symbol": r"[#$%&*]{3}"}
 
 
-@query("str15_str17_entities_and_tags", "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(text, '{p}')) AS n_{n}" for n, p in ENTITIES.items()) + ", concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(text, '(?i){p}') THEN '{n}' END" for n, p in ENTITIES.items()) + ") AS tags FROM documents")
-def str15(t):
-    counts = {f"n_{n}": F.regexp_count("text", F.lit(p)).cast("long") for n, p in ENTITIES.items()}
-    return t.documents.select("doc_id", *(c.alias(n) for n, c in counts.items()), F.array_join(X.matches(F.col("text"), ENTITIES), ",").alias("tags"))
-
-
 @query("str19_expanded_questions", """
 SELECT item_id, concat_ws(' ', text, CASE WHEN lower(text) LIKE '%the%' THEN 'article determiner' END, CASE WHEN lower(text) LIKE '%und%' THEN 'conjunction' END, CASE WHEN lower(text) LIKE '%que%' THEN 'pronoun' END) AS question FROM benchmark""")
 def str19(t):
