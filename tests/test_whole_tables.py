@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tessera.plans import evidence_queries, inventory_queries, matching_queries, more_queries, relational_queries  # noqa: F401
+from tessera.plans import evidence_queries, import_queries, inventory_queries, matching_queries, more_queries, relational_queries  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES
 
 WHOLE = ["set10_rooted_components", "jon12_jsn09_set_overlap", "jon14_mat06_unique_partner", "agg15_family_groups", "agg25_coverage", "pip39_visual_promotion", "agg22_complete_arms", "jon11_known_candidates", "snk04_ledger_changes"]
