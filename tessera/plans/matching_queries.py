@@ -67,12 +67,20 @@ def top08(t):
     return A.diverse(items(t), ["l_orderkey"], "item", "l_returnflag", "l_quantity", 5, 3).select("l_orderkey", "item", "l_returnflag", "place")
 
 
-@query("top09_within_budget")
+@query("top09_within_budget", f"""
+WITH RECURSIVE {ITEMS}, o AS (SELECT l_orderkey, item, l_quantity AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, item) AS n FROM items),
+r AS (SELECT l_orderkey, item, n, q <= 100 AS selected, 100 - CASE WHEN q <= 100 THEN q ELSE 0 END AS left_ FROM o WHERE n = 1 UNION ALL
+  SELECT o.l_orderkey, o.item, o.n, o.q <= left_, left_ - CASE WHEN o.q <= left_ THEN o.q ELSE 0 END FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.n = r.n + 1)
+SELECT l_orderkey, item, selected, CASE WHEN selected THEN 'selected' ELSE 'over_budget' END AS reason FROM r""")
 def top09(t):
     return A.within_budget(items(t).select("l_orderkey", "item", "l_quantity", "l_extendedprice"), ["l_orderkey"], "item", "l_quantity", "l_extendedprice", 100)
 
 
-@query("top10_top11_next_fit")
+@query("top10_top11_next_fit", f"""
+WITH RECURSIVE {ITEMS}, o AS (SELECT l_orderkey, item, l_quantity::INTEGER AS q FROM items),
+r AS (SELECT l_orderkey, item, 1 AS task, q AS used, 1 AS n FROM o WHERE item = 1 UNION ALL
+  SELECT o.l_orderkey, o.item, task + (used + q > 80 OR n + 1 > 3)::INTEGER, CASE WHEN used + q > 80 OR n + 1 > 3 THEN q ELSE used + q END, CASE WHEN used + q > 80 OR n + 1 > 3 THEN 1 ELSE n + 1 END FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.item = r.item + 1)
+SELECT l_orderkey, item, task FROM r""")
 def top10(t):
     own = items(t).select("l_orderkey", "item", F.col("l_quantity").cast("int").alias("size"), F.lit(1).alias("one"))
     return A.next_fit(own, ["l_orderkey"], "item", ["size", "one"], [80, 3])

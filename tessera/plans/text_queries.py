@@ -231,7 +231,20 @@ def num08(t):
     return rank_lists(t)
 
 
-@query("top05_pip04_hybrid_retrieval")
+def _bonus(step: int) -> str:
+    before = "rrf" if step == 1 else f"s{step - 1}"
+    return f"""s{step} AS (SELECT item_id, doc_id, sum(score) AS score FROM (SELECT item_id, doc_id, score FROM {before} UNION ALL
+      SELECT q.item_id, near.doc_id, 0.18 * s.score FROM seeds q JOIN {before} s ON s.item_id = q.item_id AND s.doc_id = q.seed JOIN near ON near.seed = q.seed WHERE q.step = {step}) GROUP BY 1, 2)"""
+
+
+HYBRID_SQL = f"""
+WITH {RRF_SQL}, sides AS (SELECT doc_id, lag(doc_id) OVER w AS a, lead(doc_id) OVER w AS b FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)),
+near AS (SELECT doc_id AS seed, a AS doc_id FROM sides WHERE a IS NOT NULL UNION ALL SELECT doc_id, b FROM sides WHERE b IS NOT NULL),
+seeds AS (SELECT item_id, doc_id AS seed, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS step FROM rrf QUALIFY step <= 4), {", ".join(map(_bonus, range(1, 5)))}
+SELECT item_id, doc_id, lang = 'en' AS required, round(score, 8) AS score, row_number() OVER (PARTITION BY item_id ORDER BY (lang = 'en') DESC, round(score, 8) DESC, doc_id)::INTEGER AS rank FROM s4 JOIN documents USING (doc_id) QUALIFY rank <= 6"""
+
+
+@query("top05_pip04_hybrid_retrieval", HYBRID_SQL)
 def top05(t):
     """Fusion, neighbours of the best (the documents before and after of one source), required language first, six of each query."""
     near = R.neighbours(t.documents, "source", "doc_id")
