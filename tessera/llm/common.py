@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tessera.shared import new_table, partitions_for, written
 
-__all__ = ["documents", "new_table", "partitions_for", "sliced", "text_of", "written"]
+__all__ = ["bounded_batches", "documents", "new_table", "partitions_for", "sliced", "text_of", "written"]
 
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
+DEFAULT_BYTES = ("67108864b", "67108864", "64MB", "64m")
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -24,6 +25,13 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int
             yield batch.slice(at, step)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, unless the session has a limit of its own: set once, and never to anything else."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in DEFAULT_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def text_of(column: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

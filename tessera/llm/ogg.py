@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, sliced, text_of
+from tessera.llm.common import bounded_batches, documents, sliced, text_of
 
 FRAME = 576
 RATE = 8000
@@ -171,6 +171,7 @@ def to_ogg(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     A null text is an empty one, whose payload is one frame of padding. A null id stays
     null, repeated rows stay repeated, other columns are left out, an empty table gives an empty one.
     """
+    bounded_batches(df.sparkSession)
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("raw"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
