@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +70,14 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _paths[out] = path
     return out
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written and read again; the tables that it wrote on its way go, as nothing reads them any more."""
+    before = set(_made.get(spark.sparkContext.applicationId, []))
+    out = written(make(), name)
+    made = _made[spark.sparkContext.applicationId]
+    for path in [x for x in made if x not in before and x != _paths[out]]:
+        _delete(spark, path)
+        made.remove(path)
+    return out

@@ -19,3 +19,15 @@ def test_a_superseded_table_goes(spark):
     shared.drop(one)
     shared.drop(spark.range(3))  # not one of these tables
     assert not os.path.exists(path) and two.count() == 6
+
+
+def test_tables_on_the_way_go(spark):
+    made = []
+
+    def make():
+        made.append(shared.written(spark.range(9), "inner"))
+        return made[0].where("id > 3")
+
+    out = shared.settled(spark, make, "outer")
+    path = made[0].inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert out.count() == 5 and not os.path.exists(path)
