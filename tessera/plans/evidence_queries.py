@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tessera.operators import evidence as V
 from tessera.plans.registry import Tables, query
 
-PRIORITY = F.substring("o_orderpriority", 1, 1).cast("long")
+
+def priority():
+    return F.substring("o_orderpriority", 1, 1).cast("long")
 
 
 def arms(t: Tables) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "P", "quarantined").otherwise("complete")
-    return t.orders.select(F.col("o_custkey").alias("paper_id"), F.col("o_orderkey").alias("experiment_id"), (F.col("o_custkey") * 10 + PRIORITY).alias("formulation_id"), status.alias("status"), (status == "complete").alias("eligible"))
+    return t.orders.select(F.col("o_custkey").alias("paper_id"), F.col("o_orderkey").alias("experiment_id"), (F.col("o_custkey") * 10 + priority()).alias("formulation_id"), status.alias("status"), (status == "complete").alias("eligible"))
 
 
 ARMS = """a AS (SELECT o_custkey AS paper_id, o_orderkey AS experiment_id, o_custkey * 10 + o_orderpriority[1]::BIGINT AS formulation_id, CASE WHEN o_orderstatus = 'P' THEN 'quarantined' ELSE 'complete' END AS status FROM orders)"""
