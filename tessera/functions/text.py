@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 DOI_PREFIXES = ("https://doi.org/", "http://doi.org/", "doi:")
 # What counts as no value.
 PLACEHOLDERS = ("", "na", "n/a", "none", "null", "unknown", "missing", "not_reported", "not_available", "unspecified")
+# Words that say nothing about what a question is about.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "by", "for", "from", "in", "is", "of", "on", "or", "that", "the", "to", "was", "were", "with")
 
 

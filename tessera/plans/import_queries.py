@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import evidence as V
+from tessera.operators import assignment as A
 from tessera.operators import imports as M
+from tessera.operators import readiness as D
+from tessera.operators import relational as R
 from tessera.plans.registry import query
 from tessera.sources import manifests as S
 
 
-@query("pip01_win07_candidate_index")
+@query("pip01_ext01_win07_candidate_index")
 def pip01(t):
     """Parts of two sources, clustered by shared name and by brand, size and type, numbered in order of their first part."""
     records = t.part.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "first").otherwise("second").alias("source"))
@@ -202,3 +205,50 @@ def src26(t):
 def src25(t):
     flag = F.when(F.col("o_orderstatus") == "F", " Yes").when(F.col("o_orderkey") % 3 == 0, "1").when(F.col("o_orderkey") % 3 == 1, "no")
     return S.flagged_rows(t.orders.withColumn("flag", flag), "flag", "o_orderkey", "paper", 2).select("o_orderkey", "paper")
+
+
+@query("pip19_import_chain", """
+WITH k AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS key, l_partkey AS content FROM lineitem WHERE l_suppkey % 2 = 0), i AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS key, l_partkey AS content FROM lineitem WHERE l_suppkey % 2 = 1),
+n AS (SELECT * FROM i WHERE key NOT IN (SELECT key FROM k)), c AS (SELECT DISTINCT key FROM i WHERE key IN (SELECT key FROM k) AND (key, content) NOT IN (SELECT (key, content) FROM k)),
+a AS (SELECT key, min(content) AS content, count(*) AS n FROM (SELECT * FROM k UNION ALL SELECT * FROM n) GROUP BY 1),
+s AS (SELECT a.key // 10 AS arm, CASE WHEN c.key IS NOT NULL THEN 'conflict' WHEN n > 1 THEN 'merged' ELSE 'plain' END AS kind, content FROM a LEFT JOIN c USING (key))
+SELECT arm, count(*) AS records, count(*) FILTER (WHERE kind = 'merged') AS merged, CASE WHEN bool_or(kind = 'conflict') THEN 'conflict' WHEN count(*) < 2 THEN 'incomplete' ELSE 'complete' END AS status FROM s GROUP BY 1""")
+def pip19(t):
+    """A ledger of half the lines takes in the other half: new records are added, changed ones are conflicts, equal keys merge, and the arms' status is made anew."""
+    rows = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), F.col("l_partkey").alias("content"), "l_suppkey")
+    ledger, incoming = (rows.where(F.col("l_suppkey") % 2 == k).select("key", "content").distinct() for k in (0, 1))
+    decided = R.import_decisions(ledger, incoming, "key", "content")
+    merged = ledger.unionByName(decided.where("decision = 'new'").select("key", "content")).groupBy("key").agg(F.count("*").alias("n"))
+    clashes = decided.where("decision = 'conflict'").select("key", F.lit(True).alias("clash")).distinct()
+    per = merged.join(clashes, "key", "left").groupBy(F.floor(F.col("key") / 10).alias("arm")).agg(F.count("*").alias("records"), F.count_if((F.col("n") > 1) & F.col("clash").isNull()).alias("merged"), F.bool_or(F.coalesce("clash", F.lit(False))).alias("clash"))
+    missing = F.when(F.col("records") < 2, F.array(F.lit("records"))).otherwise(F.array().cast("array<string>"))
+    return per.select("arm", "records", "merged", D.status(F.lit(False), F.col("clash"), missing).alias("status"))
+
+
+@query("pip45_ext42_sealed_packets", """
+WITH i AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem), c AS (SELECT *, (n - 1) // 3 AS g FROM i)
+SELECT l_orderkey, g::INTEGER AS chunk, string_agg('T' || n, ',' ORDER BY n) AS targets, sha256(l_orderkey || '|' || g || '|' || string_agg(l_partkey::VARCHAR, ',' ORDER BY n)) AS seal FROM c GROUP BY l_orderkey, g""")
+def pip45(t):
+    """Evidence of a paper in packets of three, with target ids issued in order and a seal over what a packet holds."""
+    from pyspark.sql import Window
+
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity"]
+    w = Window.partitionBy("l_orderkey").orderBy(*order)
+    rows = A.chunked(t.lineitem, ["l_orderkey"], order, 3).withColumn("n", F.row_number().over(w))
+    own = F.array_sort(F.collect_list(F.struct("n", F.col("l_partkey").cast("string").alias("e"))))
+    per = rows.groupBy("l_orderkey", "chunk").agg(own.alias("l"))
+    seal = F.sha2(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("chunk").cast("string"), F.array_join(F.transform("l", lambda x: x["e"]), ",")), 256)
+    return per.select("l_orderkey", "chunk", F.array_join(F.transform("l", lambda x: F.concat(F.lit("T"), x["n"])), ",").alias("targets"), seal.alias("seal"))
+
+
+@query("ext52_gap_tasks", """
+WITH g AS (SELECT o_orderkey AS k, o_totalprice < 60000 AS dose, o_orderstatus = 'O' AS outcome FROM orders), p AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS page FROM lineitem WHERE l_returnflag = 'R'), f AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS page FROM lineitem WHERE l_linestatus = 'F'),
+b AS (SELECT coalesce(p.k, f.k) AS k, count(*) FILTER (WHERE f.k IS NULL) AS new_pages, count(*) FILTER (WHERE p.k IS NULL) AS missed_pages FROM p FULL JOIN f ON p.k = f.k AND p.page = f.page GROUP BY 1)
+SELECT g.k, concat_ws(',', CASE WHEN dose THEN 'dose' END, CASE WHEN outcome THEN 'outcome' END) AS fields, coalesce(new_pages, 0) AS new_pages, coalesce(missed_pages, 0) AS missed_pages FROM g LEFT JOIN b USING (k) WHERE dose OR outcome""")
+def ext52(t):
+    """A task per arm with gaps, and how its candidate pages differ from the frozen ones."""
+    gaps = t.orders.select(F.col("o_orderkey").alias("k"), D.reasons({"dose": F.col("o_totalprice") >= 60000, "outcome": F.col("o_orderstatus") != "O"}).alias("gaps")).where(F.size("gaps") > 0)
+    pages = lambda c: t.lineitem.where(c).select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("page")).distinct()
+    both = pages("l_returnflag = 'R'").withColumn("p", F.lit(1)).join(pages("l_linestatus = 'F'").withColumn("f", F.lit(1)), ["k", "page"], "full")
+    per = both.groupBy("k").agg(F.count_if(F.col("f").isNull()).alias("new_pages"), F.count_if(F.col("p").isNull()).alias("missed_pages"))
+    return gaps.join(per, "k", "left").na.fill(0, ["new_pages", "missed_pages"]).select("k", F.array_join("gaps", ",").alias("fields"), "new_pages", "missed_pages")

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from tessera.operators import imports as M
+from tessera.operators import sinks
 from tessera.sources import manifests as S
 from tests.test_evidence import plain, table
 
@@ -77,3 +78,22 @@ def test_manifests_and_gates(spark, tmp_path):
         S.new_database(spark, str(tmp_path / "db"), {"paper": "paper_id long"})
     files = table(spark, "path string, sha256 string", ("r/P1/a.json", "1"), ("r/P1/b.json", "1"), ("r/P2/c.txt", "2"), ("r/tmp/P1/d.json", "3"), ("x.json", "4"))
     assert plain(S.scanned_artifacts(files, ["json"], ["/tmp/"], r"/(P\d)/"), "path", "state") == [("r/P1/a.json", "kept"), ("r/P1/b.json", "duplicate"), ("r/P2/c.txt", "other_kind"), ("r/tmp/P1/d.json", "denied"), ("x.json", "no_paper")]
+
+
+def test_databases_are_rebuilt_copied_and_promoted(spark, tmp_path):
+    path, backup, current = (str(tmp_path / x) for x in ("db", "copy", "current"))
+    paper = table(spark, "paper_id long, title string", (1, "a"), (2, None))
+    broken = table(spark, "check string, key string", ("orphan", "7"))
+    with pytest.raises(sinks.Refused, match="orphan: 7"):
+        sinks.rebuilt(path, {"paper": paper}, broken)
+    made = sinks.rebuilt(path, {"paper": paper, "arm": table(spark, "arm_id long", (5,))})
+    with pytest.raises(Exception, match="already exists"):
+        sinks.rebuilt(path, {"paper": paper})
+    assert sinks.snapshot(spark, path, backup, ["paper", "arm"]) == made
+    sinks.promoted(spark, backup, made, current)
+    assert spark.read.json(current).first()["path"] == backup
+    with pytest.raises(sinks.Refused):
+        sinks.promoted(spark, backup, made | {"arm": (1, "other")}, current)
+    table(spark, "arm_id long", (6,)).write.mode("overwrite").parquet(f"{path}/arm/data")
+    with pytest.raises(sinks.Refused, match="manifest"):
+        sinks.snapshot(spark, path, str(tmp_path / "third"), ["arm"])
