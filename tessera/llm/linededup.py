@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, partitions_for, sliced, text_of, written
+from tessera.llm.common import bounded_batches, documents, partitions_for, sliced, text_of, written
 
 MIN_KEY_CHARS = 10
 SPACE = b" \t\n\x0b\x0c\r"  # what is stripped at both ends of a key
@@ -37,6 +37,7 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def line_hashes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_KEY_CHARS) -> DataFrame:
     """A row (hi, lo, doc, version, pos) for each line whose key has at least ``min_chars`` code points."""
+    bounded_batches(df.sparkSession)
     slim = _keyed(df, id_col, text_col).select(ID, VERSION, text_of(text_col).cast("binary").alias("raw"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +136,7 @@ def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", tex
 
     Every input row stays, with its other columns; repeated rows get the same bitmap.
     """
+    bounded_batches(df.sparkSession)
     df = df.drop("n_lines", "n_dropped")
     marks = bitmaps.select(F.col("doc").alias(ID), F.col("version").alias(VERSION), F.col("bitmap").alias("__bitmap"))
     joined = _keyed(df, id_col, text_col).withColumn(text_col, text_of(text_col)).join(marks.hint("shuffle_hash"), [ID, VERSION], "left").drop(ID, VERSION)

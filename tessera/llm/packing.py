@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, partitions_for, sliced, text_of, written
+from tessera.llm.common import bounded_batches, documents, partitions_for, sliced, text_of, written
 
 CAPACITY = 2048
 GROUPS = 24
@@ -122,6 +122,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, i
 
     A null or empty text is the end id alone. Ids may be null or repeated.
     """
+    bounded_batches(df.sparkSession)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

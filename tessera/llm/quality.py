@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, sliced
+from tessera.llm.common import bounded_batches, documents, sliced
 
 BUCKETS, PAIR_BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 1 << 15, 8, 8, 0.5
 GRAMS = (3, 4)
@@ -152,6 +152,7 @@ def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     Null and empty texts get the bias's probability. A null id is not held out. Repeated
     rows are scored alike, texts are scored whole, however long, and an empty table gives no rows.
     """
+    bounded_batches(df.sparkSession)
     weights, bias = model.collapsed()
     weights = weights.astype(np.float32)
     key = zlib.crc32(weights.tobytes())

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, partitions_for, sliced, text_of, written
+from tessera.llm.common import bounded_batches, documents, partitions_for, sliced, text_of, written
 from tessera.operators.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -70,6 +70,8 @@ def version_of(text_col: str) -> Column:
 
 def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", versions: bool = False) -> DataFrame:
     """(doc_id, fp), a row per input row; null texts are empty, whose fingerprint is zero. ``versions`` adds a hash of the text."""
+    bounded_batches(df.sparkSession)
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             fp = [fingerprint(x.as_buffer().to_pybytes(), shingle) for x in batch.column("raw")]
