@@ -62,6 +62,25 @@ def test_stage_keeps_one_of_each(spark, chunk):
     assert {r.doc_id for r in kept.collect()} == kept_by_brute_force(data)
 
 
+def test_texts_at_the_edge_of_a_large_group_are_found(spark):
+    """Copies of copies: most are like neither of a bucket's central texts nor their neighbours by key."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    data = []
+    for _ in range(60):
+        one = list(base)
+        for at in rng.sample(range(300), 9):
+            one[at] = f"x{rng.randrange(10**6)}"
+        two = list(one)
+        for at in rng.sample(range(300), 5):
+            two[at] = f"y{rng.randrange(10**6)}"
+        data += [" ".join(one), " ".join(two)]
+    rng.shuffle(data)
+    data = list(enumerate(data))
+    kept = {r.doc_id for r in nearcopies.one_of_each_near(documents(spark, data)).collect()}
+    assert kept == kept_by_brute_force(data) and 1 < len(kept) < 100
+
+
 def test_pipeline_drops_near_copies_beyond_two_bits(spark):
     import corpus_pipeline
 
