@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import nearcopies, simhash
@@ -62,8 +63,19 @@ def test_stage_keeps_one_of_each(spark, chunk):
     assert {r.doc_id for r in kept.collect()} == kept_by_brute_force(data)
 
 
-def test_texts_at_the_edge_of_a_large_group_are_found(spark):
-    """Copies of copies: most are like neither of a bucket's central texts nor their neighbours by key."""
+def test_texts_apart_meet_their_best_candidates():
+    rng = np.random.default_rng(1)
+    key, root = np.arange(60), np.array([0] * 40 + list(range(40, 60)))
+    sketch = rng.integers(0, 256, (60, nearcopies.SKETCH)).astype(np.uint8)
+    sketch[41] = sketch[7]
+    sketch[42] = sketch[43]
+    sketch[50, :13] = sketch[7, :13]  # one value too few
+    a, b = nearcopies.proposed_apart(key, sketch, root)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(41, 7), (43, 42)}
+    assert len(nearcopies.proposed_apart(key, sketch, np.zeros(60, int))[0]) == 0
+
+
+def test_copies_of_copies(spark):
     rng = random.Random(4)
     base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
     data = []
