@@ -32,7 +32,7 @@ GROUPS = 24
 LARGE_PARTS = 4  # lengths over capacity / LARGE_PARTS are large: fewer than LARGE_PARTS fit a sequence
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"  # id 0 after each document
-CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 500_000, 700_000, 48
+CACHE_CHUNKS, CACHE_WORDS, CACHE_CHARS = 120_000, 200_000, 48
 # Unicode white space as the tokenizer's normaliser has it; str.split() would also cut at the separators 1C to 1F.
 SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
