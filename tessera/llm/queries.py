@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm.conversations import OP12_SQL, op12_conversation_repair
 from tessera.llm.decontam import OP6_SQL, op6_benchmark_decontamination
 from tessera.llm.html import op9_html_extraction
 from tessera.llm.langid import op4_language_id
@@ -11,7 +12,9 @@ from tessera.llm.packing import op2_best_fit_packing
 from tessera.llm.quality import op3_quality_classifier
 from tessera.llm.simhash import op8_simhash_near_dedup
 from tessera.llm.suffixes import op10_suffix_dedup
+from tessera.llm.toxicity import op11_toxicity
 from tessera.llm.warc import OP1_SQL, op1_warc_index_merge
+from tessera.llm.whitening import op13_embedding_whitening
 
 QUERIES = {
     "op1_warc_index_merge": op1_warc_index_merge,
@@ -24,5 +27,8 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
-ORACLES: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL}
+ORACLES: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL, "op12_conversation_repair": OP12_SQL}
