@@ -81,3 +81,18 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> Da
         _delete(spark, path)
         made.remove(path)
     return out
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of what a folder holds; none if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(place)) if files.exists(place) else []
+
+
+def moved(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a name that nothing has yet; what another has renamed there meanwhile stays."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place(target)) or not files.rename(place(source), place(target)):
+        raise FileExistsError(target)
