@@ -10,6 +10,7 @@ from tessera.functions import text as X
 from tessera.operators import assignment as A
 from tessera.operators import readiness as D
 from tessera.operators import relational as R
+from tessera.operators.clusters import absorbed_in_rounds, incremental_groups
 from tessera.operators.components import components
 from tessera.operators.retrieval import next_in_order
 from tessera.plans.registry import Tables, query
@@ -91,21 +92,31 @@ def top12(t):
     return A.chunked(items(t), ["l_orderkey"], ["l_shipdate", "item"], 2).select("l_orderkey", "item", "chunk")
 
 
-@query("set04_incremental_clusters")
+@query("set04_incremental_clusters", """
+WITH RECURSIVE k AS (SELECT p_partkey AS i, concat_ws('|', p_brand, p_type, p_size) AS k FROM part UNION SELECT p_partkey, concat_ws('|', p_type, floor(p_retailprice)::BIGINT) FROM part),
+e AS (SELECT DISTINCT i, p FROM (SELECT i, lag(i) OVER (PARTITION BY k ORDER BY i) AS p FROM k) WHERE p IS NOT NULL),
+up AS (SELECT i, p AS a FROM e UNION SELECT up.i, e.p FROM up JOIN e ON e.i = up.a)
+SELECT p_partkey, coalesce(min(a), p_partkey) AS cluster FROM part LEFT JOIN up ON i = p_partkey GROUP BY p_partkey""")
 def set04(t):
-    """Parts as records with two keys each; components of shared keys are replayed in order of id."""
+    """Parts as records with two keys each, replayed in order of id: a part joins the earliest group that has one of its keys."""
     keys = R.keyed(t.part, "p_partkey", {"kind": F.concat_ws("|", "p_brand", "p_type", "p_size"), "price": F.concat_ws("|", "p_type", F.floor("p_retailprice"))})
-    firsts = keys.groupBy("key").agg(F.min("p_partkey").alias("b"))
-    star = components(keys.join(firsts, "key").select(F.col("p_partkey").alias("a"), "b"))
-    records = keys.groupBy("p_partkey").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    rooted = records.join(star.withColumnsRenamed({"a": "p_partkey", "b": "component"}), "p_partkey", "left").withColumn("component", F.coalesce("component", "p_partkey"))
-    return A.incremental_clusters(rooted, "component", "p_partkey", "keys")
+    return incremental_groups(t.part, "p_partkey", keys, "key")
 
 
 @query("set09_absorbed")
 def set09(t):
-    own = t.part.select("p_brand", "p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_type", F.col("p_size").cast("string")), " ")).alias("tokens"), F.col("p_type").alias("source"))
-    return A.absorbed(own, ["p_brand"], "p_partkey", "tokens", "source")
+    own = t.part.select("p_brand", "p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_type", F.col("p_size").cast("string")), " ")).alias("tokens"), F.array("p_type").alias("source"))
+    return absorbed_in_rounds(own.withColumn("evidence", F.array().cast("array<string>")), ["p_brand"], "p_partkey", "tokens", "evidence", "source")
+
+
+@query("set09_consolidated_candidates")
+def set09_consolidated(t):
+    """Parts as outcome candidates of a brand: texts of their name, type and size, figures by size, evidence by name and price, their type as source."""
+    tokens = F.split(F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("size"), "p_size")), " ")
+    evidence = F.array(F.concat_ws("|", "p_name", F.floor("p_retailprice")))
+    figure = F.when(F.col("p_size") % 3 > 0, F.concat(F.lit("Fig "), F.col("p_size") % 3))
+    own = t.part.select("p_brand", "p_partkey", tokens.alias("tokens"), evidence.alias("evidence"), F.array("p_type").alias("sources"), figure.alias("figure"))
+    return absorbed_in_rounds(own, ["p_brand"], "p_partkey", "tokens", "evidence", "sources", F.col("figure"))
 
 
 @query("set10_rooted_components")
