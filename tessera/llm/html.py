@@ -15,6 +15,7 @@ Pages are read row by row inside Arrow batches; nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -72,12 +73,12 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|d
 WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 SENTENCE_END = re.compile("[.!?\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4\u1362\u104b:;][\"'\u2019\u201d\u00bb)\\]\u300d]*$")
 OWNER = re.compile(r"(?:©|\(c\)|copyright\b)", re.IGNORECASE)
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|object|canvas|xmp"
-TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\b[^>]*>|\Z)|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|"
-    r"<(?P<end2>/?)(?P<name2>[a-z][^\s/>]*)(?P<rest2>[^>]*)>|<[!?][^>]*>|<[/a-z!?][^>]*\Z",
-    re.IGNORECASE | re.DOTALL,
-)
+RAW_TEXT = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())  # plain text up to their end tag, or to the page's end
+OBJECTS = frozenset("template svg math object canvas".split())  # left out with all they hold, if they end
+# Attributes as the HTML standard reads them: quotes count only where a value begins, an unquoted value runs to a blank or >.
+REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))*+"""
+TAG = re.compile(rf"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>{REST})>")
+COMMENT_END = re.compile("--!?>")
 FIRM, TOKEN, COMPOUND = 3, 2, 1  # how surely an element is not the article
 
 
@@ -102,36 +103,96 @@ def marked_by(rest: str, in_article: bool) -> int:
 
 
 class Mark:
-    """An element that may not be the article: how surely, how much prose it holds and whether the title or an article is in it."""
+    """An element that may not be the article, and the mark around it: how surely, how much prose it holds and whether the title or an article is in it."""
 
-    def __init__(self, sure: int):
-        self.sure, self.prose, self.titled = sure, 0, False
+    def __init__(self, sure: int, parent: Mark | None):
+        self.sure, self.parent, self.prose, self.titled = sure, parent, 0, False
+        self.firm = sure == FIRM or bool(parent and parent.firm)
+        self.skips = False
 
 
 class Block:
-    """A stretch of text between block tags: characters within links, its tag, what encloses it, whether it is in an article."""
+    """A stretch of text between block tags: characters within links, its tag, the innermost mark around it, whether it is in an article."""
 
-    def __init__(self, text: str, linked: int, tag: str, marks: tuple[Mark, ...], article: bool, heading: bool):
-        self.text, self.linked, self.tag, self.marks, self.article, self.heading = text, linked, tag, marks, article, heading
+    def __init__(self, text: str, linked: int, tag: str, mark: Mark | None, article: bool, heading: bool):
+        self.text, self.linked, self.tag, self.mark, self.article, self.heading = text, linked, tag, mark, article, heading
         self.size = len(text) + 2 * len(WIDE.findall(text))
         self.skipped, self.label = False, OPEN
 
 
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it ends an element, rest) of each tag, by the standard's states; what is no text for a reader has no name.
+
+    Comments, declarations, raw text and objects are one nameless piece each. A tag that the page's end cuts off runs to the end, but
+    one with a quote that is never closed ends at its first >. Time is linear: what has no end further on is not looked for again.
+    """
+    at, size = 0, len(html)
+    endless: set[str] = set()
+
+    def end_of(name: str, start: int) -> int:
+        """Behind the element's end tag, or -1."""
+        if name in endless:
+            return -1
+        m = re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(html, start)
+        if m is None:
+            endless.add(name)
+            return -1
+        stop = html.find(">", m.end())
+        return size if stop < 0 else stop + 1
+
+    while (at := html.find("<", at)) >= 0:
+        mark = html[at + 1 : at + 2]
+        if mark == "!" or mark == "?" or mark == "/" and not html[at + 2 : at + 3].isalpha():
+            if html.startswith("<!--", at):
+                if html.startswith(">", at + 4) or html.startswith("->", at + 4):
+                    stop = html.index(">", at) + 1
+                else:
+                    m = COMMENT_END.search(html, at + 4)
+                    stop = m.end() if m else size
+            else:
+                stop = html.find(">", at) + 1 or size
+            yield at, stop, "", False, ""
+            at = stop
+        elif not (mark.isascii() and mark.isalpha()) and mark != "/":
+            at += 1  # a plain sign
+        else:
+            m = TAG.match(html, at)
+            if m:
+                name, ends, rest, stop = m["name"].lower(), bool(m["end"]), m["rest"], m.end()
+            else:
+                stop = html.find(">", at) + 1
+                if not stop:
+                    yield at, size, "", False, ""
+                    return
+                name, _, rest = html[at + 1 : stop - 1].replace("/", " ", mark == "/").strip().partition(" ")
+                name, ends = name.lower(), mark == "/"
+            if not ends and name in RAW_TEXT:
+                after = end_of(name, stop)
+                stop, name = size if after < 0 else after, ""
+            elif not ends and name in OBJECTS:
+                after = -1 if rest.endswith("/") else end_of(name, stop)
+                stop, name = max(stop, after), ""
+            yield at, stop, name, ends, rest
+            at = stop
+
+
 def blocks(html: str) -> list[Block]:
     """The non-empty blocks of a page, in order, with character references decoded and white space collapsed."""
     found: list[Block] = []
-    stack: list[tuple[str, tuple[Mark, ...], bool, bool]] = []  # tag; what encloses the inside, whether it is in an article, whether it is muted
+    # tag; the innermost mark, whether it is in an article, whether it is muted, the innermost block tag
+    stack: list[tuple[str, Mark | None, bool, bool, str]] = []
+    opened: Counter = Counter()
     parts: list[str] = []
     linked: list[str] = []
     links = 0  # one more than the depth of the open link
+    around = ("", None, False, False, "")
 
     def close() -> None:
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            _, marks, article, _ = stack[-1] if stack else ("", (), False, False)
-            tag = next((x[0] for x in reversed(stack) if x[0] in BLOCK), "")
+            _, mark, article, _, tag = stack[-1] if stack else around
             heading = any(HEADING.fullmatch(x[0]) for x in stack[-3:])
-            found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), tag, marks, article, heading))
+            found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), tag, mark, article, heading))
         parts.clear()
         linked.clear()
 
@@ -141,14 +202,15 @@ def blocks(html: str) -> list[Block]:
             if links:
                 linked.append(piece)
 
+    def leave() -> None:
+        opened[stack.pop()[0]] -= 1
+
     at = 0
-    for m in TAG.finditer(html):
-        add(html[at : m.start()])
-        at = m.end()
-        name = (m["name"] or m["name2"] or "").lower()
+    for start, stop, name, ends, rest in tags(html):
+        add(html[at:start])
+        at = stop
         if not name:
             continue
-        ends, rest = bool(m["end"] or m["end2"]), m["rest"] or m["rest2"] or ""
         if name == "br":
             add(" ")
             continue
@@ -157,29 +219,30 @@ def blocks(html: str) -> list[Block]:
         if name in BLOCK:
             close()
         if ends:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
-                if depth < links - 1:  # a link that was never closed ends with what it was opened in
+            if opened[name]:
+                while stack[-1][0] != name:
+                    leave()
+                leave()
+                if len(stack) < links - 1:  # a link that was never closed ends with what it was opened in
                     links = 0
             continue
         if name in VOID or rest.endswith("/"):
             continue
         if name in BLOCK and stack and stack[-1][0] == "p" or name in SAME_CLOSES and stack and stack[-1][0] == name:
-            stack.pop()
-        _, marks, article, muted = stack[-1] if stack else ("", (), False, False)
+            leave()
+        _, mark, article, muted, block = stack[-1] if stack else around
         sure = 0 if name in ("html", "body") else marked_by(rest, article)
         if name in SKIPPED and not (name == "header" and article):
             sure = max(sure, COMPOUND if name == "form" else FIRM)
-        if name in ("h1", "article", "main"):
-            for x in marks:
-                x.titled = True
+        if name in ("h1", "article", "main") and mark:
+            mark.titled = True
         if sure and name not in BLOCK:
             muted = muted or sure > COMPOUND  # part of a line: its text goes, the line stays one block
         elif sure:
-            marks = (*marks, Mark(sure))
+            mark = Mark(sure, mark)
         if name != "a" or muted:
-            stack.append((name, marks, article or name in ("article", "main"), muted))
+            stack.append((name, mark, article or name in ("article", "main"), muted, name if name in BLOCK else block))
+            opened[name] += 1
     add(html[at:])
     close()
     return found
@@ -191,13 +254,28 @@ def unlinked(found: list[Block]) -> int:
 
 def settle_marks(found: list[Block]) -> None:
     """Which blocks are in elements that are not the article, once it is known how much of the page's prose these hold."""
-    prose = [b for b in found if not any(x.sure == FIRM for x in b.marks)]
+    prose = [b for b in found if not (b.mark and b.mark.firm)]
     for b in prose:
-        for x in b.marks:
-            x.prose += b.size if b.size > 2 * b.linked else 0
+        if b.mark:
+            b.mark.prose += b.size if b.size > 2 * b.linked else 0
+    order: list[Mark] = []  # outer marks before inner ones
+    known: set[int] = set()
+    for b in found:
+        chain, mark = [], b.mark
+        while mark and id(mark) not in known:
+            known.add(id(mark))
+            chain.append(mark)
+            mark = mark.parent
+        order += reversed(chain)
+    for mark in reversed(order):
+        if mark.parent:
+            mark.parent.prose += mark.prose
+            mark.parent.titled |= mark.titled
     most = MOST * max(1, unlinked(prose))
+    for mark in order:
+        mark.skips = mark.sure == FIRM or mark.prose < most or mark.sure == TOKEN and not mark.titled or bool(mark.parent and mark.parent.skips)
     for b in found:
-        b.skipped = any(x.sure == FIRM or x.prose < most or x.sure == TOKEN and not x.titled for x in b.marks)
+        b.skipped = bool(b.mark and b.mark.skips)
 
 
 def stop_share(text: str) -> tuple[int, int]:

@@ -286,6 +286,58 @@ def test_main_text_keeps_the_article(page, text):
     assert html.main_text(page) == text
 
 
+FOUR = [f"{n} {ARTICLE} {ARTICLE}" for n in ("One", "Two", "Three", "Four")]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p title=it's>{}<p title=don't>{}<p>{}<p>{}",
+        "<p a\"b='>'>{}</p><p c=\"x>y\">{}</p><p d=x\"y>{}</p><p e = 'a>b' f>{}</p>",
+        "<p>{}</p><!--><p>{}</p><!---><p>{}</p><!-- <p>gone</p> --!><p>{}</p>",
+        "<p>{}</p><!-- a -- b > c --><p>{}</p><!----><p>{}</p><!doctype x><?php a > <p>{}</p>",
+        "<p>{}</p><svg/><p>{}</p><svg class=x /><p>{}</p><svg><title>no</title></svg><p>{}</p>",
+        "<p>{}</p><object><p>{}</p><canvas><p>{}</p><template><p>{}</p>",
+        "<p>{}</p><script>'</scripting>' < '<p>'</script ><p>{}</p><style/>p</style><p>{}</p><iframe src=x></iframe><p>{}</p><script>var x",
+        "<p>{}</p></><p>{}</p></ div><p>{}</p><p =>{}</p></p></p></b>",
+        "<p>{}</p><p>{}</p><p>{}</p><p class=\"x>{}</p>",
+        "<p>{}</p><img alt='a > b'><p>{}</p><a href=/x/>y</a><p>{}</p><input value=\"</p>\"><p>{}</p><p",
+    ],
+)
+def test_broken_markup_keeps_the_article(page):
+    got = html.main_text(page.replace("{}", "%s") % tuple(FOUR)).split("\n")
+    assert [x for x in got if x in FOUR] == FOUR and all(x in FOUR or len(x) < 5 for x in got)
+
+
+def test_signs_that_are_no_tags_are_text():
+    assert html.main_text(f"<article><p>{ARTICLE} 1 < 2 and 3 <4 <- a</p></article>") == f"{ARTICLE} 1 < 2 and 3 <4 <- a"
+
+
+@pytest.mark.parametrize("piece, n", [("<div class=ad><p>", 200_000), ("<b>", 200_000), ("<svg>", 200_000), ("<p a='", 200_000), ("<!--", 200_000), ("</x>", 200_000), ("<a ", 200_000), ("<div class=ad><h1>x</h1>", 50_000), ("<script", 200_000), ("<i>x<p>y</p>", 50_000)])
+def test_time_is_linear_in_depth_and_breakage(piece, n):
+    import time
+
+    start = time.process_time()
+    html.main_text(f"<p>{ARTICLE} {ARTICLE}</p>" + piece * n)
+    assert time.process_time() - start < 30
+
+
+def test_pages_broken_at_random_keep_the_article():
+    """Noise between paragraphs that a conforming reading does not take for content: the paragraphs that are kept without it stay, and little else comes."""
+    rng = random.Random(8)
+    noise = ["<p title=it's>", "<!-->", "<!--->", "<!-- <p>x --!>", "<svg/>", "</b></i>", "<div data-x='a>b\"c'>", "<img alt=\"it's > that\">", "<br/>", "<span class=x'y>", "</span>", "<b><i>", "<hr noshade =1>", "<?x y?>", "<!x>", "</div >", "<a name=x'>", "</a>", "<font color=\"red'\">"]
+    wanted = right = given = 0
+    for _ in range(200):
+        own = [" ".join(rng.choice(PROSE["en"] + PROSE["de"]) for _ in range(rng.randrange(1, 4))) for _ in range(6)]
+        page = f"<nav>{MENU}</nav><div>{'<p>%s</p>' * 6}</div><div class=footer>{MENU}</div>"
+        body = "".join(f"{''.join(rng.choices(noise, k=2))}<p>{x}</p>" for x in own)
+        own = html.main_text(page % tuple(own)).split("\n")  # what the rules keep of the page before it is broken
+        got = html.main_text(f"<nav>{MENU}</nav><div>{body}</div><div class=footer>{MENU}</div>").split("\n")
+        wanted, given = wanted + sum(map(len, own)), given + sum(map(len, got))
+        right += sum(len(x) for x in got if x in own)
+    assert right / wanted >= 0.95 and right / given >= 0.95, (right / wanted, right / given)
+
+
 def test_pipeline_runs_stage_by_stage(spark):
     import corpus_pipeline
 
