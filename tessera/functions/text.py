@@ -15,6 +15,9 @@ DOI_PREFIXES = ("https://doi.org/", "http://doi.org/", "doi:")
 PLACEHOLDERS = ("", "na", "n/a", "none", "null", "unknown", "missing", "not_reported", "not_available", "unspecified")
 # Words that say nothing about what a question is about.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "by", "for", "from", "in", "is", "of", "on", "or", "that", "the", "to", "was", "were", "with")
+# The function words of related sentences, and those left out when an outcome is looked for.
+CONTEXT_STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "into", "is", "it", "of", "on", "or", "that", "the", "their", "these", "this", "to", "was", "were", "with")
+OUTCOME_STOP_WORDS = ("the", "and", "of", "in", "to", "a", "an", "was", "were", "with", "from", "for", "after", "outcome", "cells", "cell", "reported")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -79,7 +82,7 @@ def sentences(c: Column) -> Column:
 
 def content_terms(c: Column) -> Column:
     """Words of four letters and more that are no stop words, in order."""
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("([a-z]+)"), 1), lambda x: (F.length(x) >= 4) & ~x.isin(*STOP_WORDS))
+    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("([a-z]+)"), 1), lambda x: (F.length(x) >= 4) & ~x.isin(*CONTEXT_STOP_WORDS))
 
 
 def bigrams(terms: Column) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.text import digest
 from tessera.operators.readiness import reasons
 
 MATCH, OPEN, CLASH, UNASKED = "match", "unconfirmed", "contradiction", "not_applicable"
@@ -107,8 +108,9 @@ def polarity_check(expected: Column, observed: Column) -> Column:
 
 
 def number_check(expected: Column, unit: Column, observed: Column, observed_unit: Column) -> Column:
-    """Equal units and values within half of the last printed digit of what is observed, whole numbers within 0.5."""
-    tolerance = F.when(F.abs(observed - F.round(observed)) < 1e-12, 0.5).otherwise(0.011)
+    """Equal units and values within half of the last decimal of what is observed: 0.5 for whole numbers, 0.05 for 3.2, and at least 0.011."""
+    decimals = F.length(F.regexp_extract(F.regexp_replace(F.format_number(F.abs(observed), 12), "0+$", ""), r"[.](\d*)$", 1))
+    tolerance = F.when(F.abs(observed - F.round(observed)) < 1e-12, 0.5).otherwise(F.greatest(F.lit(0.011), F.lit(0.5) * F.pow(F.lit(10.0), -decimals)))
     return F.when(expected.isNull(), UNASKED).when(observed.isNull() | observed_unit.isNull(), OPEN).when((unit == observed_unit) & (F.abs(expected - observed) <= tolerance), MATCH).otherwise(CLASH)
 
 
@@ -288,8 +290,8 @@ def structural_signature(parts: Sequence[Column], subject: Column, object_: Colu
 
 
 def stable_id(prefix: str, *identity: Column) -> Column:
-    """An id made from what it stands for, with nulls told from empty texts."""
-    return F.concat(F.lit(prefix), F.sha2(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in identity)), 256).substr(1, 16))
+    """An id made from what it stands for, with nulls told from empty texts and no way to run fields together."""
+    return F.concat(F.lit(prefix), digest(*identity).substr(1, 16))
 
 
 def appended_once(known: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.components import components
 from tessera.operators.evidence import stable_id
+from tessera.shared import partitions_for, written
 
 
 def numbered_candidates(records: DataFrame, keys: DataFrame, id_col: str) -> DataFrame:
@@ -24,20 +25,20 @@ def numbered_candidates(records: DataFrame, keys: DataFrame, id_col: str) -> Dat
     return dense_numbers(per, "cluster", "number")
 
 
-def dense_numbers(df: DataFrame, order: str, name: str, ranges: int = 256) -> DataFrame:
-    """``df`` with numbers from 1 in order of a whole-number column: rows of a range are numbered in a task, and ranges by their sizes.
+def dense_numbers(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` with numbers from 1 in order of a column, nulls last; rows with equal values are numbered in any order.
 
-    Ranges have equal width; as many rows as there are ranges meet in one task.
+    Rows are range-partitioned by sampled bounds, numbered in their partition, and partitions follow each other by their sizes, a
+    row each; far-off values widen no range.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        return df.withColumn(name, F.lit(None).cast("long"))
-    width = (high - low) // ranges + 1
-    dealt = df.withColumn("__range", F.floor((F.col(order) - low) / width))
-    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
-    before = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__before"))
-    own = F.row_number().over(Window.partitionBy("__range").orderBy(order))
-    return dealt.withColumn("__own", own).join(before, "__range").withColumn(name, (F.col("__own") + F.col("__before")).cast("long")).drop("__range", "__own", "__before")
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(partitions_for(spark), F.asc_nulls_last(order)).sortWithinPartitions(F.asc_nulls_last(order))
+    place = F.col("__place")
+    rows = written(dealt.withColumn("__place", F.monotonically_increasing_id()), "in-order").withColumn("__part", F.shiftright(place, 33))
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__before"))
+    own = place.bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before") + 1
+    return rows.join(before, "__part").withColumn(name, own.cast("long")).drop("__part", "__place", "__before")
 
 
 def found_or_created(incoming: DataFrame, existing: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -171,7 +172,7 @@ def grouped_arms(rows: DataFrame, keys: Sequence[str], id_col: str, required: Se
 
 
 def usage_totals(results: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
-    """Totals with nulls as nothing, how many results lack a measure, and the worst status by name."""
+    """Totals with nulls as nothing, and how many results lack a measure."""
     sums = [F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in measures]
     lacks = F.lit(False)
     for m in measures:

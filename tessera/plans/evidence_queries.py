@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import text as X
 from tessera.operators import evidence as V
 from tessera.plans.registry import Tables, query
 
@@ -248,13 +249,13 @@ def ext04(t):
 
 
 @query("ext25_recalled_outcomes", r"""
-WITH w AS (SELECT conv_id AS paper, turn, role, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) AS w, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS all_ FROM conversations),
+WITH w AS (SELECT conv_id AS paper, turn, role, list_filter(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')), lambda x: length(x) >= 2 AND x NOT IN ('the', 'and', 'of', 'in', 'to', 'a', 'an', 'was', 'were', 'with', 'from', 'for', 'after', 'outcome', 'cells', 'cell', 'reported')) AS w, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS all_ FROM conversations),
 g AS (SELECT paper, turn AS gold_id, turn // 2 AS at, w, list_distinct(all_[1:2]) AS v FROM w WHERE turn % 2 = 0), c AS (SELECT paper, turn // 2 AS at, w FROM w WHERE turn % 2 = 1)
 SELECT DISTINCT paper, gold_id, EXISTS (SELECT 1 FROM c WHERE c.paper = g.paper AND ((c.at = g.at AND len(list_intersect(c.w, g.w)) >= 2) OR (len(list_intersect(c.w, g.w)) >= 4 AND len(g.v) > 0 AND list_has_all(list_intersect(c.w, g.w), g.v)))) AS recalled FROM g""")
 def ext25(t):
     """Even turns are the gold records, the odd ones what was found; turns in pairs share a location."""
     words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("([a-z0-9]+)"), 1)
-    rows = t.conversations.select(F.col("conv_id").alias("paper"), "turn", F.floor(F.col("turn") / 2).alias("location"), F.array_distinct(words).alias("tokens"), F.array_distinct(F.slice(words, 1, 2)).alias("value_tokens"))
+    rows = t.conversations.select(F.col("conv_id").alias("paper"), "turn", F.floor(F.col("turn") / 2).alias("location"), F.filter(F.array_distinct(words), lambda x: (F.length(x) >= 2) & ~x.isin(*X.OUTCOME_STOP_WORDS)).alias("tokens"), F.array_distinct(F.slice(words, 1, 2)).alias("value_tokens"))
     gold = rows.where("turn % 2 = 0").withColumnRenamed("turn", "gold_id")
     return V.recalled_outcomes(gold, rows.where("turn % 2 = 1").select("paper", "location", "tokens")).distinct()
 

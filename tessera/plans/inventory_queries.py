@@ -8,6 +8,7 @@ from tessera.functions import text as X
 from tessera.operators import evidence as V
 from tessera.operators import inventory as I
 from tessera.operators import readiness as D
+from tessera.operators.facts import merged_payload
 from tessera.plans.registry import query
 from tessera.plans.text_queries import SENTENCES, sentences
 
@@ -355,7 +356,6 @@ def ext51(t):
 @query("ext45_contract_migration", """
 SELECT event_id, to_json({'version': '1.2', 'k': (json_extract_string(props, '$.k'))::BIGINT, 'unit': NULL::VARCHAR, 'kind': event_type})::VARCHAR AS payload FROM events""")
 def ext45(t):
-    """Payloads of the old form with a version, an empty unit and their kind added; nothing is lost."""
-    old = t.events.select("event_id", "event_type", F.from_json("props", "k long").alias("p"))
-    new = F.struct(F.lit("1.2").alias("version"), F.col("p.k").alias("k"), F.lit(None).cast("string").alias("unit"), F.col("event_type").alias("kind"))
-    return old.select("event_id", F.to_json(new, {"ignoreNullFields": "false"}).alias("payload"))
+    """Payloads of the old form with a version, and with an empty unit and their kind where they lack them; all other fields stay."""
+    payload = merged_payload(F.col("props"), {"version": F.lit("1.2")}, {"unit": F.lit(None).cast("string"), "kind": F.col("event_type")})
+    return t.events.select("event_id", payload.alias("payload"))

@@ -110,3 +110,9 @@ def test_annotation_and_geometry(spark):
     assert plain(I.promoted(claims, runs, gates), "claim_id", "outcome") == [(1, "promoted"), (2, "duplicate_key"), (3, "numeric_from_generative"), (4, "too_few_repeats")]
     view = I.nested_view(table(spark, "o int", (1,), (2,)), table(spark, "o int, a int, status string", (1, 7, "s")), table(spark, "o int, a int, field string, value string, evidence string", (1, 7, "dose", "3", "e")), "o", "a")
     assert plain(view, "o", "arms") == [(1, '[{"arm":7,"status":"s","fields":[{"field":"dose","value":"3","evidence":"e"}]}]'), (2, "[]")]
+
+
+def test_numbers_agree_within_the_last_decimal(spark):
+    rows = table(spark, "e double, o double, same boolean", (3.24, 3.2, True), (3.26, 3.2, False), (3.24, 3.0, True), (3.6, 3.0, False), (0.3333, 0.34, True), (0.3, 0.34, False), (12345.67, 12345.7, True), (-3.24, -3.2, True), (1.0, None, None))
+    got = rows.select("same", V.number_check(F.col("e"), F.lit("%"), F.col("o"), F.lit("%")).alias("v")).collect()
+    assert [r.v for r in got] == [{True: V.MATCH, False: V.CLASH, None: V.OPEN}[r.same] for r in got]

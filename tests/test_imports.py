@@ -4,9 +4,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import imports as M
 from tessera.operators import sinks
+from tessera.operators.evidence import stable_id
 from tessera.sources import manifests as S
 from tests.test_evidence import plain, table
 
@@ -36,6 +38,19 @@ def test_candidate_clusters_are_numbered_in_order(spark):
     assert M.dense_numbers(records.limit(0), "i", "n").count() == 0
 
 
+def test_dense_numbers_place_nulls_and_far_off_values(spark):
+    rows = table(spark, "i long, s string", (2, "b"), (None, "n"), (1, "a"), (10**15, "z"), (None, "m"), *((k, "x") for k in range(3, 300)))
+    got = {(r.i, r.s): r.n for r in M.dense_numbers(rows, "i", "n").collect()}
+    assert sorted(got.values()) == list(range(1, 303))
+    assert (got[1, "a"], got[2, "b"], got[299, "x"], got[10**15, "z"]) == (1, 2, 299, 300) and {got[None, "n"], got[None, "m"]} == {301, 302}
+
+
+def test_ids_tell_fields_apart(spark):
+    rows = table(spark, "a string, b string", ("a|=b", "c"), ("a", "b|=c"), ("a\\", "b"), (None, "b"), ("", "b"), ("-", "b"))
+    ids = [r[0] for r in rows.select(stable_id("x-", F.col("a"), F.col("b"))).collect()]
+    assert len(set(ids)) == 6
+
+
 def test_corrections_bundles_and_links(spark):
     records = table(spark, "k int, dose string, cell string", (1, "5", None), (2, None, "hsc"))
     corrections = table(spark, "k int, field string, value string, no int", (1, "dose", "6", 1), (1, "dose", "7", 2), (2, "other", "x", 3), (9, "cell", "y", 4))
