@@ -7,12 +7,12 @@ frequent MinHash values, and with its ``NEAR`` neighbours in order of their keys
 proposals are linear in the bucket. Pairs whose sketches can't be similar enough are left
 out, the others are compared by their whole sets of shingles.
 
-Texts of a large bucket that are still in different components are then compared further: each
-one outside the bucket's largest component with the ``BEST`` texts of other components whose
-sketches agree best and that it was not compared with, again and again until a round links nothing.
+Texts of a large bucket that are still in different components are then compared further: each one outside the bucket's
+largest component with all texts of other components that a longer sketch does not rule out. The ``BEST`` of them come first, and
+when a round links nothing, ``MORE`` times as many, until no text has an untested one left. A large bucket is cut into cells of
+``CHUNK`` texts, and each text outside meets every cell, so no size of a bucket leaves a pair out.
 
-A pair of similarity 0.8 misses all bands with a chance of 4 in 10,000. In a bucket over
-``ALL_PAIRS`` a pair may also go unproposed, if none of its two texts' best candidates is similar.
+A pair of similarity 0.8 misses all bands with a chance of 4 in 10,000, and each sketch rules it out with one of 2 in a million.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from tessera.shared import drop
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 20, 5
 SKETCH, AGREE = 32, 14  # at similarity 0.8, fewer than 14 of 32 values agree with a chance of 2 in a million
-ALL_PAIRS, NEAR, CHUNK, BEST = 32, 4, 20_000, 8
+LONG, LONG_AGREE = 96, 58  # the same for the longer sketch, which rules out nearly all pairs below 0.5
+ALL_PAIRS, NEAR, CHUNK, BEST, MORE = 32, 4, 20_000, 8, 8
 
 _rng = np.random.default_rng(42)
 FACTORS = (_rng.integers(0, 1 << 31, BANDS * ROWS, np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -56,14 +57,14 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def marks(raw: bytes) -> tuple[list[int], bytes]:
-    """The text's bucket in each band and SimHash table, and the sketch."""
+    """The text's bucket in each band and SimHash table, and the longer sketch, which the short one begins."""
     hashes = shingle_hashes(raw, SHINGLE)
     if not len(hashes):
         return [], b""
     low = minhashes(hashes)
     bands = [signed(xxhash.xxh64_intdigest(low[t * ROWS : (t + 1) * ROWS].tobytes(), t)) for t in range(BANDS)]
     fp = fingerprint_of(hashes)
-    return bands + [fp & m for m in MASKS], low[:SKETCH].astype(np.uint8).tobytes()
+    return bands + [fp & m for m in MASKS], low[:LONG].astype(np.uint8).tobytes()
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -157,7 +158,7 @@ def hubs(sketch: np.ndarray) -> np.ndarray:
 
 
 def bucketed(first: DataFrame) -> DataFrame:
-    return first.select("key", "sketch", F.posexplode("marks").alias("t", "mark"))
+    return first.select("key", F.substring("sketch", 1, SKETCH).alias("sketch"), F.posexplode("marks").alias("t", "mark"))
 
 
 def candidates(first: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
@@ -166,25 +167,72 @@ def candidates(first: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFra
     return found.where("not large").select("a", "b").distinct(), found.where("large").select(F.col("a").cast("int").alias("t"), F.col("b").alias("mark")).distinct()
 
 
-def proposed_apart(key: np.ndarray, sketch: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of texts of different components: each text outside the largest one with those that agree with it best."""
-    roots, counts = np.unique(root, return_counts=True)
-    a, b = [], []
-    for i in np.flatnonzero(root != roots[counts.argmax()]) if len(roots) > 1 else ():
-        agree = np.where(root == root[i], 0, (sketch == sketch[i]).sum(1))
-        best = np.argsort(-agree, kind="stable")[:BEST]
-        best = best[agree[best] >= AGREE]
-        a.append(np.maximum(key[i], key[best]))
-        b.append(np.minimum(key[i], key[best]))
+def proposed_apart(key: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of each asking text with the ``best`` others that agree with it best, of those in other components that the sketch does not rule out; and whether any text had more."""
+    a, b, more = [], [], False
+    others = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks):
+        agree = (sketch[others] == sketch[i]).sum(1)
+        fit = np.flatnonzero((agree >= LONG_AGREE) & (root[others] != root[i]))
+        if len(fit) > best:
+            more = True
+            fit = fit[np.lexsort((key[others[fit]], -agree[fit]))[:best]]
+        a.append(np.maximum(key[i], key[others[fit]]))
+        b.append(np.minimum(key[i], key[others[fit]]))
     none = np.zeros(0, np.int64)
-    return np.concatenate(a) if a else none, np.concatenate(b) if b else none
+    return np.concatenate(a) if a else none, np.concatenate(b) if b else none, more
 
 
-def candidates_apart(first: DataFrame, large: DataFrame, star: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Different (a, b) to compare in large buckets, now that components (a, b: its root) are known."""
-    rooted = bucketed(first).join(large, ["t", "mark"], "left_semi").join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left")
-    rows = rooted.select("key", "sketch", "t", "mark", F.coalesce("root", "key").alias("root"))
-    return by_bucket(rows, lambda x: proposed_apart(*x), ["key", "sketch", "root"], chunk, 1, False).select("a", "b").distinct()
+def cells(first: DataFrame, large: DataFrame, star: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``t, mark, i, j, asks, key, sketch, root``: large buckets as cells of ``chunk`` asking and ``chunk`` other texts.
+
+    The asking ones are those outside the bucket's largest component; each comes to all cells of its row, every text to all cells of its column.
+    """
+    rooted = first.select("key", F.posexplode("marks").alias("t", "mark")).join(large, ["t", "mark"], "left_semi").join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left")
+    rows = rooted.withColumn("root", F.coalesce("root", "key"))
+    per = rows.groupBy("t", "mark", "root").agg(F.count("*").alias("n"))
+    sizes = per.groupBy("t", "mark").agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("largest"))
+    open_ = rows.join(sizes.where("most < total"), ["t", "mark"])
+    columns, asking = F.ceil(F.col("total") / chunk).cast("int"), F.ceil((F.col("total") - F.col("most")) / chunk).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    right = open_.select("t", "mark", "key", "root", own(columns).alias("j"), F.lit(False).alias("asks"), every(asking).alias("i"))
+    left = open_.where("root <> largest").select("t", "mark", "key", "root", own(asking).alias("i"), F.lit(True).alias("asks"), every(columns).alias("j"))
+    return left.unionByName(right).join(first.select("key", "sketch"), "key")
+
+
+def candidates_apart(first: DataFrame, large: DataFrame, star: DataFrame, best: int = BEST, chunk: int = CHUNK) -> DataFrame:
+    """(a, b, more): different pairs to compare in large buckets, now that components (a, b: its root) are known; a row with ``more`` says that some text had others left."""
+    place = ["t", "mark", "i", "j"]
+    dealt = cells(first, large, star, chunk).repartition(partitions_for(first.sparkSession), *place).sortWithinPartitions(*place)
+
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current = None
+
+        def made() -> Iterator[pa.RecordBatch]:
+            key, root, asks, sketch = (np.concatenate(x) for x in zip(*held, strict=True))
+            a, b, more = proposed_apart(key, sketch, root, asks, best)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(a, [0] * more), pa.int64()), pa.array(np.append(b, [0] * more), pa.int64()), pa.array(np.append(np.zeros(len(a), bool), [True] * more).astype(bool))], names=["a", "b", "more"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            where = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in place])
+            cuts = [0, *(np.flatnonzero((where[:, 1:] != where[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "root", "asks")]
+            own[2] = own[2].astype(bool)
+            own.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, LONG))
+            for s, e in itertools.pairwise(cuts):
+                if tuple(where[:, s]) != current:
+                    if held:
+                        yield from made()
+                    held, current = [], tuple(where[:, s])
+                held.append(tuple(x[s:e] for x in own))
+        if held:
+            yield from made()
+
+    return dealt.mapInArrow(streamed, "a long, b long, more boolean").distinct()
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -232,13 +280,20 @@ def one_of_each_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tested = written(found, "candidates")
     links = compared(tested)
     star = components(links)
+    best = BEST
     while not large.isEmpty():
-        more = written(candidates_apart(first, large, star, chunk).join(tested, ["a", "b"], "left_anti"), "candidates")
-        new = compared(more)
-        if new.isEmpty():
-            break
-        links, tested = links.unionByName(new), tested.unionByName(more)
-        star = components(links)
+        found = written(candidates_apart(first, large, star, best, chunk), "apart")
+        more = written(found.where("not more").select("a", "b").join(tested, ["a", "b"], "left_anti"), "candidates")
+        new = None if more.isEmpty() else compared(more)
+        tested = tested.unionByName(more)
+        if new is not None and not new.isEmpty():
+            links = links.unionByName(new)
+            star = components(links)
+        elif found.where("more").isEmpty():
+            break  # every text has met all that may be like it
+        else:
+            best *= MORE
+        drop(found)
     ids = rows.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
     rooted = ids.join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))

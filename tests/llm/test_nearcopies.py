@@ -63,16 +63,50 @@ def test_stage_keeps_one_of_each(spark, chunk):
     assert {r.doc_id for r in kept.collect()} == kept_by_brute_force(data)
 
 
-def test_texts_apart_meet_their_best_candidates():
+def test_texts_apart_meet_their_candidates():
     rng = np.random.default_rng(1)
     key, root = np.arange(60), np.array([0] * 40 + list(range(40, 60)))
-    sketch = rng.integers(0, 256, (60, nearcopies.SKETCH)).astype(np.uint8)
+    sketch = rng.integers(0, 256, (60, nearcopies.LONG)).astype(np.uint8)
     sketch[41] = sketch[7]
     sketch[42] = sketch[43]
-    sketch[50, :13] = sketch[7, :13]  # one value too few
-    a, b = nearcopies.proposed_apart(key, sketch, root)
-    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(41, 7), (43, 42)}
-    assert len(nearcopies.proposed_apart(key, sketch, np.zeros(60, int))[0]) == 0
+    sketch[44, :70], sketch[45, :60] = sketch[7, :70], sketch[7, :60]
+    sketch[50, :57] = sketch[7, :57]  # one value too few
+    # the texts outside component 0 ask, all are asked
+    both = [np.concatenate([x[40:], x]) for x in (key, sketch, root)]
+    asks = np.array([True] * 20 + [False] * 60)
+    a, b, more = nearcopies.proposed_apart(*both, asks, 100)
+    whole = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert {(41, 7), (43, 42), (44, 7), (44, 41), (45, 7), (45, 41), (45, 44)} == whole and not more
+    a, b, more = nearcopies.proposed_apart(*both, asks, 1)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(41, 7), (43, 42), (44, 7), (45, 7)} and more
+    assert len(nearcopies.proposed_apart(both[0], both[1], np.zeros(80, int), asks, 8)[0]) == 0
+
+
+def blended(rng, base, mixed):
+    """A text of ``base`` with a run of its words exchanged."""
+    own = list(base)
+    at = rng.randrange(len(own) - mixed)
+    own[at : at + mixed] = [f"m{rng.randrange(10**6)}" for _ in range(mixed)]
+    return own
+
+
+@pytest.mark.parametrize("chunk", [20_000, 50])
+def test_a_pair_that_ranks_below_many_others_is_linked(spark, chunk):
+    """Texts that share a bucket's words, too unlike each other to be copies, and pairs among them whose sketches agree less than with others."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    data = []
+    for _ in range(120):  # each keeps about three quarters of the base: 0.55 to each other, in common buckets
+        data.append(blended(rng, base, 60))
+    for _ in range(6):
+        copy = list(data[rng.randrange(120)])
+        for at in rng.sample(range(400), 6):
+            copy[at] = f"c{rng.randrange(10**6)}"
+        data.append(copy)
+    rows = list(enumerate(" ".join(x) for x in data))
+    rng.shuffle(rows)
+    kept = {r.doc_id for r in nearcopies.one_of_each_near(documents(spark, rows), chunk=chunk).collect()}
+    assert kept == kept_by_brute_force(rows)
 
 
 def test_copies_of_copies(spark):
