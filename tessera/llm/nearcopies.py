@@ -8,9 +8,9 @@ proposals are linear in the bucket. Pairs whose sketches can't be similar enough
 out, the others are compared by their whole sets of shingles.
 
 Texts of a large bucket that are still in different components are then compared further: each one outside the bucket's
-largest component with all texts of other components that a longer sketch does not rule out. The ``BEST`` of them come first, and
-when a round links nothing, ``MORE`` times as many, until no text has an untested one left. A large bucket is cut into cells of
-``CHUNK`` texts, and each text outside meets every cell, so no size of a bucket leaves a pair out.
+largest component with all texts of other components that a longer sketch does not rule out, in the first bucket that both share. The
+``BEST`` of them come first; buckets in which a text has more go on with ``MORE`` times as many, until there is none. A large bucket
+is cut into cells of ``CHUNK`` texts, and each text outside meets every cell, so no size of a bucket leaves a pair out.
 
 A pair of similarity 0.8 misses all bands with a chance of 4 in 10,000, and each sketch rules it out with one of 2 in a million.
 """
@@ -167,13 +167,17 @@ def candidates(first: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFra
     return found.where("not large").select("a", "b").distinct(), found.where("large").select(F.col("a").cast("int").alias("t"), F.col("b").alias("mark")).distinct()
 
 
-def proposed_apart(key: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs of each asking text with the ``best`` others that agree with it best, of those in other components that the sketch does not rule out; and whether any text had more."""
+def proposed_apart(key: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks: np.ndarray, earlier: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of each asking text with the ``best`` others that agree with it best, of those in other components that the sketch does not rule out; and whether any text had more.
+
+    ``earlier`` has the texts' marks in the tables before: what shares one of them meets there.
+    """
     a, b, more = [], [], False
     others = np.flatnonzero(~asks)
     for i in np.flatnonzero(asks):
         agree = (sketch[others] == sketch[i]).sum(1)
         fit = np.flatnonzero((agree >= LONG_AGREE) & (root[others] != root[i]))
+        fit = fit[~(earlier[others[fit]] == earlier[i]).any(1)]
         if len(fit) > best:
             more = True
             fit = fit[np.lexsort((key[others[fit]], -agree[fit]))[:best]]
@@ -183,54 +187,61 @@ def proposed_apart(key: np.ndarray, sketch: np.ndarray, root: np.ndarray, asks:
     return np.concatenate(a) if a else none, np.concatenate(b) if b else none, more
 
 
-def cells(first: DataFrame, large: DataFrame, star: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """``t, mark, i, j, asks, key, sketch, root``: large buckets as cells of ``chunk`` asking and ``chunk`` other texts.
+def cells(members: DataFrame, open_: DataFrame, star: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``t, mark, i, j, asks, key, root``: the open ones of the large buckets as cells of ``chunk`` asking and ``chunk`` other texts.
 
     The asking ones are those outside the bucket's largest component; each comes to all cells of its row, every text to all cells of its column.
     """
-    rooted = first.select("key", F.posexplode("marks").alias("t", "mark")).join(large, ["t", "mark"], "left_semi").join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left")
-    rows = rooted.withColumn("root", F.coalesce("root", "key"))
+    own = members.join(open_, ["t", "mark"], "left_semi").join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left")
+    rows = written(own.withColumn("root", F.coalesce("root", "key")), "apart-rows")
     per = rows.groupBy("t", "mark", "root").agg(F.count("*").alias("n"))
     sizes = per.groupBy("t", "mark").agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("largest"))
-    open_ = rows.join(sizes.where("most < total"), ["t", "mark"])
+    sized = rows.join(sizes.where("most < total"), ["t", "mark"])
     columns, asking = F.ceil(F.col("total") / chunk).cast("int"), F.ceil((F.col("total") - F.col("most")) / chunk).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    right = open_.select("t", "mark", "key", "root", own(columns).alias("j"), F.lit(False).alias("asks"), every(asking).alias("i"))
-    left = open_.where("root <> largest").select("t", "mark", "key", "root", own(asking).alias("i"), F.lit(True).alias("asks"), every(columns).alias("j"))
-    return left.unionByName(right).join(first.select("key", "sketch"), "key")
+    place = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    asked = F.struct(place(columns).alias("j"), F.lit(False).alias("asks"), every(asking).alias("all"))
+    ask = F.struct(place(asking).alias("j"), F.lit(True).alias("asks"), every(columns).alias("all"))
+    roles = sized.select("t", "mark", "key", "root", F.explode(F.when(F.col("root") != F.col("largest"), F.array(asked, ask)).otherwise(F.array(asked))).alias("r"))
+    each = roles.select("t", "mark", "key", "root", "r.asks", F.col("r.j").alias("one"), F.explode("r.all").alias("other"))
+    return each.select("t", "mark", "key", "root", "asks", F.when(F.col("asks"), F.col("one")).otherwise(F.col("other")).alias("i"), F.when(F.col("asks"), F.col("other")).otherwise(F.col("one")).alias("j"))
 
 
-def candidates_apart(first: DataFrame, large: DataFrame, star: DataFrame, best: int = BEST, chunk: int = CHUNK) -> DataFrame:
-    """(a, b, more): different pairs to compare in large buckets, now that components (a, b: its root) are known; a row with ``more`` says that some text had others left."""
+def candidates_apart(members: DataFrame, texts: DataFrame, open_: DataFrame, star: DataFrame, best: int = BEST, chunk: int = CHUNK) -> DataFrame:
+    """(a, b, more): different pairs to compare in the open buckets, now that components (a, b: its root) are known; with ``more``, buckets (t, mark) in which some text has others left.
+
+    ``members`` (t, mark, key) are the large buckets, ``texts`` (key, sketch, marks) what is in them.
+    """
     place = ["t", "mark", "i", "j"]
-    dealt = cells(first, large, star, chunk).repartition(partitions_for(first.sparkSession), *place).sortWithinPartitions(*place)
+    dealt = cells(members, open_, star, chunk).join(texts, "key").repartition(partitions_for(members.sparkSession), *place).sortWithinPartitions(*place)
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        current = None
+        current = (0, 0, 0, 0)
 
-        def made() -> Iterator[pa.RecordBatch]:
-            key, root, asks, sketch = (np.concatenate(x) for x in zip(*held, strict=True))
-            a, b, more = proposed_apart(key, sketch, root, asks, best)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(a, [0] * more), pa.int64()), pa.array(np.append(b, [0] * more), pa.int64()), pa.array(np.append(np.zeros(len(a), bool), [True] * more).astype(bool))], names=["a", "b", "more"])
+        def made() -> pa.RecordBatch:
+            key, root, asks, sketch, marked = (np.concatenate(x) for x in zip(*held, strict=True))
+            a, b, more = proposed_apart(key, sketch, root, asks, marked[:, : current[0]], best)
+            told = [np.append(x, np.full(int(more), y, np.int64)) for x, y in ((a, current[0]), (b, current[1]))]
+            return pa.RecordBatch.from_arrays([*map(pa.array, told), pa.array(np.arange(len(told[0])) >= len(a))], names=["a", "b", "more"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             where = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in place])
             cuts = [0, *(np.flatnonzero((where[:, 1:] != where[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "root", "asks")]
-            own[2] = own[2].astype(bool)
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "root")]
+            own.append(batch.column("asks").to_numpy(zero_copy_only=False).astype(bool))
             own.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, LONG))
+            own.append(batch.column("marks").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
             for s, e in itertools.pairwise(cuts):
-                if tuple(where[:, s]) != current:
-                    if held:
-                        yield from made()
-                    held, current = [], tuple(where[:, s])
+                if held and tuple(where[:, s].tolist()) != current:
+                    yield made()
+                    held = []
+                current = tuple(where[:, s].tolist())
                 held.append(tuple(x[s:e] for x in own))
         if held:
-            yield from made()
+            yield made()
 
     return dealt.mapInArrow(streamed, "a long, b long, more boolean").distinct()
 
@@ -280,20 +291,20 @@ def one_of_each_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tested = written(found, "candidates")
     links = compared(tested)
     star = components(links)
-    best = BEST
-    while not large.isEmpty():
-        found = written(candidates_apart(first, large, star, best, chunk), "apart")
+    if not large.isEmpty():
+        members = written(bucketed(first).drop("sketch").join(large, ["t", "mark"], "left_semi"), "large-buckets")
+        texts = written(first.select("key", "sketch", "marks").join(members.select("key").distinct(), "key", "left_semi"), "large-texts")
+    open_, best = large, BEST
+    while not open_.isEmpty():
+        found = written(candidates_apart(members, texts, open_, star, best, chunk), "apart")
         more = written(found.where("not more").select("a", "b").join(tested, ["a", "b"], "left_anti"), "candidates")
-        new = None if more.isEmpty() else compared(more)
-        tested = tested.unionByName(more)
-        if new is not None and not new.isEmpty():
-            links = links.unionByName(new)
-            star = components(links)
-        elif found.where("more").isEmpty():
-            break  # every text has met all that may be like it
-        else:
-            best *= MORE
-        drop(found)
+        if not more.isEmpty():
+            new = compared(more)
+            tested, links = tested.unionByName(more), links.unionByName(new)
+            if not new.isEmpty():
+                star = components(links)
+        # in the other buckets every text has met all that may be like it
+        open_, best = found.where("more").select(F.col("a").cast("int").alias("t"), F.col("b").alias("mark")).distinct(), best * MORE
     ids = rows.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
     rooted = ids.join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))

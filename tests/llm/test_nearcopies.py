@@ -74,12 +74,16 @@ def test_texts_apart_meet_their_candidates():
     # the texts outside component 0 ask, all are asked
     both = [np.concatenate([x[40:], x]) for x in (key, sketch, root)]
     asks = np.array([True] * 20 + [False] * 60)
-    a, b, more = nearcopies.proposed_apart(*both, asks, 100)
+    earlier = np.arange(80).reshape(80, 1)  # no table before has two of them together
+    a, b, more = nearcopies.proposed_apart(*both, asks, earlier, 100)
     whole = set(zip(a.tolist(), b.tolist(), strict=True))
     assert {(41, 7), (43, 42), (44, 7), (44, 41), (45, 7), (45, 41), (45, 44)} == whole and not more
-    a, b, more = nearcopies.proposed_apart(*both, asks, 1)
+    a, b, more = nearcopies.proposed_apart(*both, asks, earlier, 1)
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(41, 7), (43, 42), (44, 7), (45, 7)} and more
-    assert len(nearcopies.proposed_apart(both[0], both[1], np.zeros(80, int), asks, 8)[0]) == 0
+    assert len(nearcopies.proposed_apart(both[0], both[1], np.zeros(80, int), asks, earlier, 8)[0]) == 0
+    earlier[[1, 20 + 7]] = -1  # 41 and 7 meet in a table before
+    a, b, _ = nearcopies.proposed_apart(*both, asks, earlier, 100)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == whole - {(41, 7)}
 
 
 def blended(rng, base, mixed):
