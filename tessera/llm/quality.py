@@ -1,18 +1,19 @@
 """Quality classifier on subword vectors, trained by numpy stochastic gradient descent.
 
-A document is the average of the vectors of its hashed words, their character n-grams and its
-hashed pairs of neighbouring words; a softmax layer turns that into a probability. A pair's
-hash is the difference of its words' hashes, so pairs of one word with itself share a vector.
+A document is the average of the vectors of its hashed words and their character n-grams, a
+softmax layer turns that into a probability. A word that comes n times weighs 1 + log n times
+as much as one that comes once, while the divisor counts every occurrence, so repetition moves
+a document towards the bias; a linear average could not tell it from other text.
 Training sees a bounded sample of labelled documents (``TRAIN_DOCS`` whole texts of at most
 ``TRAIN_CHARS`` characters); every document is scored whole. Average and output layer are
 linear, so scoring needs one number a bucket instead of a vector, and one complex number
-(sum, count) and a hash for each cached word.
+(sum, count) for each cached word.
 """
 
 from __future__ import annotations
 
 import zlib
-from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, documents, sliced
 
-BUCKETS, PAIR_BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 1 << 15, 8, 8, 0.5
+BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 17, 8, 8, 0.5
 GRAMS = (3, 4)
 TRAIN_DOCS, TRAIN_CHARS = 2000, 50_000
 FOLDS, HELD_OUT = 3, 1
@@ -43,38 +44,34 @@ def features(word: str, buckets: int) -> list[int]:
     return found
 
 
-def word_hash(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "replace"))
-
-
-def pair_features(hashes: list[int], buckets: int) -> np.ndarray:
-    """Buckets of neighbouring words, behind those of words and n-grams."""
-    return np.diff(np.array(hashes, np.int64)) % PAIR_BUCKETS + buckets
+def weights_of(counts: np.ndarray) -> np.ndarray:
+    """How much a word weighs by its number of occurrences."""
+    return 1 + np.log(counts)
 
 
 class Model:
-    """Vectors, output layer and bias for two classes. ``buckets`` are those of words and n-grams."""
+    """Vectors, output layer and bias for two classes."""
 
     def __init__(self, buckets: int = BUCKETS, dimensions: int = DIMENSIONS, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.vectors = rng.uniform(-1 / dimensions, 1 / dimensions, (buckets + PAIR_BUCKETS, dimensions))
+        self.vectors = rng.uniform(-1 / dimensions, 1 / dimensions, (buckets, dimensions))
         self.output = np.zeros((dimensions, 2))
         self.bias = np.zeros(2)
 
     def train(self, texts: list[str], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = 2) -> Model:
         """Gradient descent, one document at a time, with a rate that falls to zero."""
-        buckets, cache = len(self.vectors) - PAIR_BUCKETS, {}
+        cache: dict[str, np.ndarray] = {}
         examples = []
         for text, label in zip(texts, labels, strict=True):
-            words = text.split()
-            flat = array("i")
-            for w in words:
-                flat.extend(cache[w] if w in cache else cache.setdefault(w, array("i", features(w, buckets))))
-            flat = np.frombuffer(flat, np.int32) if words else np.zeros(0, np.int32)
-            flat = np.concatenate([flat, pair_features([word_hash(w) for w in words], buckets)])
-            if len(flat):
-                own, counts = np.unique(flat, return_counts=True)
-                examples.append((own, (counts / len(flat)).astype(np.float32), label))
+            counts = Counter(text.split())
+            if not counts:
+                continue
+            for w in set(counts).difference(cache):
+                cache[w] = np.array(features(w, len(self.vectors)), np.int32)
+            times, sizes = np.fromiter(counts.values(), float), np.array([len(cache[w]) for w in counts])
+            own, place = np.unique(np.concatenate([cache[w] for w in counts]), return_inverse=True)
+            weight = np.bincount(place, np.repeat(weights_of(times), sizes)) / (times @ sizes)
+            examples.append((own, weight.astype(np.float32), label))
         del cache
         if not examples:
             return self
@@ -92,7 +89,7 @@ class Model:
                 now = rate * (1 - step / total)
                 back = self.output @ wrong
                 self.output -= now * np.outer(hidden, wrong)
-                self.bias -= now * 0.1 * wrong
+                self.bias -= now * wrong
                 self.vectors[own] -= now * weight[:, None] * back * 20  # most documents share few features
                 step += 1
         return self
@@ -108,26 +105,21 @@ _worker: dict = {}  # word sums of this Python worker, by model
 def scores(texts: list[str], weights: np.ndarray, bias: float, key: int) -> list[float]:
     """The probability of label 1 for each whole text."""
     if _worker.get("key") != key:
-        _worker.update(key=key, weights=weights.tolist(), words={}, hashes={})
-    table, cache, hashes, buckets = _worker["weights"], _worker["words"], _worker["hashes"], len(weights) - PAIR_BUCKETS
+        _worker.update(key=key, weights=weights.tolist(), words={})
+    table, cache, buckets = _worker["weights"], _worker["words"], len(weights)
     out = []
     for text in texts:
-        words = text.split()
+        counts = Counter(text.split())
         long: dict[str, complex] = {}
-        for w in set(words).difference(cache):
-            hashes[w] = word_hash(w)
+        for w in set(counts).difference(cache):
             ids = features(w, buckets)
             (cache if len(w) <= CACHE_CHARS else long)[w] = complex(sum(map(table.__getitem__, ids)), len(ids))
-        total = sum(map(cache.__getitem__, words), 0j) if not long else sum((long[w] if w in long else cache[w] for w in words), 0j)
-        pairs = pair_features(list(map(hashes.__getitem__, words)), buckets)
-        total += complex(weights[pairs].sum(dtype=np.float64), len(pairs))
-        for w in long:
-            del hashes[w]
-        logit = bias + (total.real / total.imag if total.imag else 0.0)
+        sums = np.array([long[w] if w in long else cache[w] for w in counts] if long else list(map(cache.__getitem__, counts)), complex)
+        times = np.fromiter(counts.values(), float, len(counts))
+        logit = bias + (float(weights_of(times) @ sums.real) / float(times @ sums.imag) if counts else 0.0)
         out.append(1 / (1 + np.exp(-min(max(logit, -500.0), 500.0))))
         if len(cache) > CACHE_WORDS:
             cache.clear()
-            hashes.clear()
     return out
 
 

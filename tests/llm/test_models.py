@@ -46,13 +46,24 @@ def test_quality_score_is_the_models(spark):
     model = quality.Model(buckets=1 << 10).train(["good words here", "BAD!! BAD!!"] * 20, [1, 0] * 20)
     weights, bias = model.collapsed()
     text = "good BAD!! BAD!! words"
-    ids = [x for w in text.split() for x in quality.features(w, 1 << 10)] + quality.pair_features([quality.word_hash(w) for w in text.split()], 1 << 10).tolist()
-    assert ids[-2] == 1 << 10
-    logits = model.vectors[ids].mean(0) @ model.output + model.bias
+    found = [(w, quality.features(w, 1 << 10)) for w in text.split()]
+    hidden = sum((1 + np.log(text.split().count(w))) * model.vectors[ids].sum(0) for w, ids in dict(found).items()) / sum(len(ids) for _, ids in found)
+    logits = hidden @ model.output + model.bias
     p = np.exp(logits[1]) / np.exp(logits).sum()
     assert abs(quality.scores([text], weights, bias, 1)[0] - p) < 1e-9
 
 
+def test_quality_sees_repetition_of_words_it_never_learned():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    good = lambda: " ".join(word() for _ in range(60))
+    bad = lambda: " ".join([word()] * 60)
+    model = quality.Model().train([good() if k % 2 else bad() for k in range(400)], [k % 2 for k in range(400)])
+    weights, bias = model.collapsed()
+    got = quality.scores([good() if k % 2 else bad() for k in range(200)] + [""], weights, bias, 3)
+    assert sum((p >= 0.5) == k % 2 for k, p in enumerate(got[:200])) > 190 and abs(got[200] - 1 / (1 + np.exp(-bias))) < 1e-12
+
+
 def test_quality_sample_is_joined_and_bounded(spark):
     docs = documents(spark, [(k % 7, f"text {k % 20}") for k in range(200)] + [(100, "x" * 500), (None, "no id")])
     labels = spark.createDataFrame([(k, k % 2) for k in range(3000)] + [(1, 0), (None, 1)], "doc_id long, quality int")
