@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans import corpus_queries, evidence_queries, fact_queries, import_queries, inventory_queries, matching_queries, more_queries, relational_queries, repair_queries, text_queries  # noqa: F401
+from tessera.plans import corpus_queries, evidence_queries, fact_queries, import_queries, inventory_queries, matching_queries, more_queries, packet_queries, relational_queries, repair_queries, text_queries  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
