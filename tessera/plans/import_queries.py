@@ -42,29 +42,29 @@ def ext19(t):
 
 
 @query("ext18_ext44_corrected_records", """
-WITH c AS (SELECT o_custkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'c_mktsegment' WHEN o_orderkey % 3 = 1 THEN 'c_name' ELSE 'other' END AS field, arg_max(o_orderpriority, o_orderkey) AS v FROM orders WHERE o_totalprice > 350000 GROUP BY 1, 2)
+WITH c AS (SELECT o_custkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'c_mktsegment' WHEN o_orderkey % 3 = 1 THEN 'c_name' ELSE 'other' END AS field, arg_max(o_orderpriority, o_orderkey) AS v FROM orders GROUP BY 1, 2)
 SELECT c_custkey, coalesce(s.v, c_mktsegment) AS c_mktsegment, coalesce(n.v, c_name) AS c_name, concat_ws(',', CASE WHEN s.v IS NOT NULL THEN 'c_mktsegment' END, CASE WHEN n.v IS NOT NULL THEN 'c_name' END) AS corrected
 FROM customer LEFT JOIN c s ON s.k = c_custkey AND s.field = 'c_mktsegment' LEFT JOIN c n ON n.k = c_custkey AND n.field = 'c_name'""")
 def ext18(t):
     k = F.col("o_orderkey") % 3
     field = F.when(k == 0, "c_mktsegment").when(k == 1, "c_name").otherwise("other")
-    corrections = t.orders.where("o_totalprice > 350000").select(F.col("o_custkey").alias("c_custkey"), field.alias("field"), F.col("o_orderpriority").alias("value"), F.col("o_orderkey").alias("no"))
+    corrections = t.orders.select(F.col("o_custkey").alias("c_custkey"), field.alias("field"), F.col("o_orderpriority").alias("value"), F.col("o_orderkey").alias("no"))
     return M.corrected(t.customer.select("c_custkey", "c_mktsegment", "c_name"), corrections, "c_custkey", ["c_mktsegment", "c_name"])
 
 
 @query("ext16_pip41_ordered_bundles", """
-WITH m AS (SELECT c_custkey AS k, c_custkey * 2 AS position, c_acctbal < 0 AS excluded FROM customer WHERE c_custkey % 9 > 0), b AS (SELECT o_custkey AS k, count(*) AS n, max(o_orderstatus = 'P') AS blocked FROM orders WHERE o_totalprice > 380000 GROUP BY 1)
+WITH m AS (SELECT c_custkey AS k, c_custkey * 2 AS position, c_acctbal < 0 AS excluded FROM customer), b AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey - 1 ELSE o_custkey END AS k, count(*) AS n, max(o_orderstatus = 'P') AS blocked FROM orders GROUP BY 1)
 SELECT coalesce(m.k, b.k) AS k, position, CASE WHEN position IS NULL THEN 'unlisted' WHEN n IS NULL THEN CASE WHEN excluded THEN 'screening_only' ELSE 'missing' END WHEN n > 1 THEN 'ambiguous' WHEN blocked THEN 'blocked' ELSE 'import' END AS kind FROM m FULL JOIN b ON m.k = b.k""")
 def ext16(t):
-    manifest = t.customer.where("c_custkey % 9 > 0").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") * 2).alias("position"), (F.col("c_acctbal") < 0).alias("excluded"))
-    return M.ordered_bundles(manifest, t.orders.where("o_totalprice > 380000").select(F.col("o_custkey").alias("k"), (F.col("o_orderstatus") == "P").alias("blocked")), "k")
+    manifest = t.customer.select(F.col("c_custkey").alias("k"), (F.col("c_custkey") * 2).alias("position"), (F.col("c_acctbal") < 0).alias("excluded"))
+    return M.ordered_bundles(manifest, t.orders.select(F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_orderkey") - 1).otherwise(F.col("o_custkey")).alias("k"), (F.col("o_orderstatus") == "P").alias("blocked")), "k")
 
 
 @query("ext28_ext17_unified_shapes", """
-SELECT l_orderkey AS experiment, 'flag' AS field, l_returnflag AS value, 'map' AS shape FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT o_orderkey, 'status', o_orderstatus, 'compact' FROM orders UNION ALL SELECT l_orderkey, 'supplier', l_suppkey::VARCHAR, 'visual' FROM lineitem WHERE l_linestatus = 'F'""")
+SELECT l_orderkey AS experiment, 'flag' AS field, l_returnflag AS value, 'map' AS shape FROM lineitem UNION ALL SELECT o_orderkey, 'status', o_orderstatus, 'compact' FROM orders UNION ALL SELECT l_orderkey, 'supplier', l_suppkey::VARCHAR, 'visual' FROM lineitem""")
 def ext28(t):
     shape = lambda df, e, f, v: df.select(F.col(e).alias("experiment"), F.lit(f).alias("field"), F.col(v).alias("value"))
-    return M.unioned_shapes({"map": shape(t.lineitem.where("l_linenumber = 1"), "l_orderkey", "flag", "l_returnflag"), "compact": shape(t.orders, "o_orderkey", "status", "o_orderstatus"), "visual": shape(t.lineitem.where("l_linestatus = 'F'"), "l_orderkey", "supplier", "l_suppkey")})
+    return M.unioned_shapes({"map": shape(t.lineitem, "l_orderkey", "flag", "l_returnflag"), "compact": shape(t.orders, "o_orderkey", "status", "o_orderstatus"), "visual": shape(t.lineitem, "l_orderkey", "supplier", "l_suppkey")})
 
 
 @query("ext22_bound_requirements", """

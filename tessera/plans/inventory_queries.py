@@ -337,20 +337,20 @@ def pip40(t):
 
 
 @query("ext33_task_scope_audit", """
-WITH e AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_discount > 0.09), a AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_tax > 0.06 GROUP BY 1)
+WITH e AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_discount > 0.04), a AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_discount <= 0.04 GROUP BY 1)
 SELECT coalesce(e.k, a.k) AS k, CASE WHEN e.k IS NULL THEN 'unknown' WHEN n IS NULL THEN 'omitted' WHEN n > 1 THEN 'repeated' ELSE 'exact' END AS accounting FROM e FULL JOIN a ON e.k = a.k""")
 def ext33(t):
     key = F.col("l_orderkey").alias("k")
-    return D.accounted(t.lineitem.where("l_discount > 0.09").select(key), t.lineitem.where("l_tax > 0.06").select(key), "k")
+    return D.accounted(t.lineitem.where("l_discount > 0.04").select(key), t.lineitem.where("l_discount <= 0.04").select(key), "k")
 
 
 @query("ext51_rerun_preflight", """
-WITH q AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_totalprice < 60000 GROUP BY 1) SELECT k, n, CASE WHEN n > 8 THEN 'over_bound' WHEN c_acctbal >= 0 THEN 'approved' ELSE 'not_approved' END AS state FROM q JOIN customer ON c_custkey = k""")
+WITH q AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) SELECT k, n, CASE WHEN n > 12 THEN 'over_bound' WHEN c_acctbal >= 0 THEN 'approved' ELSE 'not_approved' END AS state FROM q JOIN customer ON c_custkey = k""")
 def ext51(t):
     """The queue of papers with gaps, held to a bound and to approvals."""
-    queue = t.orders.where("o_totalprice < 60000").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+    queue = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
     approvals = t.customer.select(F.col("c_custkey").alias("k"), (F.col("c_acctbal") >= 0).alias("approved"))
-    return queue.join(approvals, "k").select("k", "n", F.when(F.col("n") > 8, "over_bound").when(F.col("approved"), "approved").otherwise("not_approved").alias("state"))
+    return queue.join(approvals, "k").select("k", "n", F.when(F.col("n") > 12, "over_bound").when(F.col("approved"), "approved").otherwise("not_approved").alias("state"))
 
 
 @query("ext45_contract_migration", """

@@ -49,13 +49,13 @@ def mat04(t):
 
 
 @query("mat05_consumption", """
-WITH a AS (SELECT l_orderkey AS k, l_linenumber AS link, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2), g AS (SELECT l_orderkey AS k, l_linenumber AS link, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2),
+WITH a AS (SELECT l_orderkey AS k, l_linenumber AS link, count(*) AS n FROM lineitem WHERE l_linestatus <> 'F' GROUP BY 1, 2), g AS (SELECT l_orderkey AS k, l_linenumber AS link, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2),
 x AS (SELECT k, link, coalesce(a.n, 0) AS answers, coalesce(g.n, 0) AS gold FROM a FULL JOIN g USING (k, link)), e AS (SELECT *, sum(gold) OVER (PARTITION BY k) > 0 AS known FROM x)
 SELECT k, result, sum(n)::BIGINT AS n FROM (
   SELECT k, 'correct' AS result, least(answers, gold) AS n FROM e UNION ALL SELECT k, 'missed', gold - least(answers, gold) FROM e UNION ALL
   SELECT k, CASE WHEN gold > 0 THEN 'duplicate' WHEN known THEN 'wrong_link' ELSE 'unsupported' END, answers - least(answers, gold) FROM e) WHERE n > 0 GROUP BY 1, 2""")
 def mat05(t):
-    answers = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("link"))
+    answers = t.lineitem.where("l_linestatus <> 'F'").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("link"))
     gold = t.lineitem.where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("link"))
     return A.consumed(answers, gold, "k", "link")
 
@@ -189,10 +189,10 @@ def prj20(t):
 
 
 @query("pip18_accounting", """
-WITH c AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 5 <> 0), d AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
+WITH c AS (SELECT o_orderkey AS k FROM orders), d AS (SELECT CASE WHEN l_linenumber > 6 THEN -l_orderkey - 1 ELSE l_orderkey END AS k, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT coalesce(c.k, d.k) AS k, CASE WHEN c.k IS NULL THEN 'unknown' WHEN n IS NULL THEN 'omitted' WHEN n > 1 THEN 'repeated' ELSE 'exact' END AS accounting FROM c FULL JOIN d ON c.k = d.k""")
 def pip18(t):
-    return D.accounted(t.orders.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k")), t.lineitem.where("l_linenumber <= 2").select(F.col("l_orderkey").alias("k")), "k")
+    return D.accounted(t.orders.select(F.col("o_orderkey").alias("k")), t.lineitem.select(F.when(F.col("l_linenumber") > 6, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")).alias("k")), "k")
 
 
 @query("pip03_start_batch", r"""

@@ -110,12 +110,12 @@ def ledger_changes(t, held, comes):
 
 
 @query("pip11_routing", """
-WITH a AS (SELECT o_orderkey AS k, 'validation' AS route FROM orders WHERE o_totalprice < 20000), b AS (SELECT DISTINCT l_orderkey AS k, 'coverage' AS route FROM lineitem WHERE l_discount > 0.095), c AS (SELECT DISTINCT l_orderkey AS k, 'inventory' AS route FROM lineitem WHERE l_tax > 0.075),
+WITH a AS (SELECT o_orderkey AS k, 'validation' AS route FROM orders WHERE o_orderstatus = 'P'), b AS (SELECT DISTINCT l_orderkey AS k, 'coverage' AS route FROM lineitem WHERE l_discount > 0.04), c AS (SELECT DISTINCT l_orderkey AS k, 'inventory' AS route FROM lineitem WHERE l_discount <= 0.04),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE k NOT IN (SELECT k FROM a) UNION ALL SELECT * FROM c WHERE k NOT IN (SELECT k FROM a) AND k NOT IN (SELECT k FROM b))
 SELECT route, count(*) AS n, count(DISTINCT k) AS records FROM u GROUP BY route""")
 def pip11(t):
     """Findings of three kinds; what an earlier route has is not routed again."""
-    routes = [("validation", t.orders.where("o_totalprice < 20000").select(F.col("o_orderkey").alias("k"))), ("coverage", t.lineitem.where("l_discount > 0.095").select(F.col("l_orderkey").alias("k")).distinct()), ("inventory", t.lineitem.where("l_tax > 0.075").select(F.col("l_orderkey").alias("k")).distinct())]
+    routes = [("validation", t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("k"))), ("coverage", t.lineitem.where("l_discount > 0.04").select(F.col("l_orderkey").alias("k")).distinct()), ("inventory", t.lineitem.where("l_discount <= 0.04").select(F.col("l_orderkey").alias("k")).distinct())]
     ranks = None
     for n, (name, df) in enumerate(routes):
         own = df.select("k", F.struct(F.lit(n).alias("n"), F.lit(name).alias("route")).alias("r"))

@@ -400,11 +400,11 @@ def top14(t):
 
 @query("top17_top18_preferred", """
 SELECT p.p_partkey, coalesce(a.l_returnflag, b.l_returnflag, 'none') AS preferred FROM part p
-LEFT JOIN (SELECT l_partkey, min(l_returnflag) AS l_returnflag FROM lineitem WHERE l_discount > 0.09 GROUP BY 1) a ON a.l_partkey = p.p_partkey
-LEFT JOIN (SELECT l_partkey, max(l_returnflag) AS l_returnflag FROM lineitem WHERE l_tax > 0.07 GROUP BY 1) b ON b.l_partkey = p.p_partkey""")
+LEFT JOIN (SELECT l_partkey, min(l_returnflag) AS l_returnflag FROM lineitem WHERE l_discount > 0.04 GROUP BY 1) a ON a.l_partkey = p.p_partkey
+LEFT JOIN (SELECT l_partkey, max(l_returnflag) AS l_returnflag FROM lineitem WHERE l_discount <= 0.04 GROUP BY 1) b ON b.l_partkey = p.p_partkey""")
 def top17(t):
-    a = t.lineitem.where("l_discount > 0.09").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_returnflag").alias("a"))
-    b = t.lineitem.where("l_tax > 0.07").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_returnflag").alias("b"))
+    a = t.lineitem.where("l_discount > 0.04").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_returnflag").alias("a"))
+    b = t.lineitem.where("l_discount <= 0.04").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_returnflag").alias("b"))
     return t.part.select("p_partkey").join(a, "p_partkey", "left").join(b, "p_partkey", "left").select("p_partkey", F.coalesce("a", "b", F.lit("none")).alias("preferred"))
 
 
@@ -467,9 +467,9 @@ def prj22(t):
 
 
 @query("set01_statuses", """
-SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'rejected' ELSE 'accepted' END AS status, 'direct' AS via FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'accepted' ELSE 'review' END, 'link' FROM orders""")
+SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'rejected' ELSE 'accepted' END AS status, 'direct' AS via FROM lineitem UNION ALL SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'accepted' ELSE 'review' END, 'link' FROM orders""")
 def set01(t):
-    direct = t.lineitem.where("l_linenumber = 1").select("l_orderkey", F.when(F.col("l_returnflag") == "R", "rejected").otherwise("accepted").alias("status"), F.lit("direct").alias("via"))
+    direct = t.lineitem.select("l_orderkey", F.when(F.col("l_returnflag") == "R", "rejected").otherwise("accepted").alias("status"), F.lit("direct").alias("via"))
     return direct.unionByName(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("review").alias("status"), F.lit("link").alias("via")))
 
 

@@ -1,6 +1,7 @@
 """Queries over all rows of their tables; components, which have no oracle, against union-find."""
 
 import random
+import re
 
 import pytest
 
@@ -15,6 +16,13 @@ def test_no_query_reads_a_slice(name):
     assert name in QUERIES and "l_quantity" not in ORACLES.get(name, "") and f"{name}_all" not in QUERIES
 
 
+@pytest.mark.parametrize("name", ["ext16_pip41_ordered_bundles", "ext18_ext44_corrected_records", "ext28_ext17_unified_shapes", "ext51_rerun_preflight", "pip18_accounting", "set01_statuses"])
+def test_scans_leave_no_row_out(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    pushed = [x.strip() for found in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) for x in found.split("), ")]
+    assert "FileScan parquet" in plan and all(not x or x.startswith("IsNotNull(") for x in pushed)
+
+
 def test_all_groups_hold_every_row(spark):
     rows = QUERIES["agg15_family_groups"](spark, "/root/testdata/sf0.001").agg({"n": "sum"}).first()[0]
     assert rows == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
