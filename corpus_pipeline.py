@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return the
 columns of ``documents``, extra ones included; the last places every document in training
-sequences. Null and empty texts count as empty: the classifier gives them its prior, the near-copy
+sequences. Null and empty texts count as empty: the classifier gives them its bias, the near-copy
 stage keeps one of them, packing gives them the end id alone. Null ids stay, and rows with them are never
 near copies of others. Rows that repeat id and text share their fate and stay repeated. Texts are
 taken whole, however long; an empty table stays empty through all stages.
