@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tessera.shared import drop, new_table, partitions_for, written
 
 RANGE_ROWS = 200_000
+PAIRED_TOKENS = 64
 
 
 def incremental_groups(records: DataFrame, id_col: str, keys: DataFrame, key_col: str) -> DataFrame:
@@ -64,18 +65,26 @@ def _total(labels: DataFrame) -> object:
 def overlapping(items: DataFrame, group: Sequence[str], id_col: str, tokens_col: str, least: float) -> DataFrame:
     """(group, a, b, overlap) for a < b whose token sets share at least ``least`` of the smaller one; exact.
 
-    Two sets with that overlap share a token among the first |s| - ceil(least |s|) + 1 of the smaller one, by rarity. So the
-    prefixes of smaller sets meet all tokens of sets at least as large, and pairs are verified by their sets. Ids are unique; items without tokens have no pairs.
+    Of two sets with that overlap, where k tokens of the smaller one have to be shared, two are among its first |s| - k + 2 by rarity (one among the
+    first |s| - k + 1). So pairs of tokens of smaller sets' prefixes meet all pairs of tokens of sets at least as large, and are verified by the
+    sets; sets over ``PAIRED_TOKENS`` tokens are met by single ones. Ids are unique; items without tokens have no pairs.
     """
     own = items.select(*group, F.col(id_col).alias("i"), F.array_sort(F.array_distinct(tokens_col)).alias("s")).where(F.size("s") > 0)
     each = own.select(*group, "i", F.size("s").alias("n"), F.explode("s").alias("t"))
     rarity = each.groupBy(*group, "t").agg(F.count("*").alias("f"))
     ranked = each.join(rarity, [*group, "t"])
     ordered = ranked.groupBy(*group, "i", "n").agg(F.array_sort(F.collect_list(F.struct("f", "t"))).alias("l"))
-    width = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1
-    prefix = ordered.select(*group, F.col("i").alias("x"), F.col("n").alias("nx"), F.explode(F.slice(F.transform("l", lambda v: v["t"]), 1, width)).alias("t"))
-    whole = each.select(*group, F.col("i").alias("y"), F.col("n").alias("ny"), "t")
-    met = prefix.join(whole, [*group, "t"]).where("nx <= ny and x <> y").select(*group, "x", "y").distinct()
+    k = F.greatest(F.ceil(F.col("n") * least - 1e-9).cast("int"), F.lit(1))
+    first = lambda more: F.array_sort(F.transform(F.slice("l", 1, F.col("n") - k + more), lambda v: v["t"]))
+    smaller = ordered.select(*group, F.col("i").alias("x"), F.col("n").alias("nx"), first(1).alias("one"), F.when(k > 1, first(2)).alias("two"))
+    pairs_of = lambda c, skip: F.flatten(F.transform(c, lambda v, at: F.transform(F.slice(c, at + skip, F.size(c)), lambda w: F.xxhash64(v, w))))
+    by_two = smaller.select(*group, "x", "nx", F.explode(F.when(F.col("two").isNull(), F.transform("one", lambda v: F.xxhash64(v, v))).otherwise(pairs_of("two", 2))).alias("t"))
+    larger = own.select(*group, F.col("i").alias("y"), F.size("s").alias("ny"), "s")
+    short = larger.where(F.col("ny") <= PAIRED_TOKENS).select(*group, "y", "ny", F.explode(pairs_of("s", 1)).alias("t"))
+    long_ = larger.where(F.col("ny") > PAIRED_TOKENS).select(*group, "y", "ny", F.explode("s").alias("t"))
+    by_one = smaller.select(*group, "x", "nx", F.explode("one").alias("t"))
+    meet = lambda one, other: one.join(other, [*group, "t"]).where("nx <= ny and x <> y").select(*group, "x", "y")
+    met = meet(by_two, short).unionByName(meet(by_one, long_)).distinct()
     sets = own.select(*group, F.col("i").alias("x"), F.col("s").alias("sx"))
     other = own.select(*group, F.col("i").alias("y"), F.col("s").alias("sy"))
     overlap = F.size(F.array_intersect("sx", "sy")) / F.least(F.size("sx"), F.size("sy"))
@@ -100,11 +109,7 @@ def absorbed_in_rounds(items: DataFrame, group: Sequence[str], id_col: str, toke
     whole = written(own.withColumn("same", F.when((F.size("tokens") > 0) | (F.size("evidence") > 0), F.sha2(F.to_json(alike), 256)).otherwise(F.concat(F.lit("#"), F.col("i")))), "items")
     firsts = whole.groupBy(*group, "same").agg(F.min("i").alias("i"))
     nodes = written(whole.join(firsts.select("i"), "i", "left_semi"), "item-kinds")
-    close = overlapping(nodes, group, "i", "tokens", same_source)
-    side = lambda n: nodes.select(F.col("i").alias(n), F.col("sources").alias(f"s{n}"), F.col("figure").alias(f"f{n}"))
-    likely = close.join(side("a"), "a").join(side("b"), "b")
-    fits = F.col("fa").isNull() | F.col("fb").isNull() | (F.col("fa") == F.col("fb"))
-    pairs = written(likely.where(fits & ((F.col("overlap") >= same) | F.arrays_overlap("sa", "sb"))).select("a", "b"), "item-pairs")
+    texts, links = _texts(nodes, group, same, same_source)
     held = written(nodes.select(*group, "i", "figure", F.explode("evidence").alias("e")), "item-evidence")
     spark = items.sparkSession
     open_, fate = written(nodes.select("i").distinct(), "items-open"), new_table(spark, "item-fates")
@@ -117,7 +122,7 @@ def absorbed_in_rounds(items: DataFrame, group: Sequence[str], id_col: str, toke
         least = holders.groupBy(*hub, "figure").agg(F.min("i").alias("m"))
         any_ = least.groupBy(*hub).agg(F.min("m").alias("any"), F.min(F.when(F.col("figure").isNull(), F.col("m"))).alias("plain"))
         mine = _hub_firsts(holders.join(open_, "i", "left_semi"), least, any_, hub)
-        told = pairs.join(alive.withColumnRenamed("i", "a"), "a", "left_semi").join(open_.withColumnRenamed("i", "b"), "b", "left_semi").select(F.col("b").alias("i"), F.col("a").alias("first"))
+        told = _text_firsts(texts, links, group, open_, alive)
         first = mine.unionByName(told).where("first < i").groupBy("i").agg(F.min("first").alias("first"))
         step = written(open_.join(first, "i", "left"), "item-round")
         free = step.where("first is null").select("i")
@@ -144,3 +149,34 @@ def _hub_firsts(open_holders: DataFrame, least: DataFrame, any_: DataFrame, hub:
     seen = open_holders.join(any_, list(hub)).join(own, [*hub, "figure"], "left")
     fitting = F.when(F.col("figure").isNull(), F.col("any")).otherwise(F.least("plain", "equal"))
     return seen.select("i", fitting.alias("first"))
+
+
+def _texts(nodes: DataFrame, group: Sequence[str], same: float, same_source: float) -> tuple[DataFrame, DataFrame]:
+    """(group, i, set, source, shown) for each item's token set, without a source and with each of its own; (set, near, plain) for sets that are like each other.
+
+    Items are many, different token sets fewer: only sets are paired, over all groups at once where groups have most of them in common.
+    ``plain`` links ask for no common source.
+    """
+    own = nodes.where(F.size("tokens") > 0)
+    per_group, alone = own.select(*group, "tokens").distinct().count(), own.select("tokens").distinct().count()
+    by = [] if per_group > 2 * alone else list(group)
+    sets = written(own.groupBy(*by, "tokens").agg(F.min("i").alias("set")), "token-sets")
+    close = written(overlapping(sets, by, "set", "tokens", min(same, same_source)).select("a", "b", "overlap"), "set-pairs")
+    itself = sets.select(F.col("set").alias("a"), F.col("set").alias("b"), F.lit(1.0).alias("overlap"))
+    both = close.unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "overlap")).unionByName(itself)
+    plain = F.col("overlap") >= same
+    links = written(both.where(plain | (F.col("overlap") >= same_source)).select(F.col("a").alias("set"), F.col("b").alias("near"), plain.alias("plain")), "set-links")
+    places = F.concat(F.array(F.lit("")), F.transform("sources", lambda x: F.concat(F.lit("="), x)))
+    shown = F.coalesce(F.concat(F.lit("="), "figure"), F.lit(""))
+    return written(own.join(sets, [*by, "tokens"]).select(*group, "i", "set", F.explode(places).alias("source"), shown.alias("shown")), "item-texts"), links
+
+
+def _text_firsts(texts: DataFrame, links: DataFrame, group: Sequence[str], open_: DataFrame, alive: DataFrame) -> DataFrame:
+    """(i, first): for each open item, the first living item of its group whose text is like its own, with a figure that fits; by sets, sources and figures, so that items make no pairs."""
+    kind = [*group, "set", "source", "shown"]
+    asking = texts.join(open_, "i", "left_semi")
+    asked = asking.select(*kind, (F.col("source") == "").alias("plain")).distinct().join(links, ["set", "plain"])
+    least = texts.join(alive, "i", "left_semi").groupBy(*kind).agg(F.min("i").alias("first")).withColumnsRenamed({"set": "near", "shown": "theirs"})
+    fits = (F.col("shown") == "") | (F.col("theirs") == "") | (F.col("shown") == F.col("theirs"))
+    found = asked.join(least, [*group, "near", "source"]).where(fits).groupBy(*kind).agg(F.min("first").alias("first"))
+    return asking.join(found, kind).select("i", "first")

@@ -84,3 +84,21 @@ def test_pairs_are_those_of_brute_force(spark):
     got = {(r.a, r.b) for r in C.overlapping(spark.createDataFrame(data, FORM), ["g"], "i", "tokens", 0.72).collect()}
     sets = {(g, i): set(t) for g, i, t, *_ in data if t}
     assert got == {(i, j) for (g, i), a in sets.items() for (h, j), b in sets.items() if g == h and i < j and len(a & b) / min(len(a), len(b)) >= 0.72}
+
+
+def test_sets_are_paired_not_items(spark, monkeypatch):
+    """Items of few texts that differ in evidence and group: only different texts are paired, once for all groups (before: every item)."""
+    given, pair = [], C.overlapping
+    monkeypatch.setattr(C, "overlapping", lambda items, *rest: given.append(items.count()) or pair(items, *rest))
+    texts = ["abcd", "abce", "abfg", "xyzw"]
+    data = [("ghijk"[k % 5], k, list(texts[k // 5 % 4]), [f"e{k}"], ["s"], [None, "Fig 1", "Fig 2"][k % 3]) for k in range(120)]
+    out = C.absorbed_in_rounds(spark.createDataFrame(data, FORM), ["g"], "i", "tokens", "evidence", "sources", F.col("figure"))
+    assert {r.i: r.kept_as for r in out.collect()} == one_by_one(data)
+    assert given == [4]
+
+
+def test_long_sets_meet_short_ones(spark):
+    long_ = [f"t{k:03d}" for k in range(C.PAIRED_TOKENS + 30)]
+    data = [("g", 1, long_, [], [], None), ("g", 2, long_[5:9], [], [], None), ("g", 3, [*long_[:70], *"abcdefgh"], [], [], None), ("g", 4, ["t001"], [], [], None), ("g", 5, ["t001", "z"], [], [], None)]
+    got = {(r.a, r.b) for r in C.overlapping(spark.createDataFrame(data, FORM), ["g"], "i", "tokens", 0.72).collect()}
+    assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (3, 4), (4, 5)}
