@@ -211,3 +211,13 @@ def test_two_writers_do_not_both_win(spark, database):
     with pytest.raises(FileExistsError):
         M.point(spark, database, now.number + 1, 0, now.tables)
     assert json.dumps(M.current(spark, database).tables) == json.dumps(now.tables)
+
+
+def test_stored_records_are_small(spark, tmp_path):
+    """The store holds no ids and 32 bytes of content a record (before: two digests of 64 letters); readers see both as they were."""
+    store = str(tmp_path / "store")
+    B.import_bundles(spark, store, bundle(spark, paper("P1")))
+    kept = {name: dict(spark.read.parquet(f"{store}/{name}").dtypes) for name in FORMS}
+    assert all("id" not in types and types["content"] == "binary" for types in kept.values())
+    arm = B.corpus_tables(spark, store)["arm"].where("record_id = 'a1'").first()
+    assert len(arm.content) == 64 and len(arm.id) == 64
