@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import digest
 from tessera.operators.readiness import reasons
+from tessera.shared import written
 
 MATCH, OPEN, CLASH, UNASKED = "match", "unconfirmed", "contradiction", "not_applicable"
 
@@ -248,15 +249,18 @@ def supported_by_grid(claims: DataFrame, headers: DataFrame, grid: DataFrame, ta
 def recalled_outcomes(gold: DataFrame, found: DataFrame) -> DataFrame:
     """(paper, gold_id, recalled): a candidate of the paper at the same location with two common tokens, or with four, all of the value's among them.
 
-    Both have (paper, location, tokens); gold has ``value_tokens``. Pairs meet by location, or by a token of the value.
+    Both have (paper, location, tokens); gold has ``value_tokens``. Pairs meet by location, or by a token of the value. Rows that meet by token
+    are numbers; their tokens join later. Spark takes lists of tokens for smaller than they are, so joins that carry them ask for a merge.
     """
-    g = gold.select("paper", "gold_id", F.col("location").alias("__at"), F.col("tokens").alias("__tokens"), "value_tokens")
-    shared = F.size(F.array_intersect("__tokens", "tokens"))
-    near = g.join(found.select("paper", F.col("location").alias("__at"), "tokens"), ["paper", "__at"]).where(shared >= 2)
-    by_token = found.select("paper", "tokens", F.explode(F.array_distinct("tokens")).alias("__token"))
-    strong = g.where(F.size("value_tokens") > 0).withColumn("__token", F.element_at("value_tokens", 1)).join(by_token, ["paper", "__token"])
+    g = written(gold.select("paper", "gold_id", F.col("location").alias("__at"), F.col("tokens").alias("__tokens"), "value_tokens", F.monotonically_increasing_id().alias("__g")), "gold-rows")
+    f = written(found.select("paper", F.col("location").alias("__at"), "tokens", F.monotonically_increasing_id().alias("__f")), "found-rows")
+    near = g.join(f.hint("merge"), ["paper", "__at"]).where(F.size(F.array_intersect("__tokens", "tokens")) >= 2)
+    by_token = f.select("paper", "__f", F.explode(F.array_distinct("tokens")).alias("__token"))
+    asked = g.where(F.size("value_tokens") > 0).select("paper", "__g", F.element_at("value_tokens", 1).alias("__token"))
+    met = asked.join(by_token.hint("merge"), ["paper", "__token"]).select("__g", "__f")
     common = F.array_intersect("__tokens", "tokens")
-    strong = strong.where((F.size(common) >= 4) & (F.size(F.array_except("value_tokens", common)) == 0))
+    whole = met.join(g.drop("__at").hint("merge"), "__g").join(f.select("__f", "tokens").hint("merge"), "__f")
+    strong = whole.where((F.size(common) >= 4) & (F.size(F.array_except("value_tokens", common)) == 0))
     hit = near.select("paper", "gold_id").unionByName(strong.select("paper", "gold_id")).distinct().withColumn("recalled", F.lit(True))
     return gold.select("paper", "gold_id").join(hit, ["paper", "gold_id"], "left").withColumn("recalled", F.coalesce("recalled", F.lit(False)))
 
