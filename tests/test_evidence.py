@@ -118,12 +118,14 @@ def test_numbers_agree_within_the_last_decimal(spark):
     assert [r.v for r in got] == [{True: V.MATCH, False: V.CLASH, None: V.OPEN}[r.same] for r in got]
 
 
-def test_recall_sends_no_tokens_to_the_driver(spark):
+def test_recall_sends_no_tokens_to_the_driver(spark, tmp_path):
     """Joins that carry lists of tokens are not broadcast, however small Spark takes them for (before: both were), and equal rows count each by itself."""
     form = "paper int, gold_id int, location int, tokens array<string>, value_tokens array<string>"
     gold = table(spark, form, (1, 1, 1, ["a", "b", "c", "d"], ["a"]), (1, 1, 1, ["x"], []), (1, 2, 1, ["a", "b", "c", "e"], ["a", "e"]), (2, 1, 9, ["a", "b", "c", "d"], ["a"]))
     found = table(spark, "paper int, location int, tokens array<string>", (1, 2, ["a", "b", "c", "d"]), (1, 2, ["a", "b", "c", "d"]), (2, 9, ["d"]))
-    out = V.recalled_outcomes(gold, found)
+    for name, df in {"gold": gold, "found": found}.items():
+        df.write.parquet(str(tmp_path / name))  # files have a size that Spark goes by
+    out = V.recalled_outcomes(spark.read.parquet(str(tmp_path / "gold")), spark.read.parquet(str(tmp_path / "found")))
     assert plain(out.distinct(), "paper", "gold_id", "recalled") == [(1, 1, True), (1, 2, False), (2, 1, False)]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__" in x] == []
