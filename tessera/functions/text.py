@@ -90,9 +90,21 @@ def bigrams(terms: Column) -> Column:
     return F.zip_with(firsts, F.slice(terms, F.lit(2), F.greatest(F.size(terms) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def related(first: Column, second: Column) -> Column:
+def sentence_pairs(sentences: Column) -> Column:
+    """Each sentence but the last with its terms, the sentence that follows and that one's terms."""
+    each = F.transform(sentences, lambda x: F.struct(x.alias("x"), content_terms(x).alias("terms")))
+    firsts = F.greatest(F.size(sentences) - 1, F.lit(0))
+    paired = lambda rows: F.zip_with(
+        F.slice(rows, F.lit(1), firsts), F.slice(rows, F.lit(2), firsts), lambda a, b: F.struct(a["x"].alias("sentence"), b["x"].alias("following"), a["terms"].alias("terms"), b["terms"].alias("following_terms"))
+    )
+    # A lambda's argument is computed once.
+    return F.flatten(F.transform(F.array(each), paired))
+
+
+def related(first: Column, second: Column, first_terms: Column | None = None, second_terms: Column | None = None) -> Column:
     """Whether neighbouring sentences belong together: anaphora, an open end, a shared term pair, or half the terms shared."""
-    a, b = content_terms(first), content_terms(second)
+    a = content_terms(first) if first_terms is None else first_terms
+    b = content_terms(second) if second_terms is None else second_terms
     shared = F.size(F.array_intersect(a, b))
     smaller = F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b)))
     open_end = F.rtrim(first).rlike("[:;]$") | F.lower(second).rlike("^(this|these|those|they|it|such)( |$)")
