@@ -9,11 +9,14 @@ grows with queries times tasks. Beyond, terms are joined with their postings.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ RANK_OFFSET, NEIGHBOUR_SHARE, SEEDS = 60, 0.18, 4
 LEAST_TERM = 3
 QUERY_BLOCK, VECTOR_BLOCK = 512, 4096
 ASKED_TERMS = 300_000  # and rows of (query, term), held by the driver and each task
+TERM_ROWS = 2_000_000  # (document, term) rows that meet in a task
+HELD_DOCUMENTS = 5_000_000
 ROW_BLOCK, COLUMN_BLOCK = 256, 64  # documents and queries that meet as matrices
 WORD, LONG_WORD = r"[a-z0-9]+", r"[a-z0-9_]{2,}"
 
@@ -196,38 +201,90 @@ def grams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return w.select(id_col, F.explode(F.concat("w", pairs)).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
+def gram_counter() -> Callable:
+    """A function from texts to (row, term, tf, hash) of their ``grams``; equal terms have equal hashes everywhere. Tasks get it by value."""
+
+    def count(texts: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray] | None:
+        own = [re.findall(LONG_WORD, text) for text in texts]
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        if not sizes.sum():
+            return None
+        coded = pa.array(chain.from_iterable(own), pa.string()).dictionary_encode()
+        number, name, of = coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.repeat(np.arange(len(own)), sizes)
+        hashes = np.fromiter((zlib.crc32(x.encode()) for x in name.to_pylist()), np.int64, len(name))
+        follows = np.flatnonzero(of[1:] == of[:-1])
+        pairs, pair = np.unique(number[follows] * len(name) + number[follows + 1], return_inverse=True)
+        a, b = np.divmod(pairs, len(name))
+        every = np.concatenate([number, pair + len(name)])
+        names = pa.concat_arrays([name, pc.binary_join_element_wise(name.take(pa.array(a)), name.take(pa.array(b)), " ")])
+        hashes = np.concatenate([hashes, (hashes[a] * 1_000_003 + hashes[b]) >> 7])
+        found, tf = np.unique(np.concatenate([of, of[follows]]) * len(names) + every, return_counts=True)
+        row, term = np.divmod(found, len(names))
+        return row, names.take(pa.array(term)), tf, hashes[term]
+
+    return count
+
+
+def _texts(blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return blocks.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+
+
 def all_grams(blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term, tf) as ``grams``, counted beside the scan."""
-    words = re.compile(LONG_WORD)
+
+    block_grams = gram_counter()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROW_BLOCK):
-                batch = whole.slice(at, ROW_BLOCK)
-                of, terms, counts = [], [], []
-                for k, text in enumerate(batch.column("text").to_pylist()):
-                    own = words.findall(text)
-                    found = Counter(own)
-                    found.update(map(" ".join, zip(own, own[1:])))
-                    of += [k] * len(found)
-                    terms += found
-                    counts += found.values()
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of, pa.int32())), pa.array(terms, pa.string()), pa.array(counts, pa.int32())], names=["id", "term", "tf"])
+        for batch in (whole.slice(at, ROW_BLOCK) for whole in batches for at in range(0, whole.num_rows, ROW_BLOCK)):
+            found = block_grams(batch.column("text").to_pylist())
+            if found:
+                row, term, tf, _ = found
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), term, pa.array(tf, pa.int32())], names=["id", "term", "tf"])
+
+    return _texts(blocks, id_col, text_col).mapInArrow(count, "id long, term string, tf int")
 
-    slim = blocks.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    return slim.mapInArrow(count, "id long, term string, tf int")
 
+def tfidf_lengths(blocks: DataFrame, n: int, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, length) of the TF-IDF vectors. All terms travel once, to as many tasks as ``words`` words ask for, and are counted where they meet.
 
-def tfidf_lengths(blocks: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, length) of the TF-IDF vectors. Most terms are in one document only: their part is known beside the scan, and
-    only terms of several documents are joined with their weight."""
-    each = all_grams(blocks, id_col, text_col)
-    several = each.groupBy("term").agg(F.count("*").alias("df")).where("df > 1")
-    weight = lambda df: F.log((1 + F.lit(n)) / (1 + df)) + 1
-    several = written(several.select("term", weight(F.col("df")).alias("idf")), "common-terms")
-    w = 1 + F.log("tf")
-    idf = F.coalesce("idf", weight(F.lit(1)))
-    return each.join(several, "term", "left").groupBy("id").agg(F.sqrt(F.sum(w * idf * w * idf)).alias("length"))
+    They travel in blocks: a row holds those of some documents that go to one task, which holds what it gets, with a frequent
+    term's rows. Beyond ``HELD_DOCUMENTS`` documents they travel one by one to a window, which spills.
+    """
+    parts = max(partitions_for(blocks.sparkSession), -(-2 * words // TERM_ROWS))
+    if n > HELD_DOCUMENTS:
+        each = all_grams(blocks, id_col, text_col).repartition(parts, "term")
+        weight = (1 + F.log("tf")) * (F.log((1 + F.lit(n)) / (1 + F.count("*").over(Window.partitionBy("term")))) + 1)
+        return each.select("id", F.pow(weight, 2).alias("square")).groupBy("id").agg(F.sqrt(F.sum("square")).alias("length"))
+
+    block_grams, block = gram_counter(), 8 * ROW_BLOCK
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, block) for whole in batches for at in range(0, whole.num_rows, block)):
+            found = block_grams(batch.column("text").to_pylist())
+            if found:
+                row, term, tf, hashes = found
+                to = hashes % parts
+                order = np.argsort(to, kind="stable")
+                dealt = pa.RecordBatch.from_arrays([term, batch.column("id").take(pa.array(row)), pa.array(tf, pa.int32())], names=["term", "id", "tf"]).take(pa.array(order))
+                used, starts = np.unique(to[order], return_index=True)
+                sizes = np.diff(np.append(starts, len(order)))
+                data = [dealt.slice(at, size).serialize().to_pybytes() for at, size in zip(starts.tolist(), sizes.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(data, pa.binary())], names=["task", "data"])
+
+    schema = pa.schema({"term": pa.string(), "id": pa.int64(), "tf": pa.int32()})
+
+    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = [pa.ipc.read_record_batch(pa.py_buffer(x), schema) for batch in batches for x in batch.column("data").to_pylist()]
+        if blocks:
+            got = pa.Table.from_batches(blocks)
+            code = got.column("term").cast(pa.large_string()).combine_chunks().dictionary_encode().indices.to_numpy()
+            idf = np.log((1 + n) / (1 + np.bincount(code))) + 1
+            found, at = np.unique(got.column("id").to_numpy(), return_inverse=True)
+            part = ((1 + np.log(got.column("tf").to_numpy())) * idf[code]) ** 2
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.bincount(at, part))], names=["id", "square"])
+
+    squared = _texts(blocks, id_col, text_col).mapInArrow(deal, "task int, data binary").repartition(parts, "task").mapInArrow(squares, "id long, square double")
+    return squared.groupBy("id").agg(F.sqrt(F.sum("square")).alias("length"))
 
 
 def tfidf(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col: str, text_col: str = "text", query_text: str = "text", most: int = ASKED_TERMS) -> DataFrame:
@@ -236,13 +293,13 @@ def tfidf(blocks: DataFrame, queries: DataFrame, k: int, id_col: str, query_col:
     if asked is None:
         return joined_tfidf(blocks, queries, k, id_col, query_col, text_col, query_text)
     found = written(postings(blocks, asked, id_col, text_col, True), "postings")
-    n = found.count()
+    n, words = found.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     df = document_frequency(found, len(asked.terms))
     idf = np.where(df > 0, np.log((1 + n) / (1 + df)) + 1, 0.0)  # terms of no document count for nothing
     weights = (1 + np.log(asked.weight)) * idf[asked.term]
     length = np.sqrt(np.bincount(asked.row, weights * weights, len(asked.queries)))
     weights = weights / np.where(length > 0, length, 1)[asked.row]
-    own = found.drop("size").join(tfidf_lengths(blocks, n, id_col, text_col), "id")
+    own = found.drop("size").join(tfidf_lengths(blocks, n, words, id_col, text_col), "id")
 
     def part(terms: np.ndarray, counts: np.ndarray, other: dict) -> np.ndarray:
         return (1 + np.log(counts)) * idf[terms] / other["length"]

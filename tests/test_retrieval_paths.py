@@ -39,3 +39,18 @@ def test_neighbours_in_order(spark):
     follow = R.next_in_order(df, "source", "doc_id").collect()
     assert len(follow) == len(data) and sum(r.next is None for r in follow) == len(groups)
     assert R.neighbours(df.limit(0), "source", "doc_id").count() == 0
+
+
+def test_terms_travel_once_and_both_ways_to_count_them_agree(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * j) % 17}" for j in range(1, 2 + k % 9))) for k in range(1, 60)] + [(90, None), (91, "a b c")]
+    blocks = spark.createDataFrame(rows, "d long, text string")
+    df = R.tfidf_lengths(blocks, 61, 400, "d", "text")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Join" not in plan
+    held = {r["id"]: round(r["length"], 9) for r in df.collect()}
+    monkeypatch.setattr(R, "HELD_DOCUMENTS", 0)
+    spilled = {r["id"]: round(r["length"], 9) for r in R.tfidf_lengths(blocks, 61, 400, "d", "text").collect()}
+    assert held == spilled and set(held) == set(range(1, 60))
+    # Of 400 million words no task gets more than TERM_ROWS of the at most twice as many terms, on average.
+    many = R.tfidf_lengths(blocks, 61, 400_000_000, "d", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{800_000_000 // R.TERM_ROWS}" in many
