@@ -27,11 +27,12 @@ def incremental_groups(records: DataFrame, id_col: str, keys: DataFrame, key_col
     """(id, cluster) for each record of ``records``; ``keys`` has (id, key) rows, ids are whole numbers.
 
     Null keys link nothing, repeated rows count once, records without keys are their own cluster. Equal to a replay in order of id.
+    The rounds' joins are merged: a broadcast brings its table to the driver, once a round and join.
     """
     spark = records.sparkSession
     own = keys.where(F.col(key_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(key_col).alias("k")).distinct()
     shared = own.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-    linked = written(own.join(shared, "k", "left_semi"), "key-links")
+    linked = written(own.join(shared.hint("merge"), "k", "left_semi"), "key-links")
     parts = max(partitions_for(spark), -(-linked.count() // RANGE_ROWS))
     dealt = linked.repartitionByRange(parts, "k", "i").withColumn("part", F.spark_partition_id())
     edges = written(dealt, "key-ranges")
@@ -39,21 +40,21 @@ def incremental_groups(records: DataFrame, id_col: str, keys: DataFrame, key_col
     labels = written(edges.select("i", F.col("i").alias("label")).distinct(), "labels")
     total = _total(labels)
     while total is not None:
-        falling = edges.join(labels, "i")
+        falling = edges.join(labels.hint("merge"), "i")
         inside = F.min("label").over(Window.partitionBy("k", "part").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
         ranges = falling.groupBy("k", "part").agg(F.min("label").alias("least"))
         before = F.min("least").over(Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
         earlier = ranges.withColumn("before", before).where("before is not null").select("k", "part", "before")
-        running = falling.withColumn("inside", inside).join(earlier, ["k", "part"], "left")
+        running = falling.withColumn("inside", inside).join(earlier.hint("merge"), ["k", "part"], "left")
         least = written(running.groupBy("i").agg(F.least(F.min("inside"), F.min("before")).alias("label")), "labels")
         jump = least.select(F.col("i").alias("label"), F.col("label").alias("further"))
-        now = written(least.join(jump, "label").select("i", F.col("further").alias("label")), "labels")
+        now = written(least.join(jump.hint("merge"), "label").select("i", F.col("further").alias("label")), "labels")
         drop(least)
         drop(labels)
         labels, last, total = now, total, _total(now)
         if total == last:
             break
-    found = records.select(F.col(id_col).cast("long").alias("i")).distinct().join(labels, "i", "left")
+    found = records.select(F.col(id_col).cast("long").alias("i")).distinct().join(labels.hint("merge"), "i", "left")
     return found.select(F.col("i").alias(id_col), F.coalesce("label", "i").alias("cluster"))
 
 

@@ -102,3 +102,20 @@ def test_long_sets_meet_short_ones(spark):
     data = [("g", 1, long_, [], [], None), ("g", 2, long_[5:9], [], [], None), ("g", 3, [*long_[:70], *"abcdefgh"], [], [], None), ("g", 4, ["t001"], [], [], None), ("g", 5, ["t001", "z"], [], [], None)]
     got = {(r.a, r.b) for r in C.overlapping(spark.createDataFrame(data, FORM), ["g"], "i", "tokens", 0.72).collect()}
     assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (3, 4), (4, 5)}
+
+
+def test_rounds_bring_no_table_to_the_driver(spark, tmp_path, monkeypatch):
+    rows = [(k, f"{kind}{(k * 7 + n) % 40}") for k in range(300) for n, kind in enumerate("ab")]
+    path = str(tmp_path / "keys")
+    spark.createDataFrame(rows, "i long, key string").write.parquet(path)
+    keys, plans, plain = spark.read.parquet(path), [], C.written
+
+    def seen(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, *more)
+
+    monkeypatch.setattr(C, "written", seen)
+    out = C.incremental_groups(keys.select("i").distinct(), "i", keys, "key")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+    assert out.count() == 300
