@@ -341,20 +341,24 @@ def vector_search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, v
         return slim.where("v is not null").mapInArrow(gather, f"{name}_ids array<long>, {name}_data binary")
 
     pairs = blocked(vectors, VECTOR_BLOCK, "v").crossJoin(blocked(queries, QUERY_BLOCK, "q"))
+    few = COLUMN_BLOCK
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One pair of blocks at a time, and of that a few queries: a batch may hold many pairs.
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, qids = np.array(row["v_ids"]), np.array(row["q_ids"])
-                v, q = (np.frombuffer(row[c], np.float32).reshape(len(i), -1).astype(np.float64) for c, i in (("v_data", ids), ("q_data", qids)))
+            for n in range(batch.num_rows):
+                ids, qids = (batch.column(c)[n].values.to_numpy() for c in ("v_ids", "q_ids"))
+                v, q = (np.frombuffer(batch.column(c)[n].as_buffer(), np.float32).reshape(len(i), -1).astype(np.float64) for c, i in (("v_data", ids), ("q_data", qids)))
                 v, q = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) for x in (v, q))
-                score = np.round(q @ v.T, 6)
-                score[qids[:, None] == ids[None, :]] = -np.inf
-                best = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]
-                rows = np.repeat(np.arange(len(qids)), best.shape[1])
-                flat = best.ravel()
-                good = np.isfinite(score[rows, flat])
-                yield pa.RecordBatch.from_arrays([pa.array(qids[rows[good]]), pa.array(ids[flat[good]]), pa.array(score[rows[good], flat[good]])], names=["query_id", "vec_id", "score"])
+                for at in range(0, len(qids), few):
+                    own = qids[at : at + few]
+                    score = np.round(q[at : at + few] @ v.T, 6)
+                    score[own[:, None] == ids[None, :]] = -np.inf
+                    best = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]
+                    rows = np.repeat(np.arange(len(own)), best.shape[1])
+                    flat = best.ravel()
+                    good = np.isfinite(score[rows, flat])
+                    yield pa.RecordBatch.from_arrays([pa.array(own[rows[good]]), pa.array(ids[flat[good]]), pa.array(score[rows[good], flat[good]])], names=["query_id", "vec_id", "score"])
 
     return ranked(pairs.mapInArrow(products, "query_id long, vec_id long, score double"), "query_id", "vec_id", k)
 

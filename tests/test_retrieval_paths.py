@@ -54,3 +54,30 @@ def test_terms_travel_once_and_both_ways_to_count_them_agree(spark, monkeypatch)
     # Of 400 million words no task gets more than TERM_ROWS of the at most twice as many terms, on average.
     many = R.tfidf_lengths(blocks, 61, 400_000_000, "d", "text")._jdf.queryExecution().optimizedPlan().toString()
     assert f"{800_000_000 // R.TERM_ROWS}" in many
+
+
+def test_vector_blocks_meet_a_few_queries_at_a_time(spark, monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, v array<double>")
+    found, kind = [], type(vectors)
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, f, *more, **named: found.append(f) or plain(df, f, *more, **named))
+    R.vector_search(vectors, vectors, 3, "vec_id", "v")
+    rng = np.random.default_rng(3)
+    v, q = rng.random((4096, 8), np.float32), rng.random((512, 8), np.float32)
+    one = {"v_ids": list(range(1000, 5096)), "v_data": v.tobytes(), "q_ids": list(range(512)), "q_data": q.tobytes()}
+    batch = pa.RecordBatch.from_pylist([one] * 4, pa.schema({"v_ids": pa.list_(pa.int64()), "v_data": pa.binary(), "q_ids": pa.list_(pa.int64()), "q_data": pa.binary()}))
+    tracemalloc.start()
+    rows = best = 0
+    for out in found[-1](iter([batch])):
+        rows += out.num_rows
+        best = best or out.column("vec_id")[0].as_py()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    a, b = v.astype(float), q[0].astype(float)
+    assert rows == 4 * 512 * 3 and best == 1000 + int(np.argmax(a @ b / np.linalg.norm(a, axis=1)))
+    assert peak < 20e6  # one matrix of 512 x 4096 scores alone has 16.8 MB
