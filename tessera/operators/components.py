@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Each round is a group-by with a map-side minimum and a join, written to the shared folder;
-hubs are split by Spark's skew join. The driver sees two numbers a round.
+Each round is a group-by with a map-side minimum and a join, written to the shared folder. The joins hash
+the minima, one row a vertex, and stream the edges past them, so a hub's edges are never sorted in one task; hubs
+over Spark's skew threshold are split besides. The driver sees two numbers a round.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from tessera.shared import drop, written
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return both.where("b > a").join(least.hint("shuffle_hash"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = down.join(least.hint("shuffle_hash"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 

@@ -14,6 +14,7 @@ from tessera.operators.clusters import absorbed_in_rounds, incremental_groups
 from tessera.operators.components import components
 from tessera.operators.retrieval import next_in_order
 from tessera.plans.registry import Tables, query
+from tessera.shared import written
 
 
 def items(t: Tables) -> DataFrame:
@@ -125,12 +126,15 @@ def set10(t):
 
 
 def rooted_components(lineitem, orders):
-    edges = lineitem.select(F.col("l_orderkey").alias("a"), (-F.col("l_partkey")).alias("b")).distinct()
+    edges = lineitem.select(F.col("l_orderkey").alias("a"), (-F.col("l_partkey")).alias("b"))
     star = components(edges)
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labelled = nodes.join(star.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lone = edges.where("a = b or a is null or b is null").select(F.explode(F.array("a", "b")).alias("node")).where("node is not null")
+    rooted = star.toDF("node", "root").union(star.select("b", "b")).union(lone.select("node", "node"))
+    labelled = rooted.groupBy("node").agg(F.min("root").alias("root"))  # a root is the least of its component
     anchors = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("node"))
-    return labelled.join(labelled.join(anchors, "node").select("root").distinct(), "root", "left_semi").select("node", "root")
+    # written, as Spark then knows how few they are: a component's nodes meet in no task, unless there are many roots
+    kept = written(anchors.join(star.toDF("node", "root"), "node", "left").select(F.coalesce("root", "node").alias("root")).distinct(), "roots")
+    return labelled.join(kept, "root", "left_semi").select("node", "root")
 
 
 ARMS_SQL = """

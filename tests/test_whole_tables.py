@@ -49,3 +49,16 @@ def test_components_of_all_rows(spark):
     orders = spark.createDataFrame(list(status.items()), "o_orderkey long, o_orderstatus string")
     got = matching_queries.set10(type("T", (), {"lineitem": lineitem, "orders": orders}))
     assert {(r.node, r.root) for r in got.collect()} == expected and got.count() == len(expected)
+
+
+def test_components_keep_nodes_without_a_partner_and_hash_their_minima(spark):
+    from tessera.operators import components as C
+
+    lineitem = spark.createDataFrame([(1, 5), (2, 5), (0, 0), (3, None), (4, None), (4, 6), (None, 7), (None, None), (1, 5)], "l_orderkey long, l_partkey long")
+    orders = spark.createDataFrame([(1, "F"), (2, "O"), (0, "F"), (3, "F"), (4, "O"), (9, "F")], "o_orderkey long, o_orderstatus string")
+    got = matching_queries.rooted_components(lineitem, orders).collect()
+    assert sorted((r.node, r.root) for r in got) == [(-5, -5), (0, 0), (1, -5), (2, -5), (3, 3)]
+    edges = spark.createDataFrame([(2, 1), (3, 1)], "a long, b long")
+    for star in (C._large_star, C._small_star):
+        plan = star(edges)._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
