@@ -165,9 +165,10 @@ def packet_order(texts: DataFrame, key: str, id_col: str, text: Column) -> DataF
 
 def grouped_arms(rows: DataFrame, keys: Sequence[str], id_col: str, required: Sequence[str]) -> DataFrame:
     """Arms from rows of equal scientific keys: their rows, whether each required field has one value only, and an id that stands for the keys."""
-    checks = [F.count_distinct(F.col(f)).alias(f"__{f}") for f in required]
+    # least and greatest tell none, one and several values apart in one aggregate; distinct counts would copy every row once a field
+    checks = [c for f in required for c in (F.min(f).alias(f"__least_{f}"), F.max(f).alias(f"__most_{f}"))]
     per = rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.min(id_col).alias("first_id"), *checks)
-    problems = F.array_compact(F.array(*(F.when(F.col(f"__{f}") == 0, f"missing:{f}").when(F.col(f"__{f}") > 1, f"conflict:{f}") for f in required)))
+    problems = F.array_compact(F.array(*(F.when(F.col(f"__least_{f}").isNull(), f"missing:{f}").when(F.col(f"__least_{f}") != F.col(f"__most_{f}"), f"conflict:{f}") for f in required)))
     return per.select(*keys, "rows", "first_id", F.array_join(problems, ",").alias("problems"), stable_id("arm-", *(F.col(k) for k in keys)).alias("arm_id"))
 
 

@@ -112,3 +112,10 @@ def test_databases_are_rebuilt_copied_and_promoted(spark, tmp_path):
     table(spark, "arm_id long", (6,)).write.mode("overwrite").parquet(f"{path}/arm/data")
     with pytest.raises(sinks.Refused, match="manifest"):
         sinks.snapshot(spark, path, str(tmp_path / "third"), ["arm"])
+
+
+def test_grouped_arms_read_each_row_once(spark):
+    rows = spark.createDataFrame([("a", 1, "x", 0.0), ("a", 2, "x", -0.0), ("b", 3, None, float("nan")), ("b", 4, None, 1.0), ("c", 5, "x", None), ("c", 6, "y", float("nan"))], "k string, i int, f string, v double")
+    out = M.grouped_arms(rows, ["k"], "i", ["f", "v"])
+    assert {r.k: (r.rows, r.first_id, r.problems) for r in out.collect()} == {"a": (2, 1, ""), "b": (2, 3, "missing:f,conflict:v"), "c": (2, 5, "conflict:f")}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
