@@ -49,8 +49,11 @@ def affected_arms(changes: DataFrame, identities: DataFrame, papers: DataFrame,
     for name, df in links.items():
         own = df.select(F.lit(name).alias("entity_type"), "entity_id", "experiment_id").where("experiment_id is not null")
         bridge = own if bridge is None else bridge.unionByName(own)
-    found = changes.join(identities, ["paper_id", "entity_type", "natural_key"]).join(bridge, ["entity_type", "entity_id"]).select("experiment_id", "entity_type")
-    whole = changes.where("entity_type = 'paper'").select("paper_id").distinct().join(papers, "paper_id").select("experiment_id", F.lit("paper").alias("entity_type"))
+    # changes are few beside identities and links: they are hashed, and the others pass by them unsorted
+    few = lambda df: df.distinct().hint("shuffle_hash")
+    hit = identities.join(few(changes.select("paper_id", "entity_type", "natural_key")), ["paper_id", "entity_type", "natural_key"]).select("entity_type", "entity_id")
+    found = bridge.join(few(hit), ["entity_type", "entity_id"]).select("experiment_id", "entity_type")
+    whole = papers.join(few(changes.where("entity_type = 'paper'").select("paper_id")), "paper_id").select("experiment_id", F.lit("paper").alias("entity_type"))
     return found.unionByName(whole).distinct()
 
 

@@ -61,17 +61,19 @@ def ext06(t):
         "chemical_component": a.select((F.col("formulation_id") * 3 + 1).alias("entity_id"), "experiment_id", "paper_id"),
         "experiment": a.select(F.col("experiment_id").alias("entity_id"), "experiment_id", "paper_id"),
     }
-    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("experiment_id"), F.col("o_custkey").alias("paper_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("outcome"), (F.col("l_partkey") * 10000000 + F.col("l_orderkey")).alias("evidence"))
-    pairs |= {c: lines.select(F.col(c).alias("entity_id"), "experiment_id", "paper_id").distinct() for c in ("outcome", "evidence")}
+    entity = {"outcome": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "evidence": F.col("l_partkey") * 10000000 + F.col("l_orderkey")}
+    papers_of = t.orders.select(F.col("o_orderkey").alias("experiment_id"), F.col("o_custkey").alias("paper_id"))
+    links = {n: df.select("entity_id", "experiment_id") for n, df in pairs.items()} | {n: t.lineitem.select(c.alias("entity_id"), F.col("l_orderkey").alias("experiment_id")) for n, c in entity.items()}
+    pairs |= {n: links[n].join(papers_of, "experiment_id") for n in entity}
     every = {"formulation": 101, "chemical_component": 103, "experiment": 107, "outcome": 1009, "evidence": 1013}
     identities = changes = None
     for name, df in pairs.items():
-        own = df.select("paper_id", F.lit(name).alias("entity_type"), F.concat_ws("-", F.lit(name), F.col("entity_id").cast("string")).alias("natural_key"), "entity_id").distinct()
+        own = df.select("paper_id", F.lit(name).alias("entity_type"), F.concat_ws("-", F.lit(name), F.col("entity_id").cast("string")).alias("natural_key"), "entity_id")
         changed = own.where(F.col("entity_id") % every[name] == 0).drop("entity_id")
         identities = own if identities is None else identities.unionByName(own)
         changes = changed if changes is None else changes.unionByName(changed)
     papers = t.customer.where("c_custkey % 97 = 0").select(F.col("c_custkey").alias("paper_id"), F.lit("paper").alias("entity_type"), F.concat_ws("-", F.lit("paper"), F.col("c_custkey").cast("string")).alias("natural_key"))
-    affected = V.affected_arms(changes.unionByName(papers), identities, a.select("paper_id", "experiment_id"), {n: df.select("entity_id", "experiment_id") for n, df in pairs.items()})
+    affected = V.affected_arms(changes.unionByName(papers), identities, a.select("paper_id", "experiment_id"), links)
     return V.with_conflicts(a, affected).select("experiment_id", "through", "status", "eligible")
 
 

@@ -129,3 +129,12 @@ def test_recall_sends_no_tokens_to_the_driver(spark, tmp_path):
     assert plain(out.distinct(), "paper", "gold_id", "recalled") == [(1, 1, True), (1, 2, False), (2, 1, False)]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__" in x] == []
+
+
+def test_identities_and_links_pass_by_the_changes_unsorted(spark):
+    identities = table(spark, "paper_id long, entity_type string, natural_key string, entity_id long", (1, "outcome", "o1", 5), (1, "outcome", "o1", 5))
+    changes = table(spark, "paper_id long, entity_type string, natural_key string", (1, "outcome", "o1"), (1, "outcome", "o1"))
+    out = V.affected_arms(changes, identities, table(spark, "paper_id long, experiment_id long", (1, 9)), {"outcome": table(spark, "entity_id long, experiment_id long", (5, 8), (5, 8))})
+    assert plain(out, "experiment_id", "entity_type") == [(8, "outcome")]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 3 and "SortMergeJoin" not in plan
