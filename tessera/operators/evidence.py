@@ -92,12 +92,15 @@ def evidenced_outcomes(outcomes: DataFrame, links: DataFrame, evidence: DataFram
     verified, or cited by a standing revision (``review_revision_id`` in the link's JSON), or, for an automatically
     validated outcome, not rejected, in conflict or ambiguous.
     """
-    last = links.groupBy("outcome_id", "field_name", "evidence_id").agg(F.max_by(F.struct("verification_status", "content_json"), "link_id").alias("l")).select("outcome_id", "evidence_id", "l.*")
-    cited = last.withColumn("revision_id", F.get_json_object("content_json", "$.review_revision_id").cast("long"))
-    full = cited.join(evidence, "evidence_id").join(standing(revisions).select("revision_id", F.lit(True).alias("__stands")), "revision_id", "left")
+    revision = F.get_json_object("content_json", "$.review_revision_id").cast("long").alias("revision_id")
+    cited = links.groupBy("outcome_id", "field_name", "evidence_id").agg(F.max_by(F.struct("verification_status", revision), "link_id").alias("l")).select("outcome_id", "evidence_id", "l.*")
     review = F.col("review_status")
-    good = (review == "manually_verified") | F.col("__stands") | (F.col("verification_status") == "automatically_validated") & ~review.isin("rejected", "conflict", "ambiguous")
-    held = full.where(F.coalesce(good, F.lit(False))).select("outcome_id", F.col("verification_status").alias("status")).distinct().withColumn("evidenced", F.lit(True))
+    sure = (review == "manually_verified") | (F.col("verification_status") == "automatically_validated") & ~review.isin("rejected", "conflict", "ambiguous")
+    state = F.coalesce(sure, F.lit(False)).alias("sure")
+    judged = cited.join(evidence, "evidence_id").select("outcome_id", F.col("verification_status").alias("status"), "revision_id", state)
+    # links that cite no revision don't join: their nulls would meet in one task
+    backed = judged.where("not sure and revision_id is not null").join(standing(revisions).select("revision_id"), "revision_id", "left_semi")
+    held = judged.where("sure").select("outcome_id", "status").unionByName(backed.select("outcome_id", "status")).distinct().withColumn("evidenced", F.lit(True))
     return outcomes.join(held, ["outcome_id", "status"], "left").withColumn("evidenced", F.coalesce("evidenced", F.lit(False)))
 
 

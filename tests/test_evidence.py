@@ -138,3 +138,14 @@ def test_identities_and_links_pass_by_the_changes_unsorted(spark):
     assert plain(out, "experiment_id", "entity_type") == [(8, "outcome")]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("ShuffledHashJoin") == 3 and "SortMergeJoin" not in plan
+
+
+def test_links_without_a_revision_do_not_join_revisions(spark):
+    outcomes = table(spark, "outcome_id long, status string", (1, "manually_verified"), (2, "manually_verified"), (3, "automatically_validated"))
+    link = "link_id long, outcome_id long, field_name string, evidence_id long, verification_status string, content_json string"
+    links = table(spark, link, (1, 1, "f", 7, "manually_verified", '{"review_revision_id": 70}'), (2, 2, "f", 7, "manually_verified", "{}"), (3, 3, "f", 7, "automatically_validated", None))
+    evidence = table(spark, "evidence_id long, review_status string", (7, "pending"))
+    out = V.evidenced_outcomes(outcomes, links, evidence, table(spark, REVISION, (70, "accepted", None, "arm", 1, 1, "f")))
+    assert plain(out, "outcome_id", "evidenced") == [(1, True), (2, False), (3, True)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftOuter") == 1 and "Join LeftSemi" in plan
