@@ -206,18 +206,19 @@ def slot_accounting(slots: DataFrame, outcomes: DataFrame, accounting: DataFrame
     ``outcomes`` (slot_id, identity, group, value), ``accounting`` (slot_id, disposition: extracted or not_explicit),
     ``allowed`` (group, value) are the numbers that the sources print.
     """
-    n = lambda df, name: df.groupBy("slot_id").agg(F.count("*").alias(name))
-    states = accounting.groupBy("slot_id").agg(F.count("*").alias("n_accounts"), F.bool_or(F.col("disposition") == "extracted").alias("extracted"))
-    both = slots.select("slot_id").distinct().withColumn("__slot", F.lit(True)).join(states, "slot_id", "full").join(n(outcomes, "n_outcomes"), "slot_id", "full")
-    got, said = F.coalesce("n_outcomes", F.lit(0)), F.coalesce("extracted", F.lit(False))
-    problem = F.when(F.col("__slot").isNull(), "invented").when(F.col("n_accounts").isNull(), "not_accounted").when((F.col("n_accounts") > 1) | (got > 1), "repeated").when(said & (got == 0), "no_outcome").when(~said & (got > 0), "not_extracted")
+    row = lambda df, kind, said=F.lit(False): df.select("slot_id", F.lit(kind).alias("kind"), said.alias("said"))
+    every = row(slots, 0).unionByName(row(accounting, 1, F.coalesce(F.col("disposition") == "extracted", F.lit(False)))).unionByName(row(outcomes, 2))
+    n = lambda kind: F.count_if(F.col("kind") == kind)
+    both = every.groupBy("slot_id").agg(n(0).alias("n_slots"), n(1).alias("n_accounts"), n(2).alias("n_outcomes"), F.bool_or("said").alias("said"))
+    accounts, got, said = F.col("n_accounts"), F.col("n_outcomes"), F.col("said")
+    problem = F.when((F.col("n_slots") == 0) | F.col("slot_id").isNull(), "invented").when(accounts == 0, "not_accounted").when((accounts > 1) | (got > 1), "repeated").when(said & (got == 0), "no_outcome").when(~said & (got > 0), "not_extracted")
     of_slots = both.select("slot_id", problem.alias("problem")).where("problem is not null")
     same = F.lit(True)
     for c in identity:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
     changed = outcomes.join(slots.select("slot_id", *(F.col(c).alias(f"__{c}") for c in identity)), "slot_id").where(~same).select("slot_id", F.lit("identity_changed").alias("problem"))
-    unprinted = outcomes.where("value is not null").join(allowed.distinct(), ["group", "value"], "left_anti").select("slot_id", F.lit("number_not_printed").alias("problem"))
-    return of_slots.unionByName(changed).unionByName(unprinted).distinct()
+    unprinted = outcomes.where("value is not null").join(allowed.distinct().hint("shuffle_hash"), ["group", "value"], "left_anti").select("slot_id", F.lit("number_not_printed").alias("problem"))
+    return of_slots.unionByName(changed.unionByName(unprinted).distinct())  # a slot's own problem is told once as it is
 
 
 def issued_registry(registrations: DataFrame, key: str, order: str, fields: Sequence[str], evidence: str) -> DataFrame:

@@ -149,3 +149,12 @@ def test_links_without_a_revision_do_not_join_revisions(spark):
     assert plain(out, "outcome_id", "evidenced") == [(1, True), (2, False), (3, True)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftOuter") == 1 and "Join LeftSemi" in plan
+
+
+def test_slots_without_an_id_are_invented_and_problems_told_once(spark):
+    slots = table(spark, "slot_id long, dose int", (None, 1), (1, 1), (2, 1))
+    outcomes = table(spark, "slot_id long, dose int, group long, value double", (None, 1, 1, None), (1, 2, 1, 5.0), (1, 2, 1, 5.0))
+    accounting = table(spark, "slot_id long, disposition string", (None, "extracted"), (1, "extracted"), (2, None))
+    allowed = table(spark, "group long, value double", (1, 6.0))
+    got = plain(V.slot_accounting(slots, outcomes, accounting, ["dose"], allowed), "slot_id", "problem")
+    assert got == sorted([(1, "identity_changed"), (1, "number_not_printed"), (1, "repeated"), (None, "invented")], key=repr)
