@@ -230,17 +230,31 @@ def issued_registry(registrations: DataFrame, key: str, order: str, fields: Sequ
     return per.select(key, *fields, F.array_join(conflict, ",").alias("conflicts"), (F.size(conflict) == 0).alias("valid"), "evidence")
 
 
-def dense_grid(cells: DataFrame, table: str) -> DataFrame:
-    """(table, r, k, text) of every place of a table's grid; cells (r, k, row_span, column_span, place, text) fill what they span, later ones over earlier ones."""
+def filled_places(cells: DataFrame, table: str) -> DataFrame:
+    """(table, r, k, text) of the places that cells (r, k, row_span, column_span, place, text) fill with what they span, later ones over earlier ones."""
     filled = cells.select(table, "place", "text", F.explode(F.sequence("r", F.col("r") + F.greatest("row_span", F.lit(1)) - 1)).alias("r"), "k", "column_span").select(table, "place", "text", "r", F.explode(F.sequence("k", F.col("k") + F.greatest("column_span", F.lit(1)) - 1)).alias("k"))
-    top = filled.groupBy(table, "r", "k").agg(F.max_by("text", "place").alias("text"))
+    return filled.groupBy(table, "r", "k").agg(F.max_by("text", "place").alias("text"))
+
+
+def dense_grid(cells: DataFrame, table: str) -> DataFrame:
+    """(table, r, k, text) of every place of a table's grid, empty ones too."""
+    top = filled_places(cells, table)
     sizes = top.groupBy(table).agg(F.max("r").alias("rows"), F.max("k").alias("columns"))
     every = sizes.select(table, F.explode(F.sequence(F.lit(0), "rows")).alias("r"), "columns").select(table, "r", F.explode(F.sequence(F.lit(0), "columns")).alias("k"))
     return every.join(top, [table, "r", "k"], "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
+def asked_grid(cells: DataFrame, claims: DataFrame, table: str) -> DataFrame:
+    """The places of the ``dense_grid`` that can hold a claim's value: empty ones are told for tables only that have a claim with a blank value."""
+    blank = claims.where(F.trim("value") == "").select(table).distinct()
+    told = lambda df: df.withColumn("text", F.coalesce("text", F.lit("")))
+    if blank.isEmpty():
+        return told(filled_places(cells, table))
+    return told(filled_places(cells.join(blank, table, "left_anti"), table)).unionByName(dense_grid(cells.join(blank, table, "left_semi"), table))
+
+
 def supported_by_grid(claims: DataFrame, headers: DataFrame, grid: DataFrame, table: str, claim: str) -> DataFrame:
-    """Claims (table, subject, endpoint, value) that a row and a column header name and whose value stands where they cross.
+    """(table, claim), each once, of claims (table, subject, endpoint, value) that a row and a column header name and whose value stands where they cross.
 
     A header names a text if either lies within the other. Values and places are joined first, so only rows and columns
     that hold the value look at their headers.
@@ -250,7 +264,7 @@ def supported_by_grid(claims: DataFrame, headers: DataFrame, grid: DataFrame, ta
     rows = headers.where("is_row_header").select(table, "r", F.col("text").alias("__row")).distinct()
     columns = headers.where("is_column_header").select(table, "k", F.col("text").alias("__column")).distinct()
     named = at.join(rows, [table, "r"]).where(either(F.col("subject"), F.col("__row"))).join(columns, [table, "k"]).where(either(F.col("endpoint"), F.col("__column")))
-    return claims.select(table, claim).join(named.select(table, claim).distinct(), [table, claim], "left_semi")
+    return named.select(table, claim).distinct()
 
 
 def recalled_outcomes(gold: DataFrame, found: DataFrame) -> DataFrame:

@@ -158,3 +158,15 @@ def test_slots_without_an_id_are_invented_and_problems_told_once(spark):
     allowed = table(spark, "group long, value double", (1, 6.0))
     got = plain(V.slot_accounting(slots, outcomes, accounting, ["dose"], allowed), "slot_id", "problem")
     assert got == sorted([(1, "identity_changed"), (1, "number_not_printed"), (1, "repeated"), (None, "invented")], key=repr)
+
+
+def test_empty_places_are_told_for_blank_claims_only(spark):
+    cell = "t int, r int, k int, row_span int, column_span int, place int, text string"
+    cells = table(spark, cell, *((t, *x) for t in (1, 2) for x in ((0, 0, 1, 1, 0, "a"), (0, 1, 1, 1, 1, "b"), (1, 0, 1, 1, 2, "c"))))
+    claims = table(spark, "t int, claim string, subject string, endpoint string, value string", (1, "full", "a", "b", "b"), (2, "blank", "c", "b", " "), (2, "null", "c", "b", None), (2, "blank", "c", "b", ""))
+    asked = V.asked_grid(cells, claims, "t")
+    assert plain(asked, "t", "r", "k", "text") == [(1, 0, 0, "a"), (1, 0, 1, "b"), (1, 1, 0, "c"), (2, 0, 0, "a"), (2, 0, 1, "b"), (2, 1, 0, "c"), (2, 1, 1, "")]
+    headers = cells.withColumns({"is_row_header": F.col("k") == 0, "is_column_header": F.col("r") == 0})
+    found = [plain(V.supported_by_grid(claims, headers, grid, "t", "claim"), "t", "claim") for grid in (asked, V.dense_grid(cells, "t"))]
+    assert found == [[(1, "full"), (2, "blank")]] * 2
+    assert V.asked_grid(cells, claims.where("t = 1"), "t").count() == 6
