@@ -71,12 +71,17 @@ def scoped_packets(scopes: DataFrame, evidence: DataFrame, most: int = MOST_ITEM
     )
 
 
-def spread(start: DataFrame, links: DataFrame, id_col: str = "node", label: str = "label") -> DataFrame:
+def stored_links(links: DataFrame) -> DataFrame:
+    """``links`` (src, dst), each once and written; null ends are no links."""
+    return written(links.where("src is not null and dst is not null").select("src", "dst").distinct(), "links")
+
+
+def spread(start: DataFrame, links: DataFrame, id_col: str = "node", label: str = "label", closed: DataFrame | None = None) -> DataFrame:
     """``node, hops, label, via``: what ``start`` (node, label) reaches along ``links`` (src, dst), itself included with 0 hops.
 
-    Each node is told once: with the fewest hops, the least label that comes in so many, and the least node before it on such a way. Null ends are no links.
+    Each node is told once: with the fewest hops, the least label that comes in so many, and the least node before it on such a way.
+    ``links`` are ``stored_links``, as every round reads them. Ways end before ``closed`` nodes (column node), which are not told.
     """
-    links = written(links.where("src is not null and dst is not null").select("src", "dst").distinct(), "links")
     first = start.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("node")).agg(F.lit(0).alias("hops"), F.min(label).alias("label"))
     rounds = [written(first.withColumn("via", F.lit(None).cast(links.schema["src"].dataType)), "spread")]
     union = lambda: reduce(DataFrame.unionByName, rounds)
@@ -85,6 +90,7 @@ def spread(start: DataFrame, links: DataFrame, id_col: str = "node", label: str
         hops += 1
         last = rounds[-1].where(F.col("hops") == hops - 1)
         met = links.join(last.select(F.col("node").alias("src"), "label"), "src").groupBy(F.col("dst").alias("node")).agg(F.lit(hops).alias("hops"), F.min(F.struct("label", F.col("src").alias("via"))).alias("m"))
+        met = met if closed is None else met.join(closed, "node", "left_anti")
         new = written(met.join(union().select("node"), "node", "left_anti").select("node", "hops", "m.label", "m.via"), "spread")
         if new.isEmpty():
             return union()
@@ -97,12 +103,11 @@ def spread(start: DataFrame, links: DataFrame, id_col: str = "node", label: str
 
 
 def gold_only(links: DataFrame, gold: DataFrame, public: DataFrame) -> DataFrame:
-    """``node``: gold records (column node) and what only they reach, not ``public`` ones (column node), whose ways end at a gold record."""
+    """``node``: gold records (column node) and what only they reach along ``stored_links``, not ``public`` ones (column node), whose ways end at a gold record."""
     records = written(gold.select("node").where("node is not null").distinct(), "gold")
     marked = lambda df: df.select("node", F.lit(1).alias("label"))
     own = spread(marked(records), links)
-    apart = links.join(records.select(F.col("node").alias("dst")), "dst", "left_anti").join(records.select(F.col("node").alias("src")), "src", "left_anti")
-    open_ = spread(marked(public.join(records, "node", "left_anti")), apart)
+    open_ = spread(marked(public.join(records, "node", "left_anti")), links, closed=records)
     return own.join(open_, "node", "left_anti").select("node")
 
 
@@ -112,6 +117,7 @@ def leaks(items: DataFrame, links: DataFrame, gold: DataFrame, public: DataFrame
     Each such item is told once, with the fewest hops to a leak, the least leak so near and the next record on a way to it (null: the item itself is one).
     Ways are followed back from the leaks, so no packet's closure is ever made.
     """
+    links = stored_links(links)
     hidden = gold_only(links, gold, public).select("node", F.col("node").alias("label"))
     back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     near = written(spread(hidden, back), "leaks")

@@ -16,7 +16,7 @@ def lineage(t):
     link = lambda src, dst: (src.alias("src"), dst.alias("dst"))
     ends = t.lineitem.groupBy("l_partkey").agg(F.array_distinct(F.array(F.min("l_suppkey"), F.max("l_suppkey"))).alias("s"))
     of_parts = ends.select("l_partkey", F.explode("s").alias("s")).select(*link(node("p", F.col("l_partkey")), node("s", F.col("s"))))
-    of_orders = t.lineitem.select(*link(node("o", F.col("l_orderkey")), node("p", F.col("l_partkey")))).distinct()
+    of_orders = t.lineitem.select(*link(node("o", F.col("l_orderkey")), node("p", F.col("l_partkey"))))
     of_suppliers = t.supplier.select(*link(node("s", F.col("s_suppkey")), node("n", F.col("s_nationkey"))))
     gold = t.supplier.where(GOLD).select(node("s", F.col("s_suppkey")).alias("node"))
     public = t.part.select(node("p", F.col("p_partkey")).alias("node"))

@@ -93,3 +93,14 @@ def test_leaks_equal_a_search_from_every_item(spark):
     got = P.leaks(*frames(spark, items, sorted(pairs), gold, public)).collect()
     assert {(r.packet, r.item): (r.hops, r.leak) for r in got} == wanted and len(got) == len(wanted)
     assert wanted["p" + str(120 % 9), "c0"][0] == 18
+
+
+def test_links_are_stored_once_and_ways_end_at_gold(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(P, "written", lambda df, name, real=P.written: names.append(name) or real(df, name))
+    links = spark.createDataFrame([("i", "p"), ("i", "p"), ("p", "g"), ("g", "x"), ("p", "y"), ("j", "x"), ("k", "y"), (None, "g"), ("k", None)], "src string, dst string")
+    node = lambda *rows: spark.createDataFrame([(x,) for x in rows], "node string")
+    items = spark.createDataFrame([(1, "i"), (1, "j"), (2, "k")], "packet long, item string")
+    found = {tuple(r) for r in P.leaks(items, links, node("g"), node("p", "g")).collect()}
+    assert found == {(1, "i", 2, "g", "p"), (1, "j", 1, "x", "x")}
+    assert names.count("links") == 1
