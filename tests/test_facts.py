@@ -66,3 +66,13 @@ def test_merged_payload_loses_nothing(spark):
     out = df.select("doc", A.merged_payload(F.col("body"), {"version": F.lit("1.2"), "n": F.lit(3)}, {"unit": F.lit(None).cast("string"), "kind": F.col("kind")}).alias("p"))
     got = {r.doc: r.p and json.loads(r.p) for r in out.collect()}
     assert got == {1: {"version": "1.2", "n": 3, "k": 69, "z": [1, {"a": None}], "unit": "mg", "kind": "x"}, 2: {"version": "1.2", "n": 3, "unit": None, "kind": "y"}, 3: None, 4: None}
+
+
+def test_only_leaves_that_a_rule_can_mean_are_looked_up(spark):
+    rules = [A.Rule("f", "/a.b/*/v", "n", "e", "v", "/a.b/$1/id", "/a.b/$1/ids/$1"), A.Rule("f", "/a.b/*/w", "n", "e", "w", "/top")]
+    body = '{"top":"T","aXb":{"q":{"id":"no"}},"a.b":{"q":{"v":1,"w":{},"id":"yes","ids":{"q":["2","1","2"]}}}}'
+    out = A.projected(documents(spark, [(1, "f", body), (2, "g", body)]), "doc", "kind", "body", rules)
+    got = {(r.id, r.pointer): (r.arm, r.evidence) for r in out.collect()}
+    assert got[1, "/a.b/q/v"] == ("yes", ["1", "2"]) and got[1, "/a.b/q/w"] == ("T", []) and got[2, "/a.b/q/v"] == (None, [])
+    assert len(got) == 16 == out.count()
+    assert r"^/a\.b/[^/]+/id$" in out._jdf.queryExecution().optimizedPlan().toString()
