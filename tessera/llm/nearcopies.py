@@ -268,35 +268,47 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFra
     return both.select("a", "b", "x", "y").mapInArrow(made, "a long, b long")
 
 
+def keys_in(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+
+
+def texts_of(wanted: DataFrame, rows: DataFrame, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, raw``: a text for each wanted key, of any row (``rows`` has doc_id, version, key).
+
+    It is called once, for all that may be compared in any round. The keys' rows are written first, so that
+    Spark knows their size and leaves the documents where they are while those fit a broadcast.
+    """
+    picked = written(rows.groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("r")).join(wanted, "key", "left_semi").select("key", "r.*"), "picked")
+    full = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("version"), text_of(text_col).cast("binary").alias("raw"))
+    same = picked["doc_id"].eqNullSafe(full["doc_id"]) & (picked["version"] == full["version"])
+    texts = written(full.join(picked, same).select("key", "raw").dropDuplicates(["key"]), "compared")
+    drop(picked)
+    return texts
+
+
 def one_of_each_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, chunk: int = CHUNK) -> DataFrame:
     """``df`` with the document of the smallest id of each component of near copies.
 
     Rows without an id stay. An id with several texts loses only those that are copies.
     """
-    rows = written(signatures(df, id_col, text_col), "signatures")
-    first = rows.dropDuplicates(["key"]).where("size(marks) > 0")
-    full = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("version"), text_of(text_col).cast("binary").alias("raw"))
+    signed_rows = written(signatures(df, id_col, text_col), "signatures")
+    rows = written(signed_rows.select("doc_id", "version", "key"), "ids")
+    first = written(signed_rows.dropDuplicates(["key"]).where("size(marks) > 0").select("key", "marks", "sketch"), "first")
+    drop(signed_rows)
+    found, large = candidates(first, chunk)
+    tested = written(found, "candidates")
+    members = written(bucketed(first).drop("sketch").join(large, ["t", "mark"], "left_semi"), "large-buckets")
+    texts = texts_of(keys_in(tested).unionByName(members.select("key")).distinct(), rows, df, id_col, text_col)
 
     def compared(pairs: DataFrame) -> DataFrame:
-        # any one row of a key: a text for each text to compare
-        wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        picked = rows.groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("r")).join(wanted, "key").select("key", "r.*")
-        same = picked["doc_id"].eqNullSafe(full["doc_id"]) & (picked["version"] == full["version"])
-        texts = written(full.join(picked, same).select("key", "raw").dropDuplicates(["key"]), "compared")
-        links = written(similar(pairs, texts, least), "similar")
-        drop(texts)
-        return links
+        return written(similar(pairs, texts.join(keys_in(pairs).distinct(), "key", "left_semi"), least), "similar")
 
-    found, large = candidates(first, chunk)
-    tested = written(found, "candidates")
     links = compared(tested)
     star = components(links)
-    if not large.isEmpty():
-        members = written(bucketed(first).drop("sketch").join(large, ["t", "mark"], "left_semi"), "large-buckets")
-        texts = written(first.select("key", "sketch", "marks").join(members.select("key").distinct(), "key", "left_semi"), "large-texts")
     open_, best = large, BEST
     while not open_.isEmpty():
-        found = written(candidates_apart(members, texts, open_, star, best, chunk), "apart")
+        sketches = first.join(members.select("key").distinct(), "key", "left_semi")
+        found = written(candidates_apart(members, sketches, open_, star, best, chunk), "apart")
         more = written(found.where("not more").select("a", "b").join(tested, ["a", "b"], "left_anti"), "candidates")
         if not more.isEmpty():
             new = compared(more)
@@ -309,5 +321,8 @@ def one_of_each_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = ids.join(star.withColumnsRenamed({"a": "key", "b": "root"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labelled = written(rooted.join(smallest, "root").select("key", "component_id"), "labels")
-    others = rows.join(labelled, "key").where("doc_id <> component_id").select(F.col("doc_id").alias("__other"), F.col("version").alias("__version")).distinct()
+    for table in (first, members, texts):
+        drop(table)
+    # written, so that its size is known: the documents are dealt anew only if it doesn't fit a broadcast
+    others = written(rows.join(labelled, "key").where("doc_id <> component_id").select(F.col("doc_id").alias("__other"), F.col("version").alias("__version")).distinct(), "others")
     return df.join(others, (F.col(id_col).cast("long") == F.col("__other")) & (F.xxhash64(text_of(text_col)) == F.col("__version")), "left_anti")

@@ -149,3 +149,29 @@ def test_operator_keeps_other_texts_of_a_reused_id(spark):
     data = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "own words of the second row"), (2, None), (3, ""), (None, "a b c d e f")]
     kept = simhash.one_of_each(documents(spark, data)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "a b c d e f"), (1, "a b c d e f"), (2, ""), (2, "own words of the second row")]
+
+
+def test_texts_are_fetched_once_for_all_rounds(spark, monkeypatch):
+    """Rounds that compare more pairs read the texts that the first fetch left; before, each fetched them from all documents again."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+
+    def changed(words, n):
+        own = list(words)
+        for at in rng.sample(range(300), n):
+            own[at] = f"c{rng.randrange(10**6)}"
+        return own
+
+    data = [changed(base, 5) for _ in range(80)]  # 0.7 to each other: no copies, but no sketch rules them out
+    data += [changed(data[rng.randrange(80)], 2) for _ in range(6)]
+    rows = list(enumerate(" ".join(x) for x in data)) + [(0, " ".join(data[0])), (None, " ".join(data[1]))]
+    names, real = [], nearcopies.written
+
+    def told(df, name, *args):
+        names.append(name)
+        return real(df, name, *args)
+
+    monkeypatch.setattr(nearcopies, "written", told)
+    kept = {r.doc_id for r in nearcopies.one_of_each_near(documents(spark, rows)).collect()}
+    assert kept == kept_by_brute_force(rows[:86]) | {None}
+    assert names.count("similar") > 1 and names.count("compared") == 1
