@@ -62,3 +62,18 @@ def test_components_keep_nodes_without_a_partner_and_hash_their_minima(spark):
     for star in (C._large_star, C._small_star):
         plan = star(edges)._jdf.queryExecution().executedPlan().toString()
         assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_rounds_of_components_bound_what_a_task_hashes(spark, monkeypatch):
+    """Before: as many partitions as the session has, however many vertices, whose minima can't spill."""
+    from tessera.operators import components as C
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    plain, used = [spark.conf.get(k) for k in keys], []
+    write = C.written
+    monkeypatch.setattr(C, "HASHED_ROWS", 8, raising=False)
+    monkeypatch.setattr(C, "written", lambda df, name: (used.append([spark.conf.get(k) for k in keys]), write(df, name))[1])
+    edges = spark.createDataFrame([(k, k + 1) for k in range(1, 100)], "a long, b long")
+    assert {(r.a, r.b) for r in C.components(edges).collect()} == {(k, 1) for k in range(2, 101)}
+    assert used[0] == plain and all(int(parts) * 8 >= 2 * 99 and merged == "false" for parts, merged in used[1:]) and len(used) > 2
+    assert [spark.conf.get(k) for k in keys] == plain
