@@ -221,3 +221,53 @@ def test_stored_records_are_small(spark, tmp_path):
     assert all("id" not in types and types["content"] == "binary" for types in kept.values())
     arm = B.corpus_tables(spark, store)["arm"].where("record_id = 'a1'").first()
     assert len(arm.content) == 64 and len(arm.id) == 64
+
+
+def test_imports_and_rebuilds_take_some_papers_at_a_time(spark, tmp_path, monkeypatch):
+    """Before: all papers' tables and shuffles lay on the disk at once."""
+    plain = {k: spark.conf.get(k, None) for k in (*B.DEALT, "spark.sql.shuffle.partitions")}
+    monkeypatch.setattr(B, "SLICE_ROWS", 13)
+    sizes, write = [], B.written  # rows of evidence that a step holds
+
+    def noted(df, name, *a):
+        out = write(df, name, *a)
+        if name == "bundle-evidence":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(B, "written", noted)
+    store, given = str(tmp_path / "store"), bundle(spark, paper("P1"), paper("P3", value=-1.0))
+    repairs = spark.createDataFrame([("P1", "a1", 0.5, 0.75)], "paper_id string, record_id string, expected double, value double")
+    out = B.rebuilt_corpus(spark, store, [given], ["formulation_id", "dose"], "cell", repairs, "dose")
+    assert told(out.fillna("-"), "paper_id", "arm_id", "scope", "value", "status") == [
+        ("P1", "a1", "hepatocyte", 0.75, "complete"), ("P1", "a2", "-", 1.0, "incomplete"), ("P3", "a1", "hepatocyte", 0.5, "complete"), ("P3", "a2", "-", 1.0, "incomplete"),
+    ]
+    assert told(B.import_bundles(spark, store, given, LATE), *"paper_id state inserted unchanged problems".split()) == [("P1", "unchanged", 0, 11, 0), ("P3", "refused", 0, 0, 1)]
+    assert sorted(sizes) == [3, 3, 3, 3] and B.commits(spark, store).select("run").distinct().count() == 1
+    assert {k: spark.conf.get(k, None) for k in plain} == plain
+
+
+def test_rows_of_a_bundle_are_dealt_out_once_each(spark, tmp_path):
+    """Links, doubles and known records are told among a paper's rows where these are; before, each of them dealt rows with their digests out again."""
+    store = str(tmp_path / "store")
+    B.import_bundles(spark, store, bundle(spark, paper("P1")))
+    made = {}
+    with B.settings(spark, B.DEALT | {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for entity in B.ENTITIES:
+            made[entity.name] = B.decided(B.identified(bundle(spark, paper("P1"))[entity.name], entity, made), B.committed(spark, store, entity.name, F.lit(True)))
+            made[entity.name] = B.written(made[entity.name], "made") if entity.name != "evidence" else made[entity.name]
+        plan = made["evidence"]._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange " in line]
+    assert len(dealt) == 5 and all("hashpartitioning(paper_id" in line and "record_id" not in line for line in dealt)  # evidence, two parents, the store and its manifest
+
+
+def test_repeated_rows_of_known_records(spark, tmp_path):
+    store = str(tmp_path / "store")
+    B.import_bundles(spark, store, bundle(spark, paper("P1")))
+    again = paper("P1")
+    again["outcome"] += [again["outcome"][0]] * 2
+    again["component"] = [("P1", "c1", "f1", "other")] * 3
+    report = B.import_bundles(spark, store, bundle(spark, again))
+    assert told(report, "state", "inserted", "conflicts", "unchanged", "problems") == [("committed", 1, 1, 10, 0)]
+    again["component"].append(("P1", "c1", "f1", "lipid"))
+    assert told(B.import_bundles(spark, store, bundle(spark, again)), "state", "problems") == [("refused", 1)]
